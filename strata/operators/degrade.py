@@ -1,0 +1,46 @@
+"""Seeded test-data degradation (FI1-FI3), repeatable under any
+partitioning: rows are picked by a seeded hash of their key, not by a
+random stream, so the same rows are picked on 1 or 1000 executors.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.recode import literal_map
+
+
+def pick_keys(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """FI1: exactly ``min(n, rows)`` keys without replacement.
+    ``orderBy(...).limit(n)`` is a per-partition top-n plus one merge of at
+    most ``n`` rows per partition."""
+    return df.select(key).orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+
+
+def sample_exact_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """FI1 on whole rows."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+
+
+def _flag(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    # ``n`` is a caller parameter: the picked side is bounded by it, so the
+    # broadcast is safe whatever the table size.
+    picked = F.broadcast(pick_keys(df, key, n, seed).withColumn("__hit", F.lit(True)))
+    return df.join(picked, key, "left")
+
+
+def degrade_nulls(df: DataFrame, key: str, column: str, n: int, seed: int = 42) -> DataFrame:
+    """FI2: set ``column`` to NULL on ``n`` picked rows."""
+    j = _flag(df, key, n, seed)
+    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    return j.withColumn(column, F.when(hit, F.lit(None).cast(df.schema[column].dataType)).otherwise(F.col(column))) \
+        .drop("__hit").select(*df.columns)
+
+
+def degrade_recode(df: DataFrame, key: str, column: str, mapping: dict, n: int, seed: int = 42) -> DataFrame:
+    """FI3: on ``n`` picked rows, replace values found in ``mapping``."""
+    j = _flag(df, key, n, seed)
+    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    new = F.coalesce(F.try_element_at(literal_map(mapping), F.col(column)), F.col(column))
+    return j.withColumn(column, F.when(hit, new).otherwise(F.col(column))).drop("__hit").select(*df.columns)

@@ -11,8 +11,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ..functions import dates, numbers, recode, text
+from ..operators import audit, dedup, degrade, integrity, marts, quality, reconcile
 from . import dirty
+from .audit_clean import clean_customers_a, clean_orders_a, clean_payments_a
 from .gold import payment_methods_month, revenue_customer_month
+from .lenient import revenue_lenient, silver_customers_lenient, silver_orders_lenient, silver_payments_lenient
 from .silver import silver_customers, silver_orders, silver_payments
 
 AS_OF = "2026-01-01"
@@ -67,9 +73,440 @@ def gold_payment_methods(spark, sf):
     return payment_methods_month(s_payments(spark, sf), s_orders(spark, sf))
 
 
+# -- date expressions (DT1-DT7) ------------------------------------------------
+
+@register
+def parse_date_multi(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "data_pedido", dates.parse_date_multi("data_pedido").alias("data_convertida"))
+
+
+@register
+def clean_dates(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    d = dates.clamp_date(dates.parse_date_multi("data_cadastro"), as_of=AS_OF)
+    return c.select("_linha", "data_cadastro", d.alias("data_valida"))
+
+
+@register
+def parse_date_strict(spark, sf):
+    p = dirty.dirty_payments(spark, sf)
+    return p.select("_linha", "data_pagamento", dates.parse_date_strict("data_pagamento").alias("data_iso"))
+
+
+@register
+def parse_date_coerce(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "data_pedido", dates.parse_date_coerce("data_pedido", "yyyy-MM-dd").alias("data_coerce"),
+                    dates.month_text_nat(dates.parse_date_coerce("data_pedido", "yyyy-MM-dd")).alias("mes"))
+
+
+# -- number expressions (NUM1-NUM3) ---------------------------------------------
+
+@register
+def parse_brl(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "valor_total",
+                    numbers.parse_brl("valor_total", "literal").alias("valor_literal"),
+                    numbers.parse_brl("valor_total", "auto").alias("valor_auto"))
+
+
+@register
+def num_coerce_zero(spark, sf):
+    p = dirty.dirty_payments(spark, sf)
+    return p.select("_linha", "valor_pago", numbers.coerce_double_zero("valor_pago").alias("valor_num"))
+
+
+@register
+def cast_int_tolerant(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "cliente_id", numbers.to_int_tolerant("cliente_id", "int").alias("cliente_int"),
+                    numbers.to_int_tolerant("pedido_id", "bigint").alias("pedido_big"))
+
+
+# -- text expressions and recoding (STR*, RC*) ---------------------------------
+
+@register
+def normalize_text(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", F.trim("nome").alias("nome_trim"), F.upper("estado").alias("estado_upper"),
+                    F.lower("email").alias("email_lower"), text.strip_ws("email").alias("email_strip"))
+
+
+@register
+def title_case_words(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", "nome", text.title_words("nome").alias("nome_initcap"),
+                    text.title_words_explicit("nome").alias("nome_split"))
+
+
+@register
+def title_case_letters(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", "nome", text.title_letters(text.strip_ws("nome")).alias("nome_title"))
+
+
+@register
+def recode_state(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", "estado", recode.recode_state("estado").alias("estado_uf"))
+
+
+@register
+def recode_status(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "status", recode.recode_status("status").alias("status_padrao"))
+
+
+@register
+def recode_method(spark, sf):
+    p = dirty.dirty_payments(spark, sf)
+    return p.select("_linha", "metodo_pagamento", recode.recode_method("metodo_pagamento").alias("metodo_padrao"))
+
+
+@register
+def recode_exact_keep(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", "estado", recode.recode_keep("estado", recode.STATE_A).alias("estado_uf"))
+
+
+@register
+def recode_exact_default(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "status", recode.recode_default("status", recode.STATUS_A,
+                                                               recode.STATUS_A_DEFAULT).alias("status_padrao"))
+
+
+@register
+def recode_exact_null(spark, sf):
+    p = dirty.dirty_payments(spark, sf)
+    return p.select("_linha", "metodo_pagamento",
+                    recode.lookup("metodo_pagamento", recode.METHOD_A).alias("metodo_padrao"))
+
+
+@register
+def recode_status_lenient(spark, sf):
+    o = dirty.dirty_orders(spark, sf)
+    return o.select("_linha", "status", recode.recode_status_lenient("status").alias("status_padrao"))
+
+
+@register
+def fill_defaults(spark, sf):
+    c = dirty.dirty_customers(spark, sf)
+    return c.select("_linha", "email", text.email_normalized("email").alias("email_s"),
+                    text.email_lower_fill("email").alias("email_d"), text.email_fill("email").alias("email_a"))
+
+
+# -- dedup and integrity (WIN1, SET*, JN*) ------------------------------------
+
+@register
+def dedup_full_row(spark, sf):
+    return dedup.distinct_rows(dirty.dirty_orders(spark, sf))
+
+
+@register
+def dedup_best_row(spark, sf):
+    c = dirty.dirty_customers(spark, sf).withColumn(
+        "data_valida", dates.clamp_date(dates.parse_date_multi("data_cadastro"), as_of=AS_OF))
+    return dedup.best_row_per_key(c, "cliente_id", [F.col("data_valida").asc_nulls_last(), F.col("_linha").asc()])
+
+
+@register
+def dedup_first_by_key(spark, sf):
+    return dedup.first_by_key(dirty.dirty_payments(spark, sf), "pagamento_id", dirty.PAYMENT_ORDER)
+
+
+@register
+def fk_filter_semi(spark, sf):
+    o = dirty.dirty_orders(spark, sf).withColumn("cliente_int", numbers.to_int_tolerant("cliente_id", "int"))
+    return integrity.fk_filter(o, s_customers(spark, sf), "cliente_int", "cliente_id", how="semi") \
+        .select("_linha", "pedido_id", "cliente_id", "cliente_int")
+
+
+@register
+def fk_filter_inner_fanout(spark, sf):
+    p = dirty.dirty_payments(spark, sf).withColumn("pedido_big", numbers.to_int_tolerant("pedido_id", "bigint"))
+    return integrity.fk_filter(p, s_orders(spark, sf), "pedido_big", "pedido_id", how="inner") \
+        .select("_linha", "pagamento_id", "pedido_big")
+
+
+# -- profile A: audit, cleaning, reconciliation (TR8, DQ6-DQ8) ---------------
+
+def _typed_a(spark, sf):
+    c = dirty.dirty_customers(spark, sf).select(numbers.to_int_tolerant("cliente_id").alias("cliente_id"))
+    o = dirty.dirty_orders(spark, sf).select(numbers.to_int_tolerant("pedido_id").alias("pedido_id"),
+                                             numbers.to_int_tolerant("cliente_id").alias("cliente_id"))
+    p = dirty.dirty_payments(spark, sf).select(numbers.to_int_tolerant("pagamento_id").alias("pagamento_id"),
+                                               numbers.to_int_tolerant("pedido_id").alias("pedido_id"))
+    return c, o, p
+
+
+@register
+def audit_orphans_orders(spark, sf):
+    c, o, _ = _typed_a(spark, sf)
+    return audit.orphan_rows(o, c, "cliente_id", "cliente_id", ["pedido_id", "cliente_id"])
+
+
+@register
+def audit_orphans_payments(spark, sf):
+    _, o, p = _typed_a(spark, sf)
+    return audit.orphan_rows(p, o, "pedido_id", "pedido_id", ["pagamento_id", "pedido_id"])
+
+
+def _orphan_counts(spark, sf):
+    c, o, p = _typed_a(spark, sf)
+    return [audit.orphan_count(o, c, "cliente_id", "cliente_id", "pedidos"),
+            audit.orphan_count(p, o, "pedido_id", "pedido_id", "pagamentos")]
+
+
+@register
+def audit_orphans(spark, sf):
+    a, b = _orphan_counts(spark, sf)
+    return a.unionByName(b)
+
+
+def _raw3(spark, sf):
+    return {"clientes": dirty.dirty_customers(spark, sf), "pedidos": dirty.dirty_orders(spark, sf),
+            "pagamentos": dirty.dirty_payments(spark, sf)}
+
+
+_KEYS = {"clientes": "cliente_id", "pedidos": "pedido_id", "pagamentos": "pagamento_id"}
+
+
+def _null_parts(spark, sf):
+    return [audit.null_counts(df, t) for t, df in _raw3(spark, sf).items()]
+
+
+def _dupkey_parts(spark, sf):
+    return [audit.duplicate_keys(df, t, _KEYS[t]) for t, df in _raw3(spark, sf).items()]
+
+
+def _duprow_parts(spark, sf):
+    return [audit.duplicate_rows(df, t) for t, df in _raw3(spark, sf).items()]
+
+
+def _union(parts):
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register
+def audit_null_counts(spark, sf):
+    return _union(_null_parts(spark, sf))
+
+
+@register
+def audit_duplicate_keys(spark, sf):
+    return _union(_dupkey_parts(spark, sf))
+
+
+@register
+def audit_duplicate_rows(spark, sf):
+    return _union(_duprow_parts(spark, sf))
+
+
+@register
+def audit_report(spark, sf):
+    return audit.audit_report(_null_parts(spark, sf), _dupkey_parts(spark, sf), _duprow_parts(spark, sf),
+                              _orphan_counts(spark, sf))
+
+
+@register
+def profile_a_clean_customers(spark, sf):
+    return clean_customers_a(dirty.dirty_customers(spark, sf))
+
+
+@register
+def profile_a_clean_orders(spark, sf):
+    return clean_orders_a(dirty.dirty_orders(spark, sf))
+
+
+@register
+def profile_a_clean_payments(spark, sf):
+    return clean_payments_a(dirty.dirty_payments(spark, sf))
+
+
+@register
+def reconcile_join(spark, sf):
+    return reconcile.reconcile_join(clean_orders_a(dirty.dirty_orders(spark, sf)),
+                                    clean_payments_a(dirty.dirty_payments(spark, sf)))
+
+
+@register
+def reconcile_divergence(spark, sf):
+    return reconcile.divergences(clean_orders_a(dirty.dirty_orders(spark, sf)),
+                                 clean_payments_a(dirty.dirty_payments(spark, sf)))
+
+
+# -- profile D: lenient silver and gold (TR6, TR7) ----------------------------
+
+def d_customers(spark, sf):
+    return silver_customers_lenient(dirty.dirty_customers(spark, sf))
+
+
+def d_orders(spark, sf):
+    return silver_orders_lenient(dirty.dirty_orders(spark, sf))
+
+
+@register
+def silver_customers_lenient_q(spark, sf):
+    return d_customers(spark, sf)
+
+
+@register
+def silver_orders_lenient_q(spark, sf):
+    return d_orders(spark, sf)
+
+
+@register
+def silver_payments_lenient_q(spark, sf):
+    return silver_payments_lenient(dirty.dirty_payments(spark, sf), ordinal=dirty.PAYMENT_ORDER)
+
+
+@register
+def gold_revenue_lenient(spark, sf):
+    return revenue_lenient(d_orders(spark, sf), d_customers(spark, sf))
+
+
+# -- data-quality tests on the S models (DQ1-DQ5) ----------------------------
+
+def s_tables(spark, sf):
+    c, o, p = s_customers(spark, sf), s_orders(spark, sf), s_payments(spark, sf)
+    return {"stg_clientes": c, "stg_pedidos": o, "stg_pagamentos": p,
+            "faturamento_cliente_mensal": revenue_customer_month(o, c),
+            "resumo_metodos_pagamento": payment_methods_month(p, o)}
+
+
+# Declared column tests of the S models (FIXTURES section 3).
+DECLARED_CHECKS = [
+    quality.not_null("stg_clientes", "cliente_id"),
+    quality.unique("stg_clientes", "cliente_id"),
+    quality.not_null("stg_pedidos", "pedido_id"),
+    quality.unique("stg_pedidos", "pedido_id"),
+    quality.not_null("stg_pedidos", "cliente_id"),
+    quality.relationships("stg_pedidos", "cliente_id", "stg_clientes", "cliente_id"),
+    quality.accepted_values("stg_pedidos", "status", recode.ACCEPTED_STATUS_DECLARED),
+    quality.not_null("stg_pagamentos", "pagamento_id"),
+    quality.unique("stg_pagamentos", "pagamento_id"),
+    quality.not_null("stg_pagamentos", "pedido_id"),
+    quality.relationships("stg_pagamentos", "pedido_id", "stg_pedidos", "pedido_id", severity="warn"),
+    quality.not_null("faturamento_cliente_mensal", "mes_ano"),
+    quality.not_null("faturamento_cliente_mensal", "cliente_id"),
+    quality.relationships("faturamento_cliente_mensal", "cliente_id", "stg_clientes", "cliente_id"),
+    quality.not_null("faturamento_cliente_mensal", "faturamento_total"),
+    quality.not_null("resumo_metodos_pagamento", "metodo_pagamento"),
+]
+
+
+def _dq(spark, sf, test):
+    return quality.run_checks(s_tables(spark, sf), [c for c in DECLARED_CHECKS if test in (None, c.test)])
+
+
+@register
+def dq_not_null(spark, sf):
+    return _dq(spark, sf, "not_null")
+
+
+@register
+def dq_unique(spark, sf):
+    return _dq(spark, sf, "unique")
+
+
+@register
+def dq_relationships(spark, sf):
+    return _dq(spark, sf, "relationships")
+
+
+@register
+def dq_accepted_values(spark, sf):
+    t = s_tables(spark, sf)
+    return quality.run_checks(t, [
+        quality.accepted_values("stg_pedidos", "status", recode.ACCEPTED_STATUS_DECLARED),
+        quality.accepted_values("stg_pedidos", "status", ("CONCLUÍDO", "PENDENTE", "CANCELADO"), severity="warn"),
+    ])
+
+
+@register
+def dq_report(spark, sf):
+    return _dq(spark, sf, None)
+
+
+# -- reporting marts (TR9, TR10) -------------------------------------------
+
+def _gold_s(spark, sf):
+    c, o = s_customers(spark, sf), s_orders(spark, sf)
+    return revenue_customer_month(o, c)
+
+
+def _methods_s(spark, sf):
+    return payment_methods_month(s_payments(spark, sf), s_orders(spark, sf))
+
+
+@register
+def mart_kpis(spark, sf):
+    return marts.kpis(_gold_s(spark, sf))
+
+
+@register
+def mart_kpis_formatted(spark, sf):
+    return marts.kpis_formatted(_gold_s(spark, sf))
+
+
+@register
+def mart_kpis_lenient(spark, sf):
+    return marts.kpis(revenue_lenient(d_orders(spark, sf), d_customers(spark, sf)))
+
+
+@register
+def mart_revenue_by_month(spark, sf):
+    return marts.revenue_by_month(_gold_s(spark, sf))
+
+
+@register
+def mart_top_customers(spark, sf):
+    return marts.top_customers(_gold_s(spark, sf), 10)
+
+
+@register
+def mart_revenue_by_state(spark, sf):
+    return marts.revenue_by_state(_gold_s(spark, sf))
+
+
+@register
+def mart_method_share(spark, sf):
+    return marts.method_share(_methods_s(spark, sf))
+
+
+@register
+def mart_method_volume(spark, sf):
+    return marts.method_volume(_methods_s(spark, sf))
+
+
+# -- seeded degradation (FI1-FI3); rows-only checks ---------------------------
+
+@register
+def sample_exact_n(spark, sf):
+    return degrade.sample_exact_n(dirty.dirty_customers(spark, sf), "_linha", 5, seed=42)
+
+
+@register
+def degrade_nulls(spark, sf):
+    return degrade.degrade_nulls(dirty.dirty_orders(spark, sf), "_linha", "valor_total", 7, seed=42)
+
+
+@register
+def degrade_recode(spark, sf):
+    return degrade.degrade_recode(dirty.dirty_orders(spark, sf), "_linha", "status",
+                                  {"CONCLUIDO": "concluido", "PENDENTE": "pendentte", "CANCELADO": "Cancelado"},
+                                  10, seed=42)
+
+
 def _rename(old, new):
     QUERIES[new] = QUERIES.pop(old)
 
 
-for _k in ("silver_customers", "silver_orders", "silver_payments"):
+for _k in ("silver_customers", "silver_orders", "silver_payments", "silver_customers_lenient",
+           "silver_orders_lenient", "silver_payments_lenient"):
     _rename(_k + "_q", _k)
