@@ -392,4 +392,22 @@ def oracle_sql() -> dict[str, str]:
         "FROM resumo GROUP BY 1) a, (SELECT CAST(sum(valor_total_processado) AS DOUBLE) AS t FROM resumo) b")
     q["mart_method_volume"] = W("SELECT metodo_pagamento, CAST(sum(quantidade_transacoes) AS BIGINT) AS "
                                 "quantidade_transacoes FROM resumo GROUP BY 1")
+    order_raw = "pedido_id, cliente_id, data_pedido, valor_total, status"
+    q["src_csv_text"] = W(f"SELECT {order_raw}, CAST(_linha AS VARCHAR) AS _linha FROM dirty_orders")
+    q["src_csv_typed"] = W(f"SELECT CAST(pedido_id AS BIGINT) AS pedido_id, cliente_id, data_pedido, valor_total, "
+                           f"status, _linha FROM dirty_orders")
+    pay_raw = "pagamento_id, pedido_id, metodo_pagamento, valor_pago, data_pagamento"
+    q["src_json_text"] = W(f"SELECT {pay_raw}, CAST(_linha AS VARCHAR) AS _linha FROM dirty_payments")
+    q["src_json_typed"] = W(f"SELECT {pay_raw}, _linha FROM dirty_payments")
+    q["src_parquet_layer"] = W("SELECT * FROM dirty_customers")
+    q["snapshot_latest"] = W(f"SELECT DISTINCT {order_raw} FROM dirty_orders")
+    q["snapshot_as_of"] = W("SELECT * FROM dirty_customers")
+    q["bronze_ingest"] = W(f"SELECT {order_raw}, _linha FROM dirty_orders")
+    q["metrics_rowcounts"] = W("SELECT 'clientes' AS tabela, count(*) AS linhas FROM dirty_customers UNION ALL "
+                               "SELECT 'pagamentos', count(*) FROM dirty_payments UNION ALL "
+                               "SELECT 'pedidos', count(*) FROM dirty_orders")
+    q["bronze_ingest_stream"] = W(f"SELECT {order_raw}, _linha FROM dirty_orders")
+    q["medallion_end_to_end"] = W("SELECT * FROM faturamento")
+    q["medallion_dq_report"] = W(_dq_sql(DQ_TESTS))
+    q["medallion_lenient_end_to_end"] = W(D_GOLD)
     return q

@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, recode, text
+from ..session import scratch_path
+from ..sources import readers, sinks, snapshots
+from ..streaming.ingest import stream_bronze
+from . import jobs
 from ..operators import audit, dedup, degrade, integrity, marts, quality, reconcile
 from . import dirty
 from .audit_clean import clean_customers_a, clean_orders_a, clean_payments_a
@@ -503,6 +507,148 @@ def degrade_recode(spark, sf):
                                   10, seed=42)
 
 
+# -- sources, sinks, snapshots, jobs (SRC*, SNK*) -----------------------------
+# These write into a fresh folder under the shared checkpoint dir and read
+# the result back.
+
+ORDER_RAW = ["pedido_id", "cliente_id", "data_pedido", "valor_total", "status"]
+CUSTOMER_RAW = ["cliente_id", "nome", "email", "estado", "data_cadastro"]
+PAYMENT_RAW = ["pagamento_id", "pedido_id", "metodo_pagamento", "valor_pago", "data_pagamento"]
+
+
+def write_raw_csv(df, path, null_token_col=None):
+    """Land a DataFrame as raw CSV (header, spaces kept). With
+    ``null_token_col`` its NULLs are written as the tokens NA/null/None."""
+    if null_token_col:
+        tok = F.element_at(F.array(F.lit("NA"), F.lit("null"), F.lit("None")),
+                           (F.abs(F.xxhash64(*df.columns)) % 3 + 1).cast("int"))
+        df = df.withColumn(null_token_col, F.coalesce(F.col(null_token_col), tok))
+    df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False) \
+        .option("ignoreTrailingWhiteSpace", False).csv(path)
+
+
+def write_raw_json(df, path):
+    df.write.mode("overwrite").json(path)
+
+
+@register
+def src_csv_text(spark, sf):
+    path = scratch_path(spark, "raw-pedidos-csv")
+    write_raw_csv(dirty.dirty_orders(spark, sf), path, null_token_col="valor_total")
+    return readers.read_csv_text(spark, path, ORDER_RAW + ["_linha"])
+
+
+@register
+def src_csv_typed(spark, sf):
+    path = scratch_path(spark, "raw-pedidos-csv")
+    write_raw_csv(dirty.dirty_orders(spark, sf), path)
+    schema = ("pedido_id BIGINT, cliente_id STRING, data_pedido STRING, valor_total STRING, status STRING, "
+              "_linha BIGINT")
+    return readers.read_csv_typed(spark, path, schema)
+
+
+@register
+def src_json_text(spark, sf):
+    path = scratch_path(spark, "raw-pagamentos-json")
+    write_raw_json(dirty.dirty_payments(spark, sf), path)
+    return readers.read_json_text(spark, path, PAYMENT_RAW + ["_linha"])
+
+
+@register
+def src_json_typed(spark, sf):
+    path = scratch_path(spark, "raw-pagamentos-json")
+    write_raw_json(dirty.dirty_payments(spark, sf), path)
+    schema = ("pagamento_id STRING, pedido_id STRING, metodo_pagamento STRING, valor_pago STRING, "
+              "data_pagamento STRING, _linha BIGINT")
+    return readers.read_json_typed(spark, path, schema)
+
+
+@register
+def src_parquet_layer(spark, sf):
+    root = scratch_path(spark, "bronze")
+    sinks.write_layer(dirty.dirty_customers(spark, sf), f"{root}/clientes")
+    return readers.read_layer(spark, root, "clientes")
+
+
+@register
+def snapshot_latest(spark, sf):
+    root = scratch_path(spark, "snap-pedidos")
+    snapshots.write_snapshot(dirty.dirty_orders(spark, sf), root)
+    snapshots.write_snapshot(dedup.distinct_rows(dirty.dirty_orders(spark, sf)), root)
+    return snapshots.read_snapshot(spark, root)
+
+
+@register
+def snapshot_as_of(spark, sf):
+    root = scratch_path(spark, "snap-clientes")
+    snapshots.write_snapshot(dirty.dirty_customers(spark, sf), root)
+    snapshots.write_snapshot(s_customers(spark, sf), root)
+    return snapshots.read_snapshot(spark, root, version=1)
+
+
+def _land_raw(spark, sf):
+    """Driver tables -> dirty raw files (CSV, CSV, JSON Lines) -> specs."""
+    raw = scratch_path(spark, "raw")
+    write_raw_csv(dirty.dirty_customers(spark, sf), f"{raw}/clientes", null_token_col="email")
+    write_raw_csv(dirty.dirty_orders(spark, sf), f"{raw}/pedidos")
+    write_raw_json(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
+    return [jobs.SourceSpec("clientes", f"{raw}/clientes", "csv", tuple(CUSTOMER_RAW), "_linha"),
+            jobs.SourceSpec("pedidos", f"{raw}/pedidos", "csv", tuple(ORDER_RAW), "_linha"),
+            jobs.SourceSpec("pagamentos", f"{raw}/pagamentos", "json", tuple(PAYMENT_RAW), "_linha")]
+
+
+@register
+def bronze_ingest(spark, sf):
+    specs = _land_raw(spark, sf)
+    root = scratch_path(spark, "bronze")
+    jobs.bronze_ingest(spark, specs, root)
+    b = spark.read.parquet(f"{root}/pedidos")
+    return b.where(F.col("_ingerido_em").isNotNull()).select(*ORDER_RAW, "_linha")
+
+
+@register
+def metrics_rowcounts(spark, sf):
+    specs = _land_raw(spark, sf)
+    counts = jobs.bronze_ingest(spark, specs, scratch_path(spark, "bronze"))
+    return spark.createDataFrame(sorted(counts.items()), "tabela string, linhas bigint")
+
+
+@register
+def bronze_ingest_stream(spark, sf):
+    src = scratch_path(spark, "landing-pedidos")
+    write_raw_csv(dirty.dirty_orders(spark, sf), src)
+    out = scratch_path(spark, "bronze-pedidos")
+    stream_bronze(spark, src, ORDER_RAW + ["_linha"], out, scratch_path(spark, "stream-ckpt"))
+    return spark.read.parquet(out).select(*ORDER_RAW, F.col("_linha").cast("bigint").alias("_linha"))
+
+
+@register
+def medallion_end_to_end(spark, sf):
+    specs = _land_raw(spark, sf)
+    bronze = scratch_path(spark, "bronze")
+    jobs.bronze_ingest(spark, specs, bronze, versioned=True)
+    out = scratch_path(spark, "lake")
+    jobs.run_profile_s(spark, bronze, out, as_of=AS_OF, versioned_bronze=True)
+    g = spark.read.parquet(f"{out}/gold/faturamento_cliente_mensal")
+    return g.withColumn("mes_ano", F.col("mes_ano").cast("string"))
+
+
+@register
+def medallion_dq_report(spark, sf):
+    specs = _land_raw(spark, sf)
+    bronze = scratch_path(spark, "bronze")
+    jobs.bronze_ingest(spark, specs, bronze)
+    return jobs.run_profile_s(spark, bronze, scratch_path(spark, "lake"), as_of=AS_OF)
+
+
+@register
+def medallion_lenient_end_to_end(spark, sf):
+    specs = _land_raw(spark, sf)
+    bronze = scratch_path(spark, "bronze")
+    jobs.bronze_ingest(spark, specs, bronze)
+    return jobs.run_profile_d(spark, bronze, scratch_path(spark, "lake"), payment_order=dirty.PAYMENT_ORDER)
+
+
 def _rename(old, new):
     QUERIES[new] = QUERIES.pop(old)
 
