@@ -8,6 +8,7 @@ input" contract of the audit profile.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -37,10 +38,33 @@ def iso_date(c) -> Column:
     return F.when(t.rlike(_ISO_SHAPE), normalized.try_cast("date"))
 
 
+def format_shape(fmt: str) -> str | None:
+    """A regex accepting a superset of the texts ``fmt`` can parse, or
+    None for patterns it does not understand. Used as a cheap guard: the
+    pattern parsers signal a mismatch with an exception, which costs far
+    more per row than a compiled regex test."""
+    out = ["^"]
+    for m in re.finditer(r"(.)\1*", fmt):
+        run, ch = m.group(0), m.group(1)
+        if ch == "y":
+            out.append(r"\d+")
+        elif ch in "dMHms" and len(run) <= 2:
+            out.append(r"\d{1,2}")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(run))
+    out.append("$")
+    return "".join(out)
+
+
 def _try_format(c: Column, fmt: str) -> Column:
     if any(ch in fmt for ch in "Hms"):
-        return F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
-    return F.try_to_date(c, fmt)
+        parsed = F.to_date(F.try_to_timestamp(c, F.lit(fmt)))
+    else:
+        parsed = F.try_to_date(c, fmt)
+    shape = format_shape(fmt)
+    return F.when(c.rlike(shape), parsed) if shape else parsed
 
 
 def parse_date_multi(c, formats=MULTI_FORMATS) -> Column:
@@ -74,8 +98,7 @@ def parse_date_strict(c) -> Column:
 
 def parse_date_coerce(c, fmt: str = "yyyy-MM-dd") -> Column:
     """DT5: one fixed format; everything else NULL."""
-    c = _c(c)
-    return F.to_date(F.try_to_timestamp(F.trim(c), F.lit(fmt)))
+    return _try_format(F.trim(_c(c)), fmt)
 
 
 def month_text(d) -> Column:

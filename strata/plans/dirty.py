@@ -57,30 +57,47 @@ def _case(pairs, default=None) -> Column:
 
 
 def _copies(*conds: Column) -> Column:
-    """``explode`` source: copy 0 always, copy i when conds[i-1] holds."""
-    arr = F.array(*[F.lit(i) for i in range(len(conds) + 1)])
-    return F.explode(F.filter(arr, lambda c: _case(
-        [(c == 0, F.lit(True))] + [(c == i + 1, cond) for i, cond in enumerate(conds)], F.lit(False))))
+    """``explode`` source: copy 0 always, copy i when conds[i-1] holds
+    (one CASE over the 2^n condition combinations, no lambda)."""
+    n = len(conds)
+    pairs = []
+    for mask in range(2 ** n - 1, 0, -1):
+        cond = None
+        for i in range(n):
+            if mask >> i & 1:
+                cond = conds[i] if cond is None else (cond & conds[i])
+        pairs.append((cond, F.array(F.lit(0), *[F.lit(i + 1) for i in range(n) if mask >> i & 1])))
+    return F.explode(_case(pairs, F.array(F.lit(0))))
+
+
+def _ymd(ts: Column):
+    """Zero-padded year, month and day texts of a date/timestamp."""
+    return (F.year(ts).cast("string"), F.lpad(F.month(ts).cast("string"), 2, "0"),
+            F.lpad(F.dayofmonth(ts).cast("string"), 2, "0"))
+
+
+def _money_plain(x: Column) -> Column:
+    return x.cast("decimal(18,2)").cast("string")
 
 
 def dirty_orders_from(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    d = F.col("o_orderdate")
-    ymd = F.date_format(d, "yyyy-MM-dd")
-    dmy = F.date_format(d, "dd/MM/yyyy")
+    y, m, dd = _ymd(F.col("o_orderdate"))
+    ymd = F.concat(y, F.lit("-"), m, F.lit("-"), dd)
+    dmy = F.concat(dd, F.lit("/"), m, F.lit("/"), y)
     data = _case([
         (k % 7 == 0, ymd),
         (k % 7 == 1, dmy),
         (k % 7 == 2, F.concat(ymd, F.lit(" "), F.lpad((k % 24).cast("string"), 2, "0"), F.lit(":15:00"))),
         (k % 7 == 3, F.concat(dmy, F.lit(" 08:30:00"))),
-        (k % 7 == 4, F.date_format(d, "yyyy/MM/dd")),
-        (k % 7 == 5, F.concat(F.lit("2923"), F.date_format(d, "-MM-dd"))),
-    ], F.concat(F.date_format(d, "yyyy"), F.lit("-45-"), F.date_format(d, "dd")))
+        (k % 7 == 4, F.concat(y, F.lit("/"), m, F.lit("/"), dd)),
+        (k % 7 == 5, F.concat(F.lit("2923-"), m, F.lit("-"), dd)),
+    ], F.concat(y, F.lit("-45-"), dd))
     price = F.col("o_totalprice")
     valor = _case([
         (k % 11 == 0, F.lit(None).cast("string")),
         (k % 13 == 0, F.lit("abc")),
-        (k % 5 == 0, F.format_string("%.2f", price)),
+        (k % 5 == 0, _money_plain(price)),
     ], F.concat(F.lit("R$ "), _ptbr(price)))
     status = _case([((F.col("o_orderstatus") == s) & (k % 4 == m), F.lit(v))
                     for (s, m), v in ORDER_STATUS_VARIANTS.items()])
@@ -117,13 +134,15 @@ def dirty_customers_from(customer: DataFrame) -> DataFrame:
     estado = _case([(F.col("c_nationkey") % len(STATE_VARIANTS) == i, F.lit(v))
                     for i, v in enumerate(STATE_VARIANTS)])
     d = F.date_add(F.lit("1998-01-01").cast("date"), ((k * 7) % 10000).cast("int"))
+    y, m, dd = _ymd(d)
+    ymd = F.concat(y, F.lit("-"), m, F.lit("-"), dd)
     data = _case([
-        (k % 5 == 0, F.date_format(d, "yyyy-MM-dd")),
-        (k % 5 == 1, F.date_format(d, "dd/MM/yyyy")),
-        (k % 5 == 2, F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 10:00:00"))),
-        (k % 5 == 3, F.date_format(d, "yyyy/MM/dd")),
-    ], F.concat(F.date_format(d, "yyyy"), F.lit("-45-"), F.date_format(d, "dd")))
-    data2 = F.date_format(F.when(k % 26 == 0, F.date_sub(d, 10)).otherwise(F.date_add(d, 30)), "yyyy-MM-dd")
+        (k % 5 == 0, ymd),
+        (k % 5 == 1, F.concat(dd, F.lit("/"), m, F.lit("/"), y)),
+        (k % 5 == 2, F.concat(ymd, F.lit(" 10:00:00"))),
+        (k % 5 == 3, F.concat(y, F.lit("/"), m, F.lit("/"), dd)),
+    ], F.concat(y, F.lit("-45-"), dd))
+    data2 = F.when(k % 26 == 0, F.date_sub(d, 10)).otherwise(F.date_add(d, 30)).cast("string")
     base = customer.select(
         k.alias("__k"), _copies(k % 13 == 0).alias("__copy"),
         ks.alias("cliente_id"), nome.alias("nome"), email.alias("email"),
@@ -147,13 +166,14 @@ def dirty_payments_from(lineitem: DataFrame) -> DataFrame:
     metodo = _case([((F.col("l_returnflag") == f) & (F.col("l_linestatus") == s) & (F.col("l_linenumber") % 2 == m),
                      F.lit(v)) for (f, s, m), v in METHOD_VARIANTS.items()])
     valor = _case([
-        (p % 4 == 0, F.format_string("%.2f", price)),
+        (p % 4 == 0, _money_plain(price)),
         (p % 4 == 1, F.concat(F.lit("R$ "), _ptbr(price))),
         (p % 4 == 2, _ptbr(price)),
         (p % 3 == 0, F.lit(None).cast("string")),
     ], F.concat(F.lit("R$ "), _ptbr(price)))
-    data = F.when(p % 3 == 1, F.date_format("l_shipdate", "yyyy-MM-dd")) \
-        .otherwise(F.date_format("l_shipdate", "dd/MM/yyyy"))
+    y, m, dd = _ymd(F.col("l_shipdate"))
+    data = F.when(p % 3 == 1, F.concat(y, F.lit("-"), m, F.lit("-"), dd)) \
+        .otherwise(F.concat(dd, F.lit("/"), m, F.lit("/"), y))
     return lineitem.select(
         p.cast("string").alias("pagamento_id"), pedido.alias("pedido_id"), metodo.alias("metodo_pagamento"),
         valor.alias("valor_pago"), data.alias("data_pagamento"), p.alias("_linha"))
@@ -207,7 +227,7 @@ def dirty_orders_sql() -> str:
         ELSE strftime(o_orderdate, '%Y') || '-45-' || strftime(o_orderdate, '%d') END AS data_pedido,
       CASE WHEN o_orderkey % 11 = 0 THEN NULL
            WHEN o_orderkey % 13 = 0 THEN 'abc'
-           WHEN o_orderkey % 5 = 0 THEN printf('%.2f', o_totalprice)
+           WHEN o_orderkey % 5 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR)
            ELSE 'R$ ' || {_sql_ptbr('o_totalprice')} END AS valor_total,
       {status} AS status
     FROM orders"""
@@ -253,7 +273,7 @@ def dirty_payments_sql() -> str:
     return f"""SELECT CAST({p} AS VARCHAR) AS pagamento_id,
       CASE WHEN {p} % 89 = 0 THEN CAST(-1 - l_orderkey AS VARCHAR) ELSE CAST(l_orderkey AS VARCHAR) END AS pedido_id,
       {metodo} AS metodo_pagamento,
-      CASE WHEN {p} % 4 = 0 THEN printf('%.2f', l_extendedprice)
+      CASE WHEN {p} % 4 = 0 THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR)
            WHEN {p} % 4 = 1 THEN 'R$ ' || {_sql_ptbr('l_extendedprice')}
            WHEN {p} % 4 = 2 THEN {_sql_ptbr('l_extendedprice')}
            WHEN {p} % 3 = 0 THEN NULL
