@@ -172,7 +172,9 @@ D_CUSTOMERS = f"""SELECT cliente_id, nome, email, estado, data_cadastro FROM (
   FROM dirty_customers) t WHERE rn = 1"""
 D_ORDERS = f"""SELECT pedido_id, cliente_id, data_pedido, valor_total, status FROM (
   SELECT try_cast(pedido_id AS BIGINT) AS pedido_id, try_cast(cliente_id AS BIGINT) AS cliente_id,
-         CAST(try_strptime(trim(data_pedido), '%Y-%m-%d') AS DATE) AS data_pedido,
+         CASE WHEN CAST(try_strptime(trim(data_pedido), '%Y-%m-%d') AS DATE)
+                   BETWEEN DATE '1677-09-22' AND DATE '2262-04-11'
+              THEN CAST(try_strptime(trim(data_pedido), '%Y-%m-%d') AS DATE) END AS data_pedido,
          {_num('valor_total')} AS valor_total,
          CASE upper(status) WHEN 'PENDENTTE' THEN 'PENDENTE' ELSE upper(status) END AS status,
          row_number() OVER (PARTITION BY try_cast(pedido_id AS BIGINT) ORDER BY _linha) AS rn
@@ -180,7 +182,9 @@ D_ORDERS = f"""SELECT pedido_id, cliente_id, data_pedido, valor_total, status FR
 D_PAYMENTS = f"""SELECT pagamento_id, pedido_id, metodo_pagamento, valor_pago, data_pagamento FROM (
   SELECT try_cast(pagamento_id AS BIGINT) AS pagamento_id, try_cast(pedido_id AS BIGINT) AS pedido_id,
          lower(metodo_pagamento) AS metodo_pagamento, {_num('valor_pago')} AS valor_pago,
-         CAST(try_strptime(trim(data_pagamento), '%m/%d/%Y') AS DATE) AS data_pagamento,
+         CASE WHEN CAST(try_strptime(trim(data_pagamento), '%m/%d/%Y') AS DATE)
+                   BETWEEN DATE '1677-09-22' AND DATE '2262-04-11'
+              THEN CAST(try_strptime(trim(data_pagamento), '%m/%d/%Y') AS DATE) END AS data_pagamento,
          row_number() OVER (PARTITION BY try_cast(pagamento_id AS BIGINT) ORDER BY {PAY_ORDER}) AS rn
   FROM dirty_payments) t WHERE rn = 1 AND pagamento_id IS NOT NULL"""
 D_GOLD = """SELECT g.cliente_id, g.mes, g.quantidade_pedidos, g.faturamento_total,

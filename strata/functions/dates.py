@@ -96,9 +96,20 @@ def parse_date_strict(c) -> Column:
     return F.date_format(d, "yyyy-MM-dd")
 
 
-def parse_date_coerce(c, fmt: str = "yyyy-MM-dd") -> Column:
-    """DT5: one fixed format; everything else NULL."""
-    return _try_format(F.trim(_c(c)), fmt)
+# First and last calendar day a pandas ``datetime64[ns]``
+# can hold; the lenient profile turns dates outside it into NaT (NULL).
+PANDAS_MIN_DATE = "1677-09-22"
+PANDAS_MAX_DATE = "2262-04-11"
+
+
+def parse_date_coerce(c, fmt: str = "yyyy-MM-dd", bounds: tuple[str, str] | None = None) -> Column:
+    """DT5: one fixed format; everything else NULL. With ``bounds`` dates
+    outside ``[lo, hi]`` are NULL too."""
+    d = _try_format(F.trim(_c(c)), fmt)
+    if bounds:
+        lo, hi = bounds
+        d = F.when(d.between(F.lit(lo).cast("date"), F.lit(hi).cast("date")), d)
+    return d
 
 
 def month_text(d) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import month_text_nat, parse_date_coerce
+from ..functions.dates import PANDAS_MAX_DATE, PANDAS_MIN_DATE, month_text_nat, parse_date_coerce
 from ..functions.numbers import coerce_double_zero, to_int_tolerant
 from ..functions.recode import COMPLETED_D, recode_status_lenient
 from ..functions.text import email_lower_fill, strip_ws
@@ -18,6 +18,7 @@ from ..operators.dedup import first_by_key
 
 ORDER_DATE_FORMAT = "yyyy-MM-dd"
 PAYMENT_DATE_FORMAT = "MM/dd/yyyy"
+PANDAS_BOUNDS = (PANDAS_MIN_DATE, PANDAS_MAX_DATE)
 
 
 def _ordinal(df: DataFrame, ordinal) -> list:
@@ -48,7 +49,7 @@ def silver_orders_lenient(bronze: DataFrame, date_format: str = ORDER_DATE_FORMA
     typed = bronze.select(
         to_int_tolerant("pedido_id").alias("pedido_id"),
         to_int_tolerant("cliente_id").alias("cliente_id"),
-        parse_date_coerce("data_pedido", date_format).alias("data_pedido"),
+        parse_date_coerce("data_pedido", date_format, PANDAS_BOUNDS).alias("data_pedido"),
         coerce_double_zero("valor_total").alias("valor_total"),
         recode_status_lenient("status").alias("status"),
         *_ordinal(bronze, ordinal),
@@ -64,7 +65,7 @@ def silver_payments_lenient(bronze: DataFrame, date_format: str = PAYMENT_DATE_F
         to_int_tolerant("pedido_id").alias("pedido_id"),
         F.lower("metodo_pagamento").alias("metodo_pagamento"),
         coerce_double_zero("valor_pago").alias("valor_pago"),
-        parse_date_coerce("data_pagamento", date_format).alias("data_pagamento"),
+        parse_date_coerce("data_pagamento", date_format, PANDAS_BOUNDS).alias("data_pagamento"),
         *_ordinal(bronze, ordinal),
     )
     out = first_by_key(typed, "pagamento_id", _ord_names(bronze, ordinal), drop_null_key=True)

@@ -1,0 +1,38 @@
+"""Rows-only queries (no SQL oracle) checked against a brute-force
+computation on the small driver tables."""
+
+import xxhash  # noqa: F401  (only to make sure the env matches)
+
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from strata.operators import degrade
+from strata.plans import dirty
+
+
+def test_sample_exact_n_matches_bruteforce(spark, sf_small):
+    df = dirty.dirty_customers(spark, sf_small)
+    got = sorted(r["_linha"] for r in E.queries()["sample_exact_n"](spark, sf_small).collect())
+    ranked = df.select("_linha", F.xxhash64(F.lit(42), F.col("_linha")).alias("h")).collect()
+    want = sorted(r["_linha"] for r in sorted(ranked, key=lambda r: (r["h"], r["_linha"]))[:5])
+    assert got == want and len(got) == 5
+
+
+def test_sample_is_partitioning_independent(spark, sf_small):
+    df = dirty.dirty_customers(spark, sf_small)
+    a = sorted(r["_linha"] for r in degrade.sample_exact_n(df, "_linha", 7, 1).collect())
+    b = sorted(r["_linha"] for r in degrade.sample_exact_n(df.repartition(13), "_linha", 7, 1).collect())
+    assert a == b
+
+
+def test_degrade_nulls_and_recode(spark, sf_small):
+    base = {r["_linha"]: r for r in dirty.dirty_orders(spark, sf_small).collect()}
+    out = {r["_linha"]: r for r in E.queries()["degrade_nulls"](spark, sf_small).collect()}
+    assert set(out) == set(base)
+    changed = [k for k in base if base[k]["valor_total"] is not None and out[k]["valor_total"] is None]
+    assert 0 < len(changed) <= 7
+    assert all(out[k]["status"] == base[k]["status"] for k in base)
+    rec = {r["_linha"]: r for r in E.queries()["degrade_recode"](spark, sf_small).collect()}
+    diff = [k for k in base if rec[k]["status"] != base[k]["status"]]
+    m = {"CONCLUIDO": "concluido", "PENDENTE": "pendentte", "CANCELADO": "Cancelado"}
+    assert len(diff) <= 10 and all(rec[k]["status"] == m[base[k]["status"]] for k in diff)
