@@ -357,10 +357,10 @@ def oracle_sql() -> dict[str, str]:
     q["profile_a_clean_payments"] = W("SELECT * FROM a_payments")
     q["reconcile_join"] = W("SELECT o.pedido_id, o.cliente_id, o.data_pedido, o.valor_total, o.status, p.pagamento_id, "
                             "p.metodo_pagamento, p.valor_pago, p.data_pagamento FROM a_orders o JOIN a_payments p "
-                            "ON o.pedido_id IS NOT DISTINCT FROM p.pedido_id")
+                            "ON o.pedido_id = p.pedido_id")
     q["reconcile_divergence"] = W("SELECT o.pedido_id, o.valor_total, p.valor_pago, o.valor_total - p.valor_pago AS "
-                                  "diferenca FROM a_orders o JOIN a_payments p ON o.pedido_id IS NOT DISTINCT FROM "
-                                  "p.pedido_id WHERE abs(o.valor_total - p.valor_pago) > 0.01")
+                                  "diferenca FROM a_orders o JOIN a_payments p ON o.pedido_id = p.pedido_id "
+                                  "WHERE abs(o.valor_total - p.valor_pago) > 0.01")
     q["silver_customers_lenient"] = W("SELECT * FROM d_customers")
     q["silver_orders_lenient"] = W("SELECT * FROM d_orders")
     q["silver_payments_lenient"] = W("SELECT * FROM d_payments")

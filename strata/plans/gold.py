@@ -15,16 +15,23 @@ REVENUE_COLUMNS = ("mes_ano", "cliente_id", "nome_cliente", "email_cliente", "es
 
 
 def revenue_customer_month(orders: DataFrame, customers: DataFrame, completed: str = COMPLETED_S) -> DataFrame:
-    """TR4: completed orders of known customers, aggregated per customer
-    and month *before* the dimension join (partial + final hash agg), then
-    enriched with the customer columns (left join)."""
+    """TR4: completed orders of known customers per customer and month,
+    enriched with the customer columns.
+
+    The "known customer" filter (a semi join on ``cliente_id``) is applied
+    *after* the aggregation: ``cliente_id`` is a grouping key, so filtering
+    groups equals filtering rows, and the aggregation runs on the raw orders
+    with map-side partial aggregates. Joining first would hash the full
+    order table by customer and let the aggregate reuse that partitioning,
+    so one customer holding a large share of all orders would be summed by
+    a single task."""
     done = orders.where(F.col("status") == completed)
-    done = fk_filter(done, customers, "cliente_id", "cliente_id", how="semi")
     monthly = done.groupBy("cliente_id", month_text("data_pedido").alias("mes_ano")).agg(
         F.count_distinct("pedido_id").alias("total_pedidos"),
         F.sum("valor_total").cast("decimal(38,2)").alias("faturamento_total"),
         F.avg("valor_total").alias("__avg"),
     )
+    monthly = fk_filter(monthly, customers, "cliente_id", "cliente_id", how="semi")
     dim = customers.select(F.col("cliente_id").alias("__cid"), "nome", "email", "estado")
     out = monthly.join(dim, monthly["cliente_id"] == dim["__cid"], "left")
     return out.select(

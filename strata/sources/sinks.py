@@ -25,16 +25,20 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-                fmt: str = "parquet") -> None:
+                fmt: str = "parquet", spread: int = 16) -> None:
     """SNK3: write a model's result to a fixed location.
 
-    With ``partition_by`` the data is first hash-repartitioned on the
-    partition columns (one writer task per partition value range instead of
-    every task writing a file into every directory) and only the touched
-    partitions are replaced (dynamic overwrite)."""
+    With ``partition_by`` the rows are first hash-repartitioned on the
+    partition columns plus a ``spread``-valued salt taken from a hash of the
+    whole row: each directory is written by at most ``spread`` tasks (not by
+    every task, which gives tasks x directories small files) and a large
+    partition value (one busy month) is still split over ``spread`` tasks
+    instead of one. Only the touched partitions are replaced (dynamic
+    overwrite)."""
     w = df
     if partition_by:
-        w = df.repartition(*[F.col(c) for c in partition_by])
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
+        w = df.repartition(*[F.col(c) for c in partition_by], salt)
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
