@@ -44,3 +44,31 @@ def degrade_recode(df: DataFrame, key: str, column: str, mapping: dict, n: int,
     hit = F.coalesce(F.col("__hit"), F.lit(False))
     new = F.coalesce(F.try_element_at(literal_map(mapping), F.col(column)), F.col(column))
     return j.withColumn(column, F.when(hit, new).otherwise(F.col(column))).drop("__hit").select(*df.columns)
+
+
+# The lenient profile's degradation of raw data -- how many
+# rows are hit per column and which spellings replace the clean ones.
+DEGRADE_PLAN = {
+    "clientes": [("nulls", "email", 5, None), ("recode", "estado", 3, {"SP": "sp", "RJ": "rj", "MG": "mg"})],
+    "pedidos": [("nulls", "valor_total", 7, None),
+                ("recode", "status", 10, {"CONCLUIDO": "concluido", "PENDENTE": "pendentte",
+                                          "CANCELADO": "Cancelado"})],
+    "pagamentos": [("nulls", "valor_pago", 4, None)],
+}
+
+
+def degrade_sources(frames: dict, key: str = "_linha", seed: int = 42, plan: dict | None = None) -> dict:
+    """Apply the degradation plan to raw frames ``{name: DataFrame}``; each
+    step picks its own rows (seed offset by step) like independent draws."""
+    out = dict(frames)
+    for name, steps in (plan or DEGRADE_PLAN).items():
+        if name not in out:
+            continue
+        df = out[name]
+        for i, (kind, column, n, mapping) in enumerate(steps):
+            if kind == "nulls":
+                df = degrade_nulls(df, key, column, n, seed + i)
+            else:
+                df = degrade_recode(df, key, column, mapping, n, seed + i)
+        out[name] = df
+    return out

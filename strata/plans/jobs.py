@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import degrade, quality
 from ..sources import readers, sinks, snapshots
 from .gold import payment_methods_month, revenue_customer_month
 from .lenient import revenue_lenient, silver_customers_lenient, silver_orders_lenient, silver_payments_lenient
@@ -97,10 +97,17 @@ def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=No
 
 
 def run_profile_d(spark: SparkSession, bronze_root: str, out_root: str, versioned: bool = True,
-                  payment_order=("_linha",)) -> DataFrame:
-    """SNK6: lenient build; silver and gold written as versioned snapshots."""
+                  payment_order=("_linha",), degrade_seed: int | None = None) -> DataFrame:
+    """SNK6: lenient build; silver and gold written as versioned snapshots.
+    With ``degrade_seed`` the bronze frames are first degraded (FI1-FI3)
+    and the degraded bronze is committed as a new snapshot version."""
     out = out_root.rstrip("/")
     b = {n: read_bronze(spark, bronze_root, n) for n, _, _ in DEFAULT_SOURCES}
+    if degrade_seed is not None:
+        b = degrade.degrade_sources(b, seed=degrade_seed)
+        for n, df in b.items():
+            snapshots.write_snapshot(df, f"{out}/bronze/{n}")
+        b = {n: snapshots.read_snapshot(spark, f"{out}/bronze/{n}") for n in b}
     w = (lambda df, p: snapshots.write_snapshot(df, p)) if versioned else (lambda df, p: sinks.write_layer(df, p))
     r = (lambda p: snapshots.read_snapshot(spark, p)) if versioned else (lambda p: spark.read.parquet(p))
     w(silver_customers_lenient(b["clientes"]), f"{out}/delta/stg_clientes")

@@ -36,3 +36,15 @@ def test_degrade_nulls_and_recode(spark, sf_small):
     diff = [k for k in base if rec[k]["status"] != base[k]["status"]]
     m = {"CONCLUIDO": "concluido", "PENDENTE": "pendentte", "CANCELADO": "Cancelado"}
     assert len(diff) <= 10 and all(rec[k]["status"] == m[base[k]["status"]] for k in diff)
+
+
+def test_degrade_sources_plan(spark, sf_small):
+    frames = {"clientes": dirty.dirty_customers(spark, sf_small), "pedidos": dirty.dirty_orders(spark, sf_small)}
+    out = degrade.degrade_sources(frames, seed=7)
+    c0 = {r["_linha"]: r for r in frames["clientes"].collect()}
+    c1 = {r["_linha"]: r for r in out["clientes"].collect()}
+    assert set(c0) == set(c1)
+    nulled = [k for k in c0 if c0[k]["email"] is not None and c1[k]["email"] is None]
+    assert len(nulled) <= 5
+    recoded = [k for k in c0 if c0[k]["estado"] != c1[k]["estado"]]
+    assert len(recoded) <= 3 and all(c1[k]["estado"] == c0[k]["estado"].lower() for k in recoded)
