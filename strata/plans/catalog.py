@@ -377,10 +377,18 @@ def gold_revenue_lenient(spark, sf):
 # -- data-quality tests on the S models (DQ1-DQ5) ----------------------------
 
 def s_tables(spark, sf):
-    c, o, p = s_customers(spark, sf), s_orders(spark, sf), s_payments(spark, sf)
+    """The five S models, each written once under the shared checkpoint
+    folder and read back: the checks then scan files instead of each
+    recomputing the model chain."""
+    root = scratch_path(spark, "models")
+    c = sinks.materialize(s_customers(spark, sf), f"{root}/stg_clientes")
+    o = sinks.materialize(silver_orders(dirty.dirty_orders(spark, sf), c, as_of=AS_OF), f"{root}/stg_pedidos")
+    p = sinks.materialize(silver_payments(dirty.dirty_payments(spark, sf), o), f"{root}/stg_pagamentos")
     return {"stg_clientes": c, "stg_pedidos": o, "stg_pagamentos": p,
-            "faturamento_cliente_mensal": revenue_customer_month(o, c),
-            "resumo_metodos_pagamento": payment_methods_month(p, o)}
+            "faturamento_cliente_mensal": sinks.materialize(revenue_customer_month(o, c),
+                                                            f"{root}/faturamento_cliente_mensal"),
+            "resumo_metodos_pagamento": sinks.materialize(payment_methods_month(p, o),
+                                                          f"{root}/resumo_metodos_pagamento")}
 
 
 # Declared column tests of the S models (FIXTURES section 3).

@@ -43,3 +43,13 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once (Parquet) and return the read-back table.
+
+    Used where one model feeds several consumers: they then scan the
+    written files instead of each recomputing the model, and the lineage is
+    cut (a lost executor re-reads the files, it does not recompute)."""
+    write_layer(df, path)
+    return df.sparkSession.read.parquet(path)
