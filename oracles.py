@@ -232,7 +232,7 @@ def _dup_keys_sql() -> str:
 
 def _dup_rows_sql() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS tabela, coalesce(sum(n - 1), 0) AS duplicadas FROM "
+        f"SELECT '{t}' AS tabela, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicadas FROM "
         f"(SELECT count(*) AS n FROM {v} GROUP BY {', '.join(cols)}) g"
         for t, (v, cols, _) in RAW_COLS.items())
 
