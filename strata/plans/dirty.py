@@ -56,6 +56,15 @@ def _case(pairs, default=None) -> Column:
     return out.otherwise(default) if default is not None else out
 
 
+def _variant(table: dict, *parts: Column) -> Column:
+    """Look a row's variant up in a literal map keyed by its parts joined
+    with '|' (one map probe instead of a long CASE chain)."""
+    args = []
+    for key, v in table.items():
+        args += [F.lit("|".join(str(x) for x in key)), F.lit(v)]
+    return F.try_element_at(F.create_map(*args), F.concat_ws("|", *[p.cast("string") for p in parts]))
+
+
 def _copies(*conds: Column) -> Column:
     """``explode`` source: copy 0 always, copy i when conds[i-1] holds
     (one CASE over the 2^n condition combinations, no lambda)."""
@@ -99,8 +108,7 @@ def dirty_orders_from(orders: DataFrame) -> DataFrame:
         (k % 13 == 0, F.lit("abc")),
         (k % 5 == 0, _money_plain(price)),
     ], F.concat(F.lit("R$ "), _ptbr(price)))
-    status = _case([((F.col("o_orderstatus") == s) & (k % 4 == m), F.lit(v))
-                    for (s, m), v in ORDER_STATUS_VARIANTS.items()])
+    status = _variant(ORDER_STATUS_VARIANTS, F.col("o_orderstatus"), k % 4)
     cliente = _case([(k % 97 == 0, F.lit(ORPHAN_CUSTOMER)),
                      (k % 31 == 0, F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))],
                     F.col("o_custkey").cast("string"))
@@ -126,13 +134,14 @@ def dirty_customers_from(customer: DataFrame) -> DataFrame:
     k = F.col("c_custkey")
     ks = k.cast("string")
     seg = F.lower(F.col("c_mktsegment"))
-    nome = _case([(k % 5 == i, F.concat(F.lit(p), seg, F.lit(" "), ks, F.lit(s)))
-                  for i, (p, s) in enumerate(NAME_VARIANTS)])
+    idx = (k % len(NAME_VARIANTS) + 1).cast("int")
+    nome = F.concat(F.element_at(F.array(*[F.lit(p) for p, _ in NAME_VARIANTS]), idx), seg, F.lit(" "), ks,
+                    F.element_at(F.array(*[F.lit(s) for _, s in NAME_VARIANTS]), idx))
     email = _case([(k % 6 == 0, F.lit(None).cast("string")),
                    (k % 5 == 1, F.concat(F.lit(" Cliente"), ks, F.lit("@Mail.COM ")))],
                   F.concat(F.lit("cliente"), ks, F.lit("@mail.com")))
-    estado = _case([(F.col("c_nationkey") % len(STATE_VARIANTS) == i, F.lit(v))
-                    for i, v in enumerate(STATE_VARIANTS)])
+    estado = F.element_at(F.array(*[F.lit(v) for v in STATE_VARIANTS]),
+                          (F.col("c_nationkey") % len(STATE_VARIANTS) + 1).cast("int"))
     d = F.date_add(F.lit("1998-01-01").cast("date"), ((k * 7) % 10000).cast("int"))
     y, m, dd = _ymd(d)
     ymd = F.concat(y, F.lit("-"), m, F.lit("-"), dd)
@@ -163,8 +172,7 @@ def dirty_payments_from(lineitem: DataFrame) -> DataFrame:
     price = F.col("l_extendedprice")
     pedido = F.when(p % 89 == 0, (F.lit(-1) - F.col("l_orderkey")).cast("string")) \
         .otherwise(F.col("l_orderkey").cast("string"))
-    metodo = _case([((F.col("l_returnflag") == f) & (F.col("l_linestatus") == s) & (F.col("l_linenumber") % 2 == m),
-                     F.lit(v)) for (f, s, m), v in METHOD_VARIANTS.items()])
+    metodo = _variant(METHOD_VARIANTS, F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber") % 2)
     valor = _case([
         (p % 4 == 0, _money_plain(price)),
         (p % 4 == 1, F.concat(F.lit("R$ "), _ptbr(price))),
