@@ -23,7 +23,6 @@ DMY_HMS = "d/M/yyyy H:m:s"
 MULTI_FORMATS = (DMY, YMD_HMS, DMY_HMS)
 
 _ISO_SHAPE = r"^\d{4}([-/])\d{1,2}\1\d{1,2}($|[ T]\d)"
-_ISO_HEAD = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})"
 
 
 def _c(c) -> Column:
@@ -34,8 +33,9 @@ def iso_date(c) -> Column:
     """Tolerant ISO date: ``Y-m-d`` or ``Y/m/d``, 1-2 digit month/day,
     optional time tail after a space or ``T``; anything else NULL."""
     t = F.trim(_c(c))
-    normalized = F.regexp_replace(t, _ISO_HEAD, "$1-$2-$3")
-    return F.when(t.rlike(_ISO_SHAPE), normalized.try_cast("date"))
+    # the shape test fixes the layout, so '/' -> '-' is a plain character
+    # map (the cast ignores anything after the date part)
+    return F.when(t.rlike(_ISO_SHAPE), F.translate(t, "/", "-").try_cast("date"))
 
 
 def format_shape(fmt: str) -> str | None:
@@ -67,30 +67,12 @@ def _try_format(c: Column, fmt: str) -> Column:
     return F.when(c.rlike(shape), parsed) if shape else parsed
 
 
-_HMS = r"(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d"
-
-
-def _dmy_to_iso(t: Column, with_time: bool) -> Column:
-    """Rewrite ``d/M/yyyy`` (and, if allowed, ``d/M/yyyy H:m:s`` with a valid
-    time) as ``yyyy-M-d``; other texts pass through unchanged."""
-    tail = f"(?: {_HMS})?" if with_time else ""
-    return F.regexp_replace(t, rf"^(\d{{1,2}})/(\d{{1,2}})/(\d{{4}}){tail}$", "$3-$2-$1")
-
-
 def parse_date_multi(c, formats=MULTI_FORMATS) -> Column:
     """DT1/DT2: ISO first, then each format in order; first hit wins.
-
-    For the standard format list the shapes are disjoint (ISO starts with a
-    4-digit year, the others with a 1-2 digit day), so day-first texts are
-    rewritten to ISO by one regex and a single ISO cast decides; the input
-    expression is referenced twice instead of once per format, which keeps
-    the generated code small when the input is itself a large expression.
-    Other format lists use the general ``coalesce`` of guarded parsers."""
+    Each parser is guarded by its shape regex, so a text is parsed only by
+    the parser whose layout it has."""
     t = F.trim(_c(c))
-    fs = tuple(formats)
-    if DMY in fs and set(fs) <= set(MULTI_FORMATS):
-        return iso_date(_dmy_to_iso(t, with_time=DMY_HMS in fs))
-    return F.coalesce(iso_date(t), *[_try_format(t, f) for f in fs])
+    return F.coalesce(iso_date(t), *[_try_format(t, f) for f in formats])
 
 
 def clamp_date(d, lo: str = DATE_FLOOR, as_of=None) -> Column:

@@ -8,16 +8,23 @@ ingest ordinal ``_linha`` (file order).
 
 The Spark builders scan each base table once: extra copies of a row are
 generated with ``explode`` over a small per-row array instead of a
-``union`` of several scans. The SQL text of every view is generated from
-the same variant tables below, so both sides always agree.
+``union`` of several scans. Each view is landed once per application as
+Parquet (see :func:`landed`) and then read like a raw/bronze table. The SQL
+text of every view is generated from the same variant tables below, so
+both sides always agree.
 """
 
 from __future__ import annotations
 
+import hashlib
+import os
+import threading
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table_path
+from ..session import checkpoint_root, table_path
 
 # Fixed fixture variants ----------------------------------------------------
 # order status spellings by (o_orderstatus, o_orderkey % 4)
@@ -187,16 +194,41 @@ def dirty_payments_from(lineitem: DataFrame) -> DataFrame:
         valor.alias("valor_pago"), data.alias("data_pagamento"), p.alias("_linha"))
 
 
+# Landed views: each dirty view is written once per Spark application as
+# Parquet under the shared checkpoint folder (the folder name is unique per
+# application) and every query scans it, like a bronze table. Query plans
+# then have the production shape (scan -> parse -> ...) instead of carrying
+# the fixture expressions inline.
+_LANDED: dict[tuple, str] = {}
+_LOCK = threading.Lock()
+_BUILDERS = {"dirty_orders": ("orders", dirty_orders_from), "dirty_customers": ("customer", dirty_customers_from),
+             "dirty_payments": ("lineitem", dirty_payments_from)}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    root = checkpoint_root(spark)
+    key = (root, os.path.abspath(sf_dir), name)
+    with _LOCK:
+        path = _LANDED.get(key)
+        if path is None:
+            base, build = _BUILDERS[name]
+            tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
+            path = f"{root.rstrip('/')}/fixtures-{tag}-{uuid.uuid4().hex[:8]}/{name}"
+            build(spark.read.parquet(table_path(sf_dir, base))).write.mode("overwrite").parquet(path)
+            _LANDED[key] = path
+    return spark.read.parquet(path)
+
+
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_orders_from(spark.read.parquet(table_path(sf_dir, "orders")))
+    return landed(spark, sf_dir, "dirty_orders")
 
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_customers_from(spark.read.parquet(table_path(sf_dir, "customer")))
+    return landed(spark, sf_dir, "dirty_customers")
 
 
 def dirty_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dirty_payments_from(spark.read.parquet(table_path(sf_dir, "lineitem")))
+    return landed(spark, sf_dir, "dirty_payments")
 
 
 # Tie-break for "first in file order" on payments: _linha is not unique
