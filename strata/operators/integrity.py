@@ -30,14 +30,12 @@ def fk_filter(child: DataFrame, parent: DataFrame, child_key, parent_key: str, h
         pk = parent.select(F.col(parent_key).alias("__pk"))
         return child.join(pk, ck == F.col("__pk"), "left_semi")
     if how == "inner":
-        # Count parent copies per key first (partial aggregation absorbs a
-        # hot key), join many-to-one, then replay the multiplicity locally.
-        # Same rows as a plain inner join without a skewed many-to-many join.
-        pk = parent.where(F.col(parent_key).isNotNull()) \
-            .groupBy(F.col(parent_key).alias("__pk")).agg(F.count(F.lit(1)).alias("__n"))
-        j = child.join(pk, ck == F.col("__pk"), "inner")
-        return j.withColumn("__rep", F.explode(F.array_repeat(F.lit(1), F.col("__n").cast("int")))) \
-            .drop("__pk", "__n", "__rep")
+        # The output *is* one row per (child row, matching parent row), so the
+        # join is kept plain: both inputs then come straight from a shuffle and
+        # AQE can split a hot key on either side (a pre-aggregated parent side
+        # would make the join ineligible for skew splitting).
+        pk = parent.select(F.col(parent_key).alias("__pk"))
+        return child.join(pk, ck == F.col("__pk"), "inner").drop("__pk")
     raise ValueError(how)
 
 
