@@ -92,5 +92,24 @@ def method_volume(methods: DataFrame) -> DataFrame:
         F.sum("quantidade_transacoes").cast("bigint").alias("quantidade_transacoes"))
 
 
-__all__ = ["resolve_col", "kpis", "kpis_formatted", "revenue_by_month", "top_customers", "revenue_by_state",
+def build_marts(revenue: DataFrame | None, methods: DataFrame | None) -> dict[str, DataFrame]:
+    """All dashboard data sets for the gold tables that are present."""
+    out: dict[str, DataFrame] = {}
+    if revenue is not None:
+        out["kpis"] = kpis_formatted(revenue)
+        if resolve_col(revenue, MONTH_ALIASES) is not None and resolve_col(revenue, REVENUE_ALIASES) is not None:
+            out["faturamento_por_mes"] = revenue_by_month(revenue)
+        if resolve_col(revenue, NAME_ALIASES) is not None and resolve_col(revenue, REVENUE_ALIASES) is not None:
+            out["top_clientes"] = top_customers(revenue)
+        if "estado" in revenue.columns and resolve_col(revenue, REVENUE_ALIASES) is not None:
+            out["faturamento_por_estado"] = revenue_by_state(revenue)
+    if methods is not None and "metodo_pagamento" in methods.columns:
+        if resolve_col(methods, METHOD_VALUE_ALIASES) is not None:
+            out["participacao_metodos"] = method_share(methods)
+        if "quantidade_transacoes" in methods.columns:
+            out["volume_metodos"] = method_volume(methods)
+    return out
+
+
+__all__ = ["build_marts", "resolve_col", "kpis", "kpis_formatted", "revenue_by_month", "top_customers", "revenue_by_state",
            "method_share", "method_volume", "fmt_brl_display"]

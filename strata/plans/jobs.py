@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import degrade, quality
+from ..operators import degrade, marts, quality
 from ..sources import readers, sinks, snapshots
 from .gold import payment_methods_month, revenue_customer_month
 from .lenient import revenue_lenient, silver_customers_lenient, silver_orders_lenient, silver_payments_lenient
@@ -71,11 +71,18 @@ def read_bronze(spark: SparkSession, bronze_root: str, name: str, versioned: boo
     return snapshots.read_snapshot(spark, target) if versioned else spark.read.parquet(target)
 
 
+class QualityGateError(RuntimeError):
+    """Raised when an error-severity data-quality test has failures."""
+
+
 def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=None,
-                  money_mode: str = "literal", versioned_bronze: bool = False) -> DataFrame:
+                  money_mode: str = "literal", versioned_bronze: bool = False,
+                  fail_on_error: bool = False) -> DataFrame:
     """SNK7: bronze -> silver (3 tables) -> gold (2 marts) -> DQ report.
 
-    Returns the DQ report read from its written location."""
+    Returns the DQ report read from its written location. With
+    ``fail_on_error`` (DQ5) the job raises when an error-severity test
+    failed; warn-severity failures never fail the job."""
     out = out_root.rstrip("/")
     b = {n: read_bronze(spark, bronze_root, n, versioned_bronze) for n, _, _ in DEFAULT_SOURCES}
     sinks.write_layer(silver_customers(b["clientes"], as_of=as_of), f"{out}/silver/stg_clientes")
@@ -93,7 +100,29 @@ def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=No
               "resumo_metodos_pagamento": spark.read.parquet(f"{out}/gold/resumo_metodos_pagamento")}
     from .catalog import DECLARED_CHECKS
     sinks.write_layer(quality.run_checks(tables, DECLARED_CHECKS), f"{out}/quality/report")
-    return spark.read.parquet(f"{out}/quality/report")
+    report = spark.read.parquet(f"{out}/quality/report")
+    if fail_on_error:
+        failed = quality.failed_errors(report).select("tabela", "coluna", "teste", "falhas").collect()
+        if failed:   # at most one row per declared test
+            raise QualityGateError(f"data-quality tests failed: {[tuple(r) for r in failed]}")
+    return report
+
+
+def run_marts(spark: SparkSession, gold_root: str, out_root: str) -> dict[str, str]:
+    """TR9/TR10: build the reporting marts from whichever gold tables exist
+    (SRC10: a missing table skips its marts; nothing found -> nothing built).
+    Returns {mart name: written path}."""
+    g = gold_root.rstrip("/")
+    revenue = readers.read_optional(spark, [f"{g}/faturamento_cliente_mensal.parquet",
+                                            f"{g}/faturamento_cliente_mensal"])
+    methods = readers.read_optional(spark, [f"{g}/resumo_metodos_pagamento.parquet",
+                                            f"{g}/resumo_metodos_pagamento"])
+    built = {}
+    for name, df in marts.build_marts(revenue, methods).items():
+        path = f"{out_root.rstrip('/')}/{name}"
+        sinks.write_layer(df, path)
+        built[name] = path
+    return built
 
 
 def run_profile_d(spark: SparkSession, bronze_root: str, out_root: str, versioned: bool = True,

@@ -29,6 +29,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # (e.g. an aggregate on the join key) then needs an extra shuffle;
         # otherwise a key holding a large share of the rows stays in one task
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # broadcast only what AQE has measured at runtime (a proven size), never
+        # on the planner's static estimate
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
@@ -52,6 +55,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxRecordsPerFile": "20000000",
     "spark.sql.session.timeZone": "UTC",
