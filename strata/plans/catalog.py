@@ -30,9 +30,15 @@ AS_OF = "2026-01-01"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def register(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def register(arg):
+    """``@register`` (key = function name) or ``@register("key")``."""
+    if isinstance(arg, str):
+        def deco(fn):
+            QUERIES[arg] = fn
+            return fn
+        return deco
+    QUERIES[arg.__name__] = arg
+    return arg
 
 
 # -- shared model builders ----------------------------------------------------
@@ -52,18 +58,18 @@ def s_payments(spark, sf, money="literal", as_of=AS_OF):
 
 # -- silver / gold models (TR1-TR5) -------------------------------------------
 
-@register
-def silver_customers_q(spark, sf):
+@register("silver_customers")
+def q_silver_customers(spark, sf):
     return s_customers(spark, sf)
 
 
-@register
-def silver_orders_q(spark, sf):
+@register("silver_orders")
+def q_silver_orders(spark, sf):
     return s_orders(spark, sf)
 
 
-@register
-def silver_payments_q(spark, sf):
+@register("silver_payments")
+def q_silver_payments(spark, sf):
     return s_payments(spark, sf)
 
 
@@ -354,18 +360,18 @@ def d_orders(spark, sf):
     return silver_orders_lenient(dirty.dirty_orders(spark, sf))
 
 
-@register
-def silver_customers_lenient_q(spark, sf):
+@register("silver_customers_lenient")
+def q_silver_customers_lenient(spark, sf):
     return d_customers(spark, sf)
 
 
-@register
-def silver_orders_lenient_q(spark, sf):
+@register("silver_orders_lenient")
+def q_silver_orders_lenient(spark, sf):
     return d_orders(spark, sf)
 
 
-@register
-def silver_payments_lenient_q(spark, sf):
+@register("silver_payments_lenient")
+def q_silver_payments_lenient(spark, sf):
     return silver_payments_lenient(dirty.dirty_payments(spark, sf), ordinal=dirty.PAYMENT_ORDER)
 
 
@@ -655,12 +661,3 @@ def medallion_lenient_end_to_end(spark, sf):
     bronze = scratch_path(spark, "bronze")
     jobs.bronze_ingest(spark, specs, bronze)
     return jobs.run_profile_d(spark, bronze, scratch_path(spark, "lake"), payment_order=dirty.PAYMENT_ORDER)
-
-
-def _rename(old, new):
-    QUERIES[new] = QUERIES.pop(old)
-
-
-for _k in ("silver_customers", "silver_orders", "silver_payments", "silver_customers_lenient",
-           "silver_orders_lenient", "silver_payments_lenient"):
-    _rename(_k + "_q", _k)
