@@ -58,6 +58,44 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key, parent_key: str
     return o.agg(F.count(F.lit(1)).cast("bigint").alias("orfaos")).select(F.lit(table).alias("tabela"), "orfaos")
 
 
+def table_profile(df: DataFrame, table: str, key: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """AG11 + AG12 + AG13 for one table from a single scan.
+
+    One ``groupBy(all columns).count()`` (map-side partial aggregation, so
+    repeated rows and hot keys collapse before the shuffle) yields
+    everything: duplicate rows are ``sum(n - 1)``, the NULL count of a
+    column is ``sum(n)`` over groups where it is NULL, and the distinct key
+    values are unchanged by the grouping. Returns the findings in the
+    ``audit_report`` layout ``(secao, tabela, coluna, valor)``."""
+    cols = list(columns) if columns else [c for c in df.columns if not c.startswith("_")]
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    n = F.col("__n")
+    k = F.col(key)
+    aggs = [F.coalesce(F.sum(F.when(F.col(c).isNull(), n)), F.lit(0)).alias(f"c{i}") for i, c in enumerate(cols)]
+    aggs += [F.coalesce(F.sum(n - 1), F.lit(0)).alias("dup_rows"),
+             (F.coalesce(F.sum(n), F.lit(0)) - F.count_distinct(k)
+              - F.when(F.max(k.isNull().cast("int")) > 0, 1).otherwise(0)).alias("dup_keys")]
+    wide = g.agg(*aggs)
+    entries = [f"'nulos', '{c}', c{i}" for i, c in enumerate(cols)]
+    entries += [f"'chaves_duplicadas', '{key}', dup_keys", "'linhas_duplicadas', CAST(NULL AS STRING), dup_rows"]
+    long = wide.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) as (secao, coluna, valor)")
+    keep = (F.col("secao") != "nulos") | (F.col("valor") > 0)
+    return long.where(keep).select("secao", F.lit(table).alias("tabela"), "coluna",
+                                   F.col("valor").cast("bigint").alias("valor"))
+
+
+def audit_report_profiled(tables: dict[str, tuple[DataFrame, str]], orphan_parts: list[DataFrame]) -> DataFrame:
+    """DQ6 with one scan per table (:func:`table_profile`) plus the orphan
+    counts; same rows as :func:`audit_report`."""
+    parts = [table_profile(df, t, key) for t, (df, key) in tables.items()]
+    parts += [p.select(F.lit("orfaos").alias("secao"), "tabela", F.lit(None).cast("string").alias("coluna"),
+                       F.col("orfaos").cast("bigint").alias("valor")) for p in orphan_parts]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def audit_report(null_parts: list[DataFrame], dupkey_parts: list[DataFrame],
                  duprow_parts: list[DataFrame], orphan_parts: list[DataFrame]) -> DataFrame:
     """DQ6: one long findings table ``(secao, tabela, coluna, valor)``."""

@@ -319,8 +319,8 @@ def audit_duplicate_rows(spark, sf):
 
 @register
 def audit_report(spark, sf):
-    return audit.audit_report(_null_parts(spark, sf), _dupkey_parts(spark, sf), _duprow_parts(spark, sf),
-                              _orphan_counts(spark, sf))
+    tables = {t: (df, _KEYS[t]) for t, df in _raw3(spark, sf).items()}
+    return audit.audit_report_profiled(tables, _orphan_counts(spark, sf))
 
 
 @register

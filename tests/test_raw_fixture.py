@@ -168,3 +168,15 @@ def test_lenient_profile(spark, bronze):
     assert all(r["faturamento_total"] == 0.0 for r in g)            # "R$ ..." text -> 0.0
     assert any(r["cliente_id"] == 999 and r["nome"] is None for r in g)
     assert {r["cliente_id"]: r["nome"] for r in c.collect()}[101] == "joao silva"   # first in file order
+
+
+def test_single_scan_profile_matches_separate_checks(spark, bronze):
+    root = bronze[0]
+    b = {n: spark.read.parquet(f"{root}/{n}") for n in ("clientes", "pedidos")}
+    keys = {"clientes": "cliente_id", "pedidos": "pedido_id"}
+    for t, df in b.items():
+        prof = {(r["secao"], r["coluna"]): r["valor"] for r in audit.table_profile(df, t, keys[t]).collect()}
+        sep = {("nulos", r["coluna"]): r["nulos"] for r in audit.null_counts(df, t).collect()}
+        sep[("chaves_duplicadas", keys[t])] = audit.duplicate_keys(df, t, keys[t]).first()["duplicadas"]
+        sep[("linhas_duplicadas", None)] = audit.duplicate_rows(df, t).first()["duplicadas"]
+        assert prof == sep
