@@ -51,13 +51,27 @@ def payment_methods_month(payments: DataFrame, orders: DataFrame, completed: str
 
     The reference joins payments with completed order *rows*, so a payment
     counts once per matching order row in the sum (``count(distinct)`` is
-    immune). Instead of a many-to-many join we count order rows per key
-    first and weight the amount, which gives the same numbers with a
-    many-to-one join."""
-    done = orders.where(F.col("status") == completed).groupBy("pedido_id") \
-        .agg(F.count(F.lit(1)).alias("__n"))
-    j = payments.join(done, "pedido_id", "inner")
-    return j.groupBy(month_text("data_pagamento").alias("mes_ano"), "metodo_pagamento").agg(
-        F.count_distinct("pagamento_id").alias("quantidade_transacoes"),
-        F.sum(F.col("valor_pago") * F.col("__n")).cast("decimal(38,2)").alias("valor_total_processado"),
-    )
+    immune). No payment x order-row pairs are produced here:
+
+    * ``kept`` = payments semi-joined with the completed order keys; both
+      join inputs come straight from a shuffle, so AQE can split an order key
+      that holds a large share of the payments;
+    * the distinct-payment count is a two-level aggregate over ``kept``;
+    * the sum first totals ``kept`` per (order, month, method) -- a hot order
+      shrinks to a few rows on the map side -- and only then meets the
+      per-order row counts, as ``sum(total x copies)``.
+
+    The two small results are joined on (month, method), NULL-safe."""
+    done = orders.where(F.col("status") == completed)
+    month = month_text("data_pagamento").alias("mes_ano")
+    kept = payments.join(done.select("pedido_id"), "pedido_id", "left_semi")
+    counts = kept.groupBy(month, "metodo_pagamento").agg(
+        F.count_distinct("pagamento_id").alias("quantidade_transacoes"))
+    per_order = kept.groupBy("pedido_id", month, "metodo_pagamento").agg(F.sum("valor_pago").alias("__v"))
+    copies = done.groupBy("pedido_id").agg(F.count(F.lit(1)).alias("__n"))
+    sums = per_order.join(copies, "pedido_id").groupBy("mes_ano", "metodo_pagamento").agg(
+        F.sum(F.col("__v") * F.col("__n")).cast("decimal(38,2)").alias("valor_total_processado"))
+    s2 = sums.select(F.col("mes_ano").alias("__m"), F.col("metodo_pagamento").alias("__mp"), "valor_total_processado")
+    cond = counts["mes_ano"].eqNullSafe(s2["__m"]) & counts["metodo_pagamento"].eqNullSafe(s2["__mp"])
+    return counts.join(s2, cond, "inner").select("mes_ano", "metodo_pagamento", "quantidade_transacoes",
+                                                 "valor_total_processado")
