@@ -32,6 +32,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # broadcast only what AQE has measured at runtime (a proven size), never
         # on the planner's static estimate
         "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }
