@@ -70,7 +70,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     executor can reach). Only when it is unset -- local runs and tests --
     a private folder under the system temp dir is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        sc = None
+    if sc is None:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        return root or tempfile.mkdtemp(prefix="strata-ckpt-")
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
