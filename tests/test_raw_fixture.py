@@ -180,3 +180,15 @@ def test_single_scan_profile_matches_separate_checks(spark, bronze):
         sep[("chaves_duplicadas", keys[t])] = audit.duplicate_keys(df, t, keys[t]).first()["duplicadas"]
         sep[("linhas_duplicadas", None)] = audit.duplicate_rows(df, t).first()["duplicadas"]
         assert prof == sep
+
+
+def test_reconcile_per_order_sums_payments(spark):
+    orders = spark.createDataFrame([(1, 100.0), (2, 50.0), (3, 10.0)], "pedido_id long, valor_total double")
+    pays = spark.createDataFrame([(1, 60.0), (1, 40.0), (2, 20.0), (None, 5.0)], "pedido_id long, valor_pago double")
+    per_pair = {(r["pedido_id"], r["valor_pago"]) for r in reconcile.divergences(orders, pays).collect()}
+    assert per_pair == {(1, 60.0), (1, 40.0), (2, 20.0)}
+    per_order = {r["pedido_id"]: r["diferenca"] for r in reconcile.divergences(orders, pays, per_order=True).collect()}
+    assert per_order == {2: 30.0}                     # order 1 is fully paid once payments are summed
+    nulls = reconcile.reconcile_join(orders.union(spark.createDataFrame([(None, 7.0)], orders.schema)), pays,
+                                     null_safe=True)
+    assert nulls.where("pedido_id IS NULL").count() == 1
