@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import month_text
 from ..functions.recode import COMPLETED_S
-from ..operators.integrity import fk_filter
 
 REVENUE_COLUMNS = ("mes_ano", "cliente_id", "nome_cliente", "email_cliente", "estado",
                    "total_pedidos", "faturamento_total", "ticket_medio")
@@ -18,10 +17,10 @@ def revenue_customer_month(orders: DataFrame, customers: DataFrame, completed: s
     """TR4: completed orders of known customers per customer and month,
     enriched with the customer columns.
 
-    The "known customer" filter (a semi join on ``cliente_id``) is applied
-    *after* the aggregation: ``cliente_id`` is a grouping key, so filtering
-    groups equals filtering rows, and the aggregation runs on the raw orders
-    with map-side partial aggregates. Joining first would hash the full
+    The "known customer" filter is applied *after* the aggregation:
+    ``cliente_id`` is a grouping key, so filtering groups equals filtering
+    rows, and the aggregation runs on the raw orders with map-side partial
+    aggregates. Joining first would hash the full
     order table by customer and let the aggregate reuse that partitioning,
     so one customer holding a large share of all orders would be summed by
     a single task."""
@@ -31,9 +30,11 @@ def revenue_customer_month(orders: DataFrame, customers: DataFrame, completed: s
         F.sum("valor_total").cast("decimal(38,2)").alias("faturamento_total"),
         F.avg("valor_total").alias("__avg"),
     )
-    monthly = fk_filter(monthly, customers, "cliente_id", "cliente_id", how="semi")
+    # "known customer" filter (semi join) + enrichment (left join) on the same
+    # table and key is exactly one inner join: a row kept by the semi join has
+    # at least one match, so the left join never pads it with NULLs.
     dim = customers.select(F.col("cliente_id").alias("__cid"), "nome", "email", "estado")
-    out = monthly.join(dim, monthly["cliente_id"] == dim["__cid"], "left")
+    out = monthly.join(dim, monthly["cliente_id"] == dim["__cid"], "inner")
     return out.select(
         "mes_ano",
         F.col("__cid").alias("cliente_id"),
