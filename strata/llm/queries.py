@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing
+from . import langid, neardup, packing
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,35 @@ def op6_vector_packing(spark, sf_dir):
     pieces = packing.pack_documents(documents(spark, sf_dir), tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset")
+
+
+@register
+def op7_near_duplicates(spark, sf_dir):
+    return neardup.near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+
+
+ORACLE_SQL["op7_near_duplicates"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE
+      WHEN len(w) = 0 THEN []
+      WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM words),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l USING (doc_id)
+"""
