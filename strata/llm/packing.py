@@ -15,10 +15,13 @@ out in sequences whose lengths are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,55 +43,148 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("offset", pa.int64())])
 
 
+class _Numbered(dict):
+    """Numbers its keys as they come; ``new`` holds those not yet handled."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+    def number(self, values: pa.Array) -> np.ndarray:
+        """The number of each value; equal values are looked up once."""
+        coded = values.dictionary_encode()
+        known = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        return known[coded.indices.to_numpy()]
+
+
+def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indexes begin[0], begin[0] + 1, ... (size[0] of them), begin[1], ..."""
+    ends = np.cumsum(size)
+    return np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def _bounds(group: np.ndarray) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs of equal values."""
+    cuts = (np.flatnonzero(np.diff(group)) + 1).tolist()
+    return ([0, *cuts], [*cuts, len(group)]) if len(group) else ([], [])
+
+
+class _Ids:
+    """Id sequences end to end."""
+
+    def __init__(self):
+        self.flat = np.empty(1 << 16, np.uint32)
+        self.start = np.zeros(1, np.int64)
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray):
+        used = int(self.start[-1])
+        if used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:used], np.empty(used + 2 * len(ids), np.uint32)])
+        self.flat[used:used + len(ids)] = ids
+        self.start = np.concatenate([self.start, used + np.cumsum(sizes)])
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        begin = self.start[codes]
+        size = self.start[codes + 1] - begin
+        return self.flat[_runs(begin, size)], size
+
+
 class WordEncoder:
     """Token ids of whole texts, with the ids of each word remembered.
 
     The tokenizer drops white space and never joins characters across it, so a
     text's ids are those of its words in order. Texts are cut at blanks and
     line feeds only; any other white space stays inside a "word" and is left to
-    the tokenizer.
+    the tokenizer. A word of letters with marks behind it has the ids of the
+    letters and those of the marks. Plain Latin letters are lower-cased here,
+    which is all that the tokenizer's normaliser does to them, and are encoded
+    without it, many at once; the end of each shows in its last id, whose token
+    carries the end-of-word suffix.
     """
 
-    LIMIT = 400_000
+    LIMIT = 500_000
+    #: Latin letters (without the one whose lower case is two characters), then marks other than the apostrophe
+    PLAIN = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<marks>[!\"#$%&()*+,./:;<=>?@^_`{|}~-]*)$"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.whole = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            suffix = json.load(f)["model"].get("end_of_word_suffix")
+        self.lower = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+\\Z")
+        self.letters = None
+        if suffix:
+            self.letters = Tokenizer.from_file(path)
+            self.letters.normalizer = None
+            self.is_end = np.array([(self.whole.id_to_token(i) or "").endswith(suffix)
+                                    for i in range(self.whole.get_vocab_size())])
         self._reset()
 
     def _reset(self):
-        self.known: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1, np.int64)
+        self.words, self.word_ids = _Numbered(), _Ids()
+        self.parts, self.part_ids = _Numbered(), _Ids()
 
-    def _learn(self, words: list[str]):
-        if len(self.known) + len(words) > self.LIMIT:
-            self._reset()
-        first, used = len(self.known), int(self.start[-1])
-        ids = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        ends = used + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-        need = int(ends[-1])
-        if need > len(self.flat):
-            self.flat = np.concatenate([self.flat[:used], np.empty(2 * need - used, np.uint32)])
-        self.flat[used:need] = np.fromiter((i for x in ids for i in x), np.uint32, need - used)
-        self.start = np.concatenate([self.start, ends])
-        self.known.update(zip(words, range(first, first + len(words))))
-
-    def encode(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        new = set(words).difference(self.known)
-        if len(self.known) + len(new) > self.LIMIT:
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+        return (np.fromiter((i for x in ids for i in x), np.uint32),
+                np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _learn_parts(self):
+        """Ids of the new parts: plain lower-case letters together, the rest one by one."""
+        new, self.parts.new = self.parts.new, []
+        if not new:
+            return
+        plain = np.array([self.letters is not None and w.islower() and bool(self.lower.match(w)) for w in new])
+        ids, sizes = np.empty(0, np.uint32), np.zeros(len(new), np.int64)
+        pieces: list[tuple[np.ndarray, np.ndarray]] = []
+        for chosen, encode in ((plain, self._letters), (~plain, self._whole)):
+            if chosen.any():
+                got, size = encode([w for w, c in zip(new, chosen) if c])
+                sizes[chosen] = size
+                pieces.append((np.flatnonzero(chosen), got))
+        ends = np.cumsum(sizes)
+        ids = np.empty(int(ends[-1]), np.uint32)
+        for which, got in pieces:
+            ids[_runs((ends - sizes)[which], sizes[which])] = got
+        self.part_ids.add(ids, sizes)
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        assert len(ends) == len(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self):
+        new, self.words.new = self.words.new, []
+        if not new:
+            return
+        words = pa.array(new, pa.large_string())
+        split = pc.extract_regex(words, self.PLAIN)
+        core = pc.coalesce(pc.utf8_lower(pc.struct_field(split, "core")), words)
+        marks = pc.coalesce(pc.struct_field(split, "marks"), pa.scalar("", pa.large_string()))
+        code = np.stack([self.parts.number(core), self.parts.number(marks)], axis=1)
+        self._learn_parts()
+        ids, sizes = self.part_ids.of(code.ravel())
+        self.word_ids.add(ids, sizes.reshape(-1, 2).sum(axis=1))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text; a null is empty."""
+        if not len(texts):
+            return []
+        if len(self.words) > self.LIMIT:
             self._reset()
-            new = set(words)
-        if len(new) > self.LIMIT:  # one text alone exceeds the bound
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        if new:
-            self._learn(list(new))
-        code = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        begin = self.start[code]
-        size = self.start[code + 1] - begin
-        ends = np.cumsum(size)
-        return self.flat[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]))]
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        words = pc.split_pattern(texts, " ")
+        code = self.words.number(words.flatten())
+        self._learn()
+        ids, sizes = self.word_ids.of(code)
+        last = np.cumsum(pc.list_value_length(words).to_numpy()) - 1
+        return np.split(ids, np.cumsum(sizes)[last[:-1]])
 
 
 class Packer:
@@ -207,18 +303,17 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
         encoder = WordEncoder(tokenizer_path)
         # a sequence's id: the partition in the upper bits, a counter in the lower 40
         packer = Packer(capacity, max_segments, max_loss_tokens, TaskContext.get().partitionId() << 40)
-        size = 0
         for batch in batches:
-            for doc, text, bears in zip(batch.column(0), batch.column(1), batch.column(2)):
-                ids = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id))
-                bears = bears.as_py()
-                packer.add(doc.as_py(), ids, len(ids) if bears is None else min(max(bears, 0), len(ids)))
-                size += len(ids)
-                if len(packer.pool) >= pool:
-                    packer.pack(pool // 2)
-                if size > 1 << 21:
-                    size = 0
-                    yield packer.take()
+            lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            group = np.cumsum(lengths) >> 22  # about 4 MB of text at a time
+            for at, end in zip(*_bounds(group)):
+                part = batch.slice(at, end - at)
+                for doc, bears, ids in zip(part.column(0), part.column(2), encoder.encode(part.column(1))):
+                    ids, bears = np.append(ids, np.uint32(end_id)), bears.as_py()
+                    packer.add(doc.as_py(), ids, len(ids) if bears is None else min(max(bears, 0), len(ids)))
+                    if len(packer.pool) >= pool:
+                        packer.pack(pool // 2)
+                yield packer.take()
         packer.pack(0)
         yield packer.take()
 
