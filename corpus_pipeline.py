@@ -8,10 +8,11 @@ in the shared folder and reads it back as the next stage's ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import langid, packing
+from strata.llm import containment, langid, neardup, packing, passages
 from strata.llm.common import documents, staged
-from strata.llm.queries import tokenizer_path
+from strata.llm.queries import benchmark, tokenizer_path
 
 #: A document this far from every learned language (score below it) is no prose in any of them.
 MIN_LANGUAGE_SCORE = 0.05
@@ -25,6 +26,32 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group: that with the smallest id (five-word shingles, similarity 0.8)."""
+    groups = neardup.near_duplicates(docs, shingle=5, percent=80)
+    dropped = staged(groups.where("not kept").select("doc_id").distinct(), "corpus-dropped")
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages of 50 bytes or more that an earlier document has; what is left of a cut
+    character at either end of a cut goes too. ``n_chars`` of a cut text is counted anew."""
+    had_text = "repeated_passages_had_text"
+    cut = passages.remove_passages(docs.withColumn(had_text, F.col("text").isNotNull()), length=50)
+    kept = F.col("kept").cast("string")
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.translate(F.make_valid_utf8(kept), "\ufffd", "")).when(F.col(had_text), kept)
+    cut = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a benchmark item."""
+    return containment.without_items(docs, benchmark(spark, sf_dir), shingle=5, percent=80)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of all documents that are left."""
     return packing.pack_documents(docs, tokenizer_path())
@@ -32,6 +59,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontaminate),
     ("packing", pack),
 ]
 

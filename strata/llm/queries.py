@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, neardup, packing, passages
+from ..session import table_path
+from . import containment, fingerprints, langid, neardup, packing, passages
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,44 @@ FROM sets s JOIN least l USING (doc_id)
 def op10_repeated_passages(spark, sf_dir):
     cut = passages.remove_passages(documents(spark, sf_dir).select("doc_id", "text"), length=50)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, "benchmark"))
+
+
+@register
+def op9_benchmark_containment(spark, sf_dir):
+    return containment.contained_items(documents(spark, sf_dir), benchmark(spark, sf_dir), shingle=5, percent=80)
+
+
+ORACLE_SQL["op9_benchmark_containment"] = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+  SELECT side, id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM texts),
+sets AS (
+  SELECT side, id, unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+    AS shingle
+  FROM words WHERE len(w) >= 5
+  UNION ALL
+  SELECT 'b', id, array_to_string(w, ' ') FROM words WHERE side = 'b' AND len(w) BETWEEN 1 AND 4
+  UNION ALL
+  SELECT DISTINCT 'd', d.id, array_to_string(d.w[i:i + n - 1], ' ')
+  FROM (SELECT DISTINCT len(w) AS n FROM words WHERE side = 'b' AND len(w) BETWEEN 1 AND 4) s,
+       (SELECT id, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE side = 'd') d
+  WHERE i + n - 1 <= len(d.w)),
+items AS (SELECT id, count(*) AS n FROM sets WHERE side = 'b' GROUP BY id),
+pairs AS (
+  SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared
+  FROM sets d JOIN sets b ON d.side = 'd' AND b.side = 'b' AND d.shingle = b.shingle GROUP BY ALL)
+SELECT p.doc_id, p.item_id, i.n AS n_item_shingles, p.n_shared, p.n_shared / i.n AS containment
+FROM pairs p JOIN items i ON i.id = p.item_id WHERE 100 * p.n_shared >= 80 * i.n
+"""
+
+
+@register
+def op2_weighted_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_neighbours(documents(spark, sf_dir), shingle=5)
