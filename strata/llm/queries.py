@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import containment, fingerprints, langid, neardup, packing, passages
+from . import containment, fingerprints, langid, neardup, packing, passages, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,15 @@ FROM pairs p JOIN items i ON i.id = p.item_id WHERE 100 * p.n_shared >= 80 * i.n
 @register
 def op2_weighted_fingerprints(spark, sf_dir):
     return fingerprints.fingerprint_neighbours(documents(spark, sf_dir), shingle=5)
+
+
+@register
+def op5_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = F.coalesce(langid.remainder("doc_id", 5) == 0, F.lit(False))
+    labels = spark.read.parquet(table_path(sf_dir, "labels")).where(langid.remainder("doc_id", 5) != 0) \
+        .where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # the rows to learn from are chosen before their texts are fetched: at most this many ids are broadcast
+    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(20_000)
+    model = toxicity.learn(docs.join(F.broadcast(chosen), "doc_id"), max_rows=20_000)
+    return toxicity.score(docs.withColumn("held_out", held_out), model).drop("text")
