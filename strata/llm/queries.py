@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import containment, fingerprints, langid, neardup, packing, passages, toxicity
+from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,11 @@ def op5_toxicity(spark, sf_dir):
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(20_000)
     model = toxicity.learn(docs.join(F.broadcast(chosen), "doc_id"), max_rows=20_000)
     return toxicity.score(docs.withColumn("held_out", held_out), model).drop("text")
+
+
+@register
+def op8_license_digests(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir), licenses.known_table(spark))
+
+
+ORACLE_SQL["op8_license_digests"] = licenses.oracle()
