@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity
-from .common import documents
+from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity, warc
+from .common import documents, pages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -137,3 +137,8 @@ def op8_license_digests(spark, sf_dir):
 
 
 ORACLE_SQL["op8_license_digests"] = licenses.oracle()
+
+
+@register
+def op1_warc_index(spark, sf_dir):
+    return warc.round_trip(pages(spark, sf_dir), min_bytes=0)
