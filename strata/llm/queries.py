@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity, warc
-from .common import documents, pages
+from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity, warc, wrappers
+from .common import documents, pages, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -142,3 +142,9 @@ ORACLE_SQL["op8_license_digests"] = licenses.oracle()
 @register
 def op1_warc_index(spark, sf_dir):
     return warc.round_trip(pages(spark, sf_dir), min_bytes=0)
+
+
+@register
+def op4_wrapper_extraction(spark, sf_dir):
+    table = pages(spark, sf_dir).select("page_id", "url", "html")
+    return wrappers.extract(table, staged(wrappers.learn_wrappers(table), "wrappers"))
