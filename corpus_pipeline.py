@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep one document of each group: that with the smallest id (five-word shingles, similarity 0.8)."""
     groups = neardup.near_duplicates(docs, shingle=5, percent=80)
     dropped = staged(groups.where("not kept").select("doc_id").distinct(), "corpus-dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return docs.hint("merge").join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
