@@ -125,7 +125,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int]
     yield from groupby(rows(), key=lambda r: (r["bucket"].as_py(), r["kind"].as_py()))
 
 
-def _mark_units(rows: np.ndarray, kind) -> np.ndarray:
+def _mark_units(rows: np.ndarray) -> np.ndarray:
     out = np.zeros(len(rows), _MARK)
     out["doc"], out["pos"], out["check"] = rows["doc"], rows["pos"], rows["unit"] & np.uint64(0xFFFFFFFF)
     out["hi"] = _WHOLE
@@ -146,7 +146,7 @@ def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
             new = _first(units["anchor"], units["unit"])
             least = units["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
             again = units["doc"] > least
-            rows = list(_out(MARKS, _doc_bucket(units["doc"][again], buckets), _mark_units(units[again], MARKS)))
+            rows = list(_out(MARKS, _doc_bucket(units["doc"][again], buckets), _mark_units(units[again])))
             rows += _out(UNITS, (anchor[~again] >> np.uint64(32)) % np.uint64(buckets), units[~again])
             return _batch(rows)
 
@@ -177,6 +177,17 @@ def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
 def settle_units(buckets: int) -> Callable:
     """Step 2: whole repeats become marks, ends of matches go back to their documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {MARKS: [], ENDS: []}
+
+        def flush():
+            out = []
+            for kind, parts in held.items():
+                if parts:
+                    rows = np.concatenate(parts)
+                    out += _out(kind, _doc_bucket(rows["doc"], buckets), rows)
+                    parts.clear()
+            return _batch(out)
+
         for (bucket, kind), rows in _groups(batches):
             if kind != UNITS:
                 for r in rows:
@@ -193,9 +204,11 @@ def settle_units(buckets: int) -> Callable:
             several = np.bincount(group, weights=new_unit) >= 2
             several &= np.minimum.reduceat(units["doc"], heads) < np.maximum.reduceat(units["doc"], heads)
             end = ~again & several[group]
-            out = list(_out(MARKS, _doc_bucket(units["doc"][again], buckets), _mark_units(units[again], MARKS)))
-            out += _out(ENDS, _doc_bucket(units["doc"][end], buckets), _mark_units(units[end], ENDS))
-            yield _batch(out)
+            held[MARKS].append(_mark_units(units[again]))
+            held[ENDS].append(_mark_units(units[end]))
+            if sum(len(x) for parts in held.values() for x in parts) > 2_000_000:
+                yield flush()
+        yield flush()
 
     return run
 
@@ -265,7 +278,7 @@ def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
     return run
 
 
-def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 20) -> Callable:
+def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 18) -> Callable:
     """Step 3b: matching statistics of the units against an index of their bucket."""
     def shared(rows, key, have):
         """Whether a row's key occurs with another document."""
@@ -305,7 +318,14 @@ def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 20) -> Callable:
                 for s, d in zip(strings, rows["doc"][chosen].tolist()):
                     owner[s] = min(d, owner.get(s, d))
                 index = RunLengthIndex(list(owner), np.fromiter(owner.values(), np.int64, len(owner)), cutter.length)
-                _, first, which = index.stream(strings)
+                # the first document of an anchor has nothing before it
+                new = _first(rows["anchor"][chosen])
+                least = np.minimum.reduceat(rows["doc"][chosen], np.flatnonzero(new))[np.cumsum(new) - 1]
+                later = np.flatnonzero(rows["doc"][chosen] > least)
+                if not len(later):
+                    continue
+                chosen = chosen[later]
+                _, first, which = index.stream([strings[i] for i in later])
                 hit = np.flatnonzero(first < rows["doc"][chosen][which])
                 if len(hit):
                     offset = hit - (np.cumsum(size[chosen]) - size[chosen])[which[hit]]
@@ -339,7 +359,7 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
     assert length >= 20
     cutter = _Cutter(length, max(8, length * 2 // 5))
     parts = even_parts(docs)
-    buckets = 4 * parts
+    buckets = parts
     new = ["kept", "n_bytes", "n_removed", "n_spans"]
     docs = docs.drop(*new).withColumn("doc_id", F.col("doc_id").cast("long"))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
