@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +14,6 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path, table_path
 
-__all__ = ["documents", "pages", "staged", "texts_of", "WordHashes", "mix64", "even_parts", "components"]
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, "documents"))
 
@@ -42,6 +41,22 @@ def texts_of(column: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, giving memory back to the system when a task ends: Python workers are
+    used again by later tasks, and what one task needed for a moment would stay with them."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit finaliser (multiply, shift, xor)."""
     x = x ^ (x >> np.uint64(33))

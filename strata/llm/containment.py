@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WordHashes, mix64, shingle_hashes, texts_of
+from .common import mix64, shingle_hashes, texts_of, tidy, WordHashes
 
 _FOUND = pa.struct([("item_id", pa.int64()), ("n_item", pa.int64()), ("n_shared", pa.int64())])
 
@@ -128,7 +128,7 @@ def _searched(source: DataFrame, index: ItemIndex) -> DataFrame:
                  pa.array([[dict(zip(_FOUND.names, x)) for x in found[i]] for i in full], pa.list_(_FOUND))],
                 names=["doc_id", "found"])
 
-    return source.mapInArrow(run, "doc_id long, found array<struct<item_id:long,n_item:long,n_shared:long>>")
+    return source.mapInArrow(tidy(run), "doc_id long, found array<struct<item_id:long,n_item:long,n_shared:long>>")
 
 
 def without_items(docs: DataFrame, items: DataFrame, *, shingle: int = 5, percent: int = 80,
@@ -143,5 +143,5 @@ def without_items(docs: DataFrame, items: DataFrame, *, shingle: int = 5, percen
                 clean = [not index.search(_words(t, known)) for t in texts_of(batch.column(place))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        kept = kept.mapInArrow(run, T.StructType(docs.schema.fields))
+        kept = kept.mapInArrow(tidy(run), T.StructType(docs.schema.fields))
     return kept

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, even_parts, mix64, shingle_hashes
+from .common import even_parts, mix64, shingle_hashes, tidy, WordHashes
 
 SAMPLES = 64
 
@@ -168,7 +168,7 @@ def fingerprint_neighbours(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
                  pa.array(cols[3], pa.binary())], names=["bucket", "tail", "doc_id", "blob"])
 
     # the last range's next document is the first of all: it comes after any other tail, of which that range has none
-    dealt = source.mapInArrow(deal, "bucket int, tail int, doc_id long, blob binary") \
+    dealt = source.mapInArrow(tidy(deal), "bucket int, tail int, doc_id long, blob binary") \
         .repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", F.asc_nulls_first("doc_id"), F.asc_nulls_first("blob"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,4 +210,4 @@ def fingerprint_neighbours(docs: DataFrame, *, shingle: int = 5) -> DataFrame:
         if held:
             yield flush(held)
 
-    return dealt.mapInArrow(compare, _OUT)
+    return dealt.mapInArrow(tidy(compare), _OUT)

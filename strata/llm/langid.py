@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 UNDETERMINED = "und"
 _BITS = 21  # a code point and the boundary mark fit
 _EDGE = 1
@@ -113,7 +115,7 @@ def learn_profiles(rows: DataFrame, *, length: int = 400) -> Profiles:
 
     counts = (rows.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
               .where("text is not null and lang is not null")
-              .mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+              .mapInArrow(tidy(count), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     best = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = (counts.withColumn("place", F.row_number().over(best)).where(F.col("place") <= length)
            .select("lang", "gram", "place").collect())
@@ -158,7 +160,7 @@ def predict(docs: DataFrame, profiles: Profiles, *, top: int = 300) -> DataFrame
                 [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "score"])
 
-    return keep.mapInArrow(run, schema)
+    return keep.mapInArrow(tidy(run), schema)
 
 
 def remainder(doc_id: str, by: int) -> Column:

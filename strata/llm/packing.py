@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
+
 PIECES = T.StructType([
     T.StructField("doc_id", T.LongType()),
     T.StructField("start", T.LongType()),
@@ -317,4 +319,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
         packer.pack(0)
         yield packer.take()
 
-    return source.mapInArrow(run, PIECES)
+    return source.mapInArrow(tidy(run), PIECES)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .anchors import Bytes, anchors
-from .common import even_parts, mix64, staged
+from .common import even_parts, mix64, staged, tidy
 
 _UNIT = np.dtype([("anchor", "<u4"), ("unit", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
 #: One mark: the unit (place of its anchor, check of its hash) and the repeated bytes in it, from and to.
@@ -171,7 +171,7 @@ def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
             yield flush()
 
     return docs.where("doc_id is not null and text is not null").select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(run, _SPARK_ROWS)
+        .mapInArrow(tidy(run), _SPARK_ROWS)
 
 
 def settle_units(buckets: int) -> Callable:
@@ -390,13 +390,13 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
         more = ", rest " + T.StructType([docs.schema[c] for c in columns]).simpleString() if columns else ""
         texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"),
                             *([F.struct(*columns).alias("rest")] if columns else []))
-        texts = texts.mapInArrow(compress, T._parse_datatype_string(f"{_SPARK_ROWS}, doc_id long{more}"))
+        texts = texts.mapInArrow(tidy(compress), T._parse_datatype_string(f"{_SPARK_ROWS}, doc_id long{more}"))
         return dealt(texts.unionByName(marks, allowMissingColumns=True))
 
     units = dealt(find_units(docs, cutter, buckets))
-    settled = staged(units.mapInArrow(settle_units(buckets), _SPARK_ROWS), "passages-settled")
-    ends = with_text(settled.where(F.col("kind") == ENDS), []).mapInArrow(cut_ends(cutter, buckets), _SPARK_ROWS)
-    matched = staged(dealt(ends).mapInArrow(match_ends(cutter, buckets), _SPARK_ROWS), "passages-matched")
+    settled = staged(units.mapInArrow(tidy(settle_units(buckets)), _SPARK_ROWS), "passages-settled")
+    ends = with_text(settled.where(F.col("kind") == ENDS), []).mapInArrow(tidy(cut_ends(cutter, buckets)), _SPARK_ROWS)
+    matched = staged(dealt(ends).mapInArrow(tidy(match_ends(cutter, buckets)), _SPARK_ROWS), "passages-matched")
     marks = settled.where(F.col("kind") == MARKS).unionByName(matched)
     both = with_text(marks, rest)
 
@@ -449,6 +449,6 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
             yield flush()
 
     more = ", rest " + T.StructType([docs.schema[c] for c in rest]).simpleString() if rest else ""
-    return both.mapInArrow(cut, T._parse_datatype_string(
+    return both.mapInArrow(tidy(cut), T._parse_datatype_string(
         f"doc_id long, kept binary, n_bytes long, n_removed long, n_spans long{more}")) \
         .select("doc_id", *(["rest.*"] if rest else []), "kept", "n_bytes", "n_removed", "n_spans")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged
+from .common import staged, tidy
 
 #: Identity terms by list, the neutral word first.
 IDENTITY = {
@@ -121,7 +121,7 @@ def learn(labelled: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_
         return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / ((F.col("n0") + F.col("n1")) * base))).otherwise(0.0)
 
     total = kinds[0] + kinds[1]
-    counts = sample.mapInArrow(count, "feature string, n0 long, n1 long").groupBy("feature").agg(
+    counts = sample.mapInArrow(tidy(count), "feature string, n0 long, n1 long").groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     best = counts.where("n0 + n1 >= 5").withColumn("g", part("n0", kinds[0] / total) + part("n1", kinds[1] / total)) \
         .orderBy(F.desc("g"), "feature").limit(max_features)
@@ -141,7 +141,7 @@ def learn(labelled: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_
                           pa.list_(pa.struct([("gone", pa.list_(pa.int64())), ("come", pa.list_(pa.int64()))])))],
                 names=["toxic", "features", "swaps"])
 
-    got = sample.mapInArrow(gather, "toxic int, features array<long>, swaps array<struct<gone:array<long>,come:array<long>>>") \
+    got = sample.mapInArrow(tidy(gather), "toxic int, features array<long>, swaps array<struct<gone:array<long>,come:array<long>>>") \
         .toArrow()
     rows = [np.array(r, np.int64) for r in got.column("features").to_pylist()]
     swaps = [(s["gone"], s["come"]) for x in got.column("swaps").to_pylist() for s in x]
@@ -178,5 +178,5 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 [*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())],
                 names=[*batch.schema.names, "score", "predicted"])
 
-    return keep.mapInArrow(run, T.StructType([*keep.schema.fields, T.StructField("score", T.DoubleType()),
+    return keep.mapInArrow(tidy(run), T.StructType([*keep.schema.fields, T.StructField("score", T.DoubleType()),
                                               T.StructField("predicted", T.IntegerType())]))

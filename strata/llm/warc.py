@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import even_parts, staged
+from .common import even_parts, staged, tidy
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _LINE = "key string, page_id long, file string, offset long, length long, record_type string, digest string, refers_to long"
@@ -131,7 +131,7 @@ def write_archives(pages: DataFrame, path: str, *, min_bytes: int = 0, file_byte
     typed = pages.withColumn("digest", F.sha1("payload")).hint("merge").join(revisits, ["page_id", "digest"], "left").select(
         "page_id", "url", "payload", "digest", "refers_to")
     # each row is a whole file; the zero byte that ends it is padding to a gzip reader
-    typed.mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1) \
+    typed.mapInArrow(tidy(run), "value binary").select(F.col("value").cast("string")).write.option("maxRecordsPerFile", 1) \
         .option("lineSep", "\u0000").text(path)
 
 
@@ -166,7 +166,7 @@ def build_index(spark: SparkSession, archives: str, index: str, *, lines_per_blo
                                  head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:"), int(refers) if refers else None))
                 yield _lines(rows)
 
-    lines = staged(store.files(spark).mapInArrow(read, _LINE), "warc-lines")
+    lines = staged(store.files(spark).mapInArrow(tidy(read), _LINE), "warc-lines")
     parts = even_parts(lines)
 
     def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +194,7 @@ def build_index(spark: SparkSession, archives: str, index: str, *, lines_per_blo
 
     # the page id is part of the order, so one url with very many captures spreads over ranges too
     lines.repartitionByRange(parts, "key", "page_id").sortWithinPartitions("key", "page_id", "file", "offset") \
-        .mapInArrow(block, _BLOCK) \
+        .mapInArrow(tidy(block), _BLOCK) \
         .write.parquet(store.blocks)
     spark.read.schema(_BLOCK).parquet(store.blocks).drop("data").write.parquet(store.directory)
     return store
@@ -247,7 +247,7 @@ def lookup(spark: SparkSession, store: Store, keys: DataFrame) -> DataFrame:
                 cols, [pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64()])], names=["part", "kind", "key", "page_id", "block"])
 
     asked = keys.select(F.coalesce("key", F.lit("")).alias("key"), F.col("page_id").cast("long").alias("page_id")).distinct() \
-        .mapInArrow(deal, "part long, kind int, key string, page_id long, block long")
+        .mapInArrow(tidy(deal), "part long, kind int, key string, page_id long, block long")
     entries = directory.select("part", F.lit(0).alias("kind"), F.col("first_key").alias("key"),
                                F.col("first_page").alias("page_id"), "block")
 
@@ -268,7 +268,7 @@ def lookup(spark: SparkSession, store: Store, keys: DataFrame) -> DataFrame:
                                              names=["block", "key", "page_id"])
 
     hits = entries.unionByName(asked).repartition(parts, "part").sortWithinPartitions("part", "kind", "block") \
-        .mapInArrow(search, "block long, key string, page_id long")
+        .mapInArrow(tidy(search), "block long, key string, page_id long")
     blocks = spark.read.schema(_BLOCK).parquet(store.blocks).select("block", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("key"),
                                                      F.lit(None).cast("long").alias("page_id"), "data")
 
@@ -288,7 +288,7 @@ def lookup(spark: SparkSession, store: Store, keys: DataFrame) -> DataFrame:
             yield _lines(out)
 
     return blocks.unionByName(hits.select("block", F.lit(1).alias("kind"), "key", "page_id", F.lit(None).cast("binary").alias("data"))) \
-        .repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(take, _LINE)
+        .repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(tidy(take), _LINE)
 
 
 _CAPTURE = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("named_digest", pa.string()),
@@ -324,8 +324,7 @@ def read_captures(spark: SparkSession, store: Store, lines: DataFrame, *, payloa
                 out, size = [], 0
         yield flush()
 
-    return files.unionByName(asked).repartition(even_parts(files), "file").sortWithinPartitions("file", "offset").mapInArrow(
-        run, "page_id long, record_type string, refers_to long, named_digest string, payload_bytes long, payload_digest string, payload binary")
+    return files.unionByName(asked).repartition(even_parts(files), "file").sortWithinPartitions("file", "offset").mapInArrow(tidy(run), "page_id long, record_type string, refers_to long, named_digest string, payload_bytes long, payload_digest string, payload binary")
 
 
 def fetch(spark: SparkSession, store: Store, url: str) -> list[dict]:
@@ -363,8 +362,7 @@ def round_trip(pages: DataFrame, *, min_bytes: int = 0) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([capture_key(target_uri(u)) for u in batch.column(1).to_pylist()], pa.string()),
                                               batch.column(0)], names=["key", "page_id"])
 
-    asked = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).mapInArrow(
-        keys, "key string, page_id long")
+    asked = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).mapInArrow(tidy(keys), "key string, page_id long")
     # a key without a page id asks for all captures of the key, which other keys may ask for too
     lines = lookup(spark, store, asked).dropDuplicates(["file", "offset"])
     captures = staged(read_captures(spark, store, lines, payloads=False).drop("payload"), "warc-captures")
