@@ -1,7 +1,9 @@
 """DuckDB SQL oracles for every registered query (see ``__spark_entry__``).
 
-The SQL restates the reference's models over the same dirty text views
-(``strata.plans.dirty``) and is written independently of the Spark plans.
+Written from the description of each model, not from its Spark plan: dates
+are taken apart by patterns and built again, recodes are joins with value
+tables, duplicates fall to ``arg_min``, and the marts group before they join.
+All read the same dirty text views (``strata.plans.dirty``).
 Fixed run date: ``DATE '2026-01-01'`` (the Spark side uses ``as_of``).
 """
 
@@ -11,26 +13,44 @@ from strata.plans.dirty import with_dirty_sql
 
 AS_OF_SQL = "DATE '2026-01-01'"
 
+# shapes of a date text: pattern, then the groups of year, month and day
+_CLOCK = "([0-9]{1,2}):([0-9]{1,2}):([0-9]{1,2})"
+_DASHED = ("^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})($|[ T][0-9])", 1, 2, 3)
+_SLASHED = ("^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})($|[ T][0-9])", 1, 2, 3)
+_DAY_FIRST = ("^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", 3, 2, 1)
+_DAY_FIRST_CLOCK = (f"^([0-9]{{1,2}})/([0-9]{{1,2}})/([0-9]{{4}}) {_CLOCK}$", 3, 2, 1)
+
+
+def _date(c: str, *shapes) -> str:
+    """The date of the shape that a text has; NULL for any other text and for days that do not exist."""
+    def part(pattern, k):
+        return f"CAST(regexp_extract(trim({c}), '{pattern}', {k}) AS BIGINT)"
+
+    whens = " ".join(f"WHEN regexp_matches(trim({c}), '{p}') THEN TRY(make_date({part(p, y)}, {part(p, m)}, {part(p, d)}))"
+                     for p, y, m, d in shapes)
+    return f"(CASE {whens} END)"
+
 
 def _multi_date(c: str) -> str:
-    return (f"coalesce(try_cast({c} AS DATE), try_cast(try_strptime({c}, '%d/%m/%Y') AS DATE), "
-            f"try_cast(try_strptime({c}, '%Y-%m-%d %H:%M:%S') AS DATE), "
-            f"try_cast(try_strptime({c}, '%d/%m/%Y %H:%M:%S') AS DATE))")
+    return _date(c, _DASHED, _SLASHED, _DAY_FIRST, _DAY_FIRST_CLOCK)
 
 
 def _clamp(c: str) -> str:
-    return f"CASE WHEN {c} < DATE '2000-01-01' THEN NULL WHEN {c} > {AS_OF_SQL} THEN NULL ELSE {c} END"
+    return f"(CASE WHEN {c} BETWEEN DATE '2000-01-01' AND {AS_OF_SQL} THEN {c} END)"
+
+
+def _plain(c: str) -> str:
+    """pt-BR money text without sign and thousands dots, with a decimal point."""
+    return f"translate(regexp_replace({c}, 'R\\$|[.]', '', 'g'), ',', '.')"
 
 
 def _brl(c: str) -> str:
-    return (f"coalesce(try_cast(replace(replace(replace({c}, 'R$', ''), '.', ''), ',', '.') AS DECIMAL(10,2)), "
-            f"CAST(0.00 AS DECIMAL(10,2)))")
+    return f"ifnull(TRY_CAST({_plain(c)} AS DECIMAL(10,2)), 0::DECIMAL(10,2))"
 
 
 def _brl_auto(c: str) -> str:
-    return (f"coalesce(CASE WHEN contains({c}, 'R$') OR contains({c}, ',') THEN "
-            f"try_cast(replace(replace(replace({c}, 'R$', ''), '.', ''), ',', '.') AS DECIMAL(10,2)) "
-            f"ELSE try_cast(trim({c}) AS DECIMAL(10,2)) END, CAST(0.00 AS DECIMAL(10,2)))")
+    return (f"ifnull(TRY_CAST(if(regexp_matches({c}, 'R\\$|,'), {_plain(c)}, trim({c})) AS DECIMAL(10,2)), "
+            f"0::DECIMAL(10,2))")
 
 
 def _title_words(c: str) -> str:
@@ -38,57 +58,63 @@ def _title_words(c: str) -> str:
             f"lambda w: upper(w[1]) || w[2:]), ' ')")
 
 
-STATE_CASE = """CASE upper(trim(estado))
-    WHEN 'SÃO PAULO' THEN 'SP' WHEN 'RIO DE JANEIRO' THEN 'RJ' WHEN 'MINAS GERAIS' THEN 'MG'
-    WHEN 'PARANÁ' THEN 'PR' WHEN 'RIO GRANDE DO SUL' THEN 'RS' ELSE upper(trim(estado)) END"""
+def _values(name: str, pairs: dict[str, str]) -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in pairs.items())
+    return f"(VALUES {rows}) {name}(k, v)"
+
+
+# Spellings and what they stand for.
+STATES = {"SÃO PAULO": "SP", "RIO DE JANEIRO": "RJ", "MINAS GERAIS": "MG", "PARANÁ": "PR", "RIO GRANDE DO SUL": "RS"}
+STATUSES = {"CONCLUIDO": "CONCLUÍDO", "PENDENTTE": "PENDENTE", "CANCELADO": "CANCELADO"}
+METHODS = {"cartao_credito": "Cartão de Crédito", "cartão de crédito": "Cartão de Crédito", "pix": "PIX", "boleto": "Boleto"}
 
-STATUS_CASE = """CASE upper(trim(status))
-    WHEN 'CONCLUIDO' THEN 'CONCLUÍDO' WHEN 'PENDENTTE' THEN 'PENDENTE' WHEN 'CANCELADO' THEN 'CANCELADO'
-    ELSE upper(trim(status)) END"""
 
-METHOD_CASE = """CASE lower(trim(metodo_pagamento))
-    WHEN 'cartao_credito' THEN 'Cartão de Crédito' WHEN 'cartão de crédito' THEN 'Cartão de Crédito'
-    WHEN 'pix' THEN 'PIX' WHEN 'boleto' THEN 'Boleto' ELSE trim(metodo_pagamento) END"""
+def _recoded(table: str, column: str, key: str, pairs: dict[str, str], unknown: str, alias: str) -> str:
+    """``table`` with ``alias``: the value of ``key`` in ``pairs``, or ``unknown``."""
+    return (f"SELECT t.*, ifnull(m.v, {unknown}) AS {alias} FROM {table} t "
+            f"LEFT JOIN {_values('m', pairs)} ON m.k = {key}")
 
 
 def stg_clientes_sql() -> str:
-    return f"""SELECT cliente_id, nome, email, estado, data_cadastro FROM (
-      SELECT CAST(cliente_id AS INTEGER) AS cliente_id,
-             {_title_words('nome')} AS nome,
-             coalesce(lower(trim(email)), 'nao_informado@email.com') AS email,
-             {STATE_CASE} AS estado,
-             dcf AS data_cadastro,
-             row_number() OVER (PARTITION BY CAST(cliente_id AS INTEGER) ORDER BY dcf ASC NULLS LAST, _linha) AS rn
-      FROM (SELECT *, {_clamp('dc')} AS dcf FROM (
-              SELECT *, {_multi_date('data_cadastro')} AS dc FROM dirty_customers) a) b
-    ) t WHERE rn = 1 AND cliente_id IS NOT NULL"""
+    """One row a customer: that with the earliest plausible date, missing dates last, then the first line."""
+    rows = _recoded("dirty_customers", "estado", "upper(trim(t.estado))", STATES, "upper(trim(t.estado))", "uf")
+    return f"""SELECT id AS cliente_id, best.nome AS nome, best.email AS email, best.uf AS estado, best.dia AS data_cadastro
+    FROM (SELECT id, arg_min({{'nome': nome_ok, 'email': email_ok, 'uf': uf, 'dia': dia}},
+                             ifnull(strftime(dia, '%Y%m%d'), '99999999') || lpad(CAST(_linha AS VARCHAR), 20, '0')) AS best
+          FROM (SELECT CAST(cliente_id AS INTEGER) AS id, {_title_words('nome')} AS nome_ok,
+                       ifnull(trim(lower(email)), 'nao_informado@email.com') AS email_ok, uf, _linha,
+                       {_clamp(_multi_date('data_cadastro'))} AS dia
+                FROM ({rows}) r)
+          WHERE id IS NOT NULL GROUP BY id)"""
 
 
 def stg_pedidos_sql(money: str = "literal") -> str:
+    """Different rows with an id, a plausible date and a known customer."""
     brl = _brl if money == "literal" else _brl_auto
-    return f"""SELECT try_cast(f.pedido_id AS BIGINT) AS pedido_id,
-           try_cast(f.cliente_id AS INTEGER) AS cliente_id,
-           f.dpf AS data_pedido,
-           {brl('f.valor_total')} AS valor_total,
-           {STATUS_CASE.replace('status', 'f.status')} AS status
-    FROM (SELECT *, {_clamp('dpc')} AS dpf FROM (
-            SELECT *, {_multi_date('data_pedido')} AS dpc FROM (
-              SELECT DISTINCT pedido_id, cliente_id, data_pedido, valor_total, status FROM dirty_orders) d) a) f
-    INNER JOIN (SELECT cliente_id FROM stg_clientes) c ON try_cast(f.cliente_id AS INTEGER) = c.cliente_id
-    WHERE f.pedido_id IS NOT NULL AND f.dpf IS NOT NULL"""
+    rows = _recoded("(SELECT pedido_id, cliente_id, data_pedido, valor_total, status FROM dirty_orders GROUP BY ALL)",
+                    "status", "upper(trim(t.status))", STATUSES, "upper(trim(t.status))", "situacao")
+    return f"""SELECT * FROM (
+      SELECT TRY_CAST(pedido_id AS BIGINT) AS pedido_id, TRY_CAST(cliente_id AS INTEGER) AS cliente_id,
+             {_clamp(_multi_date('data_pedido'))} AS data_pedido, {brl('valor_total')} AS valor_total, situacao AS status
+      FROM ({rows}) r WHERE pedido_id IS NOT NULL)
+    WHERE data_pedido IS NOT NULL AND cliente_id IN (SELECT cliente_id FROM stg_clientes)"""
 
 
 def stg_pagamentos_sql(money: str = "literal") -> str:
+    """A row for each payment with an id and each row of its order."""
     brl = _brl if money == "literal" else _brl_auto
-    return f"""SELECT try_cast(f.pagamento_id AS BIGINT) AS pagamento_id,
-           try_cast(f.pedido_id AS BIGINT) AS pedido_id,
-           {METHOD_CASE.replace('metodo_pagamento', 'f.metodo_pagamento')} AS metodo_pagamento,
-           {brl('f.valor_pago')} AS valor_pago,
-           coalesce(try_cast(f.data_pagamento AS DATE),
-                    try_cast(try_strptime(f.data_pagamento, '%d/%m/%Y') AS DATE)) AS data_pagamento
-    FROM dirty_payments f
-    INNER JOIN (SELECT pedido_id FROM stg_pedidos) p ON try_cast(f.pedido_id AS BIGINT) = p.pedido_id
-    WHERE f.pagamento_id IS NOT NULL"""
+    rows = _recoded("dirty_payments", "metodo_pagamento", "lower(trim(t.metodo_pagamento))", METHODS,
+                    "trim(t.metodo_pagamento)", "metodo")
+    return f"""SELECT TRY_CAST(pagamento_id AS BIGINT) AS pagamento_id, o.pedido_id, metodo AS metodo_pagamento,
+           {brl('valor_pago')} AS valor_pago, {_date('data_pagamento', _DASHED, _SLASHED, _DAY_FIRST)} AS data_pagamento
+    FROM (SELECT pedido_id, unnest(range(count(*))) FROM stg_pedidos GROUP BY pedido_id) o
+    JOIN ({rows}) p ON o.pedido_id = TRY_CAST(p.pedido_id AS BIGINT)
+    WHERE p.pagamento_id IS NOT NULL"""
+
+
+STATE_SQL = f"SELECT _linha, estado, uf AS estado_uf FROM ({_recoded('dirty_customers', 'estado', 'upper(trim(t.estado))', STATES, 'upper(trim(t.estado))', 'uf')}) r"
+STATUS_SQL = f"SELECT _linha, status, s AS status_padrao FROM ({_recoded('dirty_orders', 'status', 'upper(trim(t.status))', STATUSES, 'upper(trim(t.status))', 's')}) r"
+METHOD_SQL = f"SELECT _linha, metodo_pagamento, m AS metodo_padrao FROM ({_recoded('dirty_payments', 'metodo_pagamento', 'lower(trim(t.metodo_pagamento))', METHODS, 'trim(t.metodo_pagamento)', 'm')}) r".replace(" m(k, v)", " x(k, v)").replace("m.v", "x.v").replace("m.k", "x.k")
 
 
 def _with(body: str, money: str = "literal", extra: str = "") -> str:
@@ -104,24 +130,18 @@ resumo AS ({RESUMO_BODY}){extra}
 {body}""")
 
 
-FATURAMENTO_BODY = """SELECT v.mes_ano, c.cliente_id, c.nome AS nome_cliente, c.email AS email_cliente, c.estado,
-         v.total_pedidos, v.faturamento_total,
-         CAST(round(CAST(v.ticket_medio AS DECIMAL(18,6)), 2) AS DOUBLE) AS ticket_medio
-  FROM (SELECT p.cliente_id, strftime(p.data_pedido, '%Y-%m') AS mes_ano,
-               count(DISTINCT p.pedido_id) AS total_pedidos,
-               CAST(sum(p.valor_total) AS DECIMAL(38,2)) AS faturamento_total,
-               avg(p.valor_total) AS ticket_medio
-        FROM stg_pedidos p INNER JOIN stg_clientes c ON p.cliente_id = c.cliente_id
-        WHERE p.status = 'CONCLUÍDO'
-        GROUP BY 1, 2) v
-  LEFT JOIN stg_clientes c ON v.cliente_id = c.cliente_id"""
+FATURAMENTO_BODY = """SELECT mes_ano, cliente_id, nome AS nome_cliente, email AS email_cliente, estado,
+         total_pedidos, faturamento_total, round(media, 2) AS ticket_medio
+  FROM (SELECT cliente_id, strftime(data_pedido, '%Y-%m') AS mes_ano, count(DISTINCT pedido_id) AS total_pedidos,
+               sum(valor_total)::DECIMAL(38,2) AS faturamento_total, avg(valor_total) AS media
+        FROM stg_pedidos WHERE status = 'CONCLUÍDO' GROUP BY ALL)
+  JOIN stg_clientes USING (cliente_id)"""
 
-RESUMO_BODY = """SELECT strftime(pag.data_pagamento, '%Y-%m') AS mes_ano, pag.metodo_pagamento,
-         count(DISTINCT pag.pagamento_id) AS quantidade_transacoes,
-         CAST(sum(pag.valor_pago) AS DECIMAL(38,2)) AS valor_total_processado
-  FROM stg_pagamentos pag
-  INNER JOIN (SELECT * FROM stg_pedidos WHERE status = 'CONCLUÍDO') ped ON pag.pedido_id = ped.pedido_id
-  GROUP BY 1, 2"""
+RESUMO_BODY = """SELECT strftime(data_pagamento, '%Y-%m') AS mes_ano, metodo_pagamento,
+         count(DISTINCT pagamento_id) AS quantidade_transacoes, sum(valor_pago * vezes)::DECIMAL(38,2) AS valor_total_processado
+  FROM stg_pagamentos
+  JOIN (SELECT pedido_id, count(*) AS vezes FROM stg_pedidos WHERE status = 'CONCLUÍDO' GROUP BY pedido_id) USING (pedido_id)
+  GROUP BY ALL"""
 
 
 def _strict_iso(c: str) -> str:
@@ -303,9 +323,10 @@ def oracle_sql() -> dict[str, str]:
                          f"FROM dirty_customers")
     q["parse_date_strict"] = W(f"SELECT _linha, data_pagamento, {_strict_iso('data_pagamento')} AS data_iso "
                                f"FROM dirty_payments")
-    q["parse_date_coerce"] = W("SELECT _linha, data_pedido, dc AS data_coerce, coalesce(strftime(dc, '%Y-%m'), 'NaT') "
-                               "AS mes FROM (SELECT *, CAST(try_strptime(trim(data_pedido), '%Y-%m-%d') AS DATE) "
-                               "AS dc FROM dirty_orders) o")
+    q["parse_date_coerce"] = W(
+        "SELECT _linha, data_pedido, dc AS data_coerce, ifnull(strftime(dc, '%Y-%m'), 'NaT') AS mes FROM ("
+        "SELECT _linha, data_pedido, if(d BETWEEN DATE '1677-09-22' AND DATE '2262-04-11', d, NULL) AS dc FROM ("
+        f"SELECT *, {_date('data_pedido', ('^([0-9]+)-([0-9]{1,2})-([0-9]{1,2})$', 1, 2, 3))} AS d FROM dirty_orders) a) b")
     q["parse_brl"] = W(f"SELECT _linha, valor_total, {_brl('valor_total')} AS valor_literal, "
                        f"{_brl_auto('valor_total')} AS valor_auto FROM dirty_orders")
     q["num_coerce_zero"] = W(f"SELECT _linha, valor_pago, {_num('valor_pago')} AS valor_num FROM dirty_payments")
@@ -317,9 +338,9 @@ def oracle_sql() -> dict[str, str]:
                               f"{_title_words('nome')} AS nome_split FROM dirty_customers")
     q["title_case_letters"] = W(f"SELECT _linha, nome, {_title_letters(_strip('nome'))} AS nome_title "
                                 f"FROM dirty_customers")
-    q["recode_state"] = W(f"SELECT _linha, estado, {STATE_CASE} AS estado_uf FROM dirty_customers")
-    q["recode_status"] = W(f"SELECT _linha, status, {STATUS_CASE} AS status_padrao FROM dirty_orders")
-    q["recode_method"] = W(f"SELECT _linha, metodo_pagamento, {METHOD_CASE} AS metodo_padrao FROM dirty_payments")
+    q["recode_state"] = W(STATE_SQL)
+    q["recode_status"] = W(STATUS_SQL)
+    q["recode_method"] = W(METHOD_SQL)
     q["recode_exact_keep"] = W(f"SELECT _linha, estado, {STATE_A_CASE} AS estado_uf FROM dirty_customers")
     q["recode_exact_default"] = W(f"SELECT _linha, status, {STATUS_A_CASE} AS status_padrao FROM dirty_orders")
     q["recode_exact_null"] = W(f"SELECT _linha, metodo_pagamento, {METHOD_A_CASE} AS metodo_padrao "
@@ -392,21 +413,34 @@ def oracle_sql() -> dict[str, str]:
                                    "FROM faturamento GROUP BY estado ORDER BY faturamento_total DESC")
     q["mart_method_share"] = W(
         "SELECT metodo_pagamento, valor, CASE WHEN t <> 0 THEN round(CAST(valor AS DOUBLE) / t * 100, 2) ELSE 0.0 END "
-        "AS percentual FROM (SELECT metodo_pagamento, CAST(sum(valor_total_processado) AS DECIMAL(38,2)) AS valor "
+        "AS percentual, format('{:,.1f}%', round(CASE WHEN t <> 0 THEN round(CAST(valor AS DOUBLE) / t * 100, 2) "
+        "ELSE 0.0 END, 1)) AS rotulo FROM (SELECT metodo_pagamento, CAST(sum(valor_total_processado) AS DECIMAL(38,2)) AS valor "
         "FROM resumo GROUP BY 1) a, (SELECT CAST(sum(valor_total_processado) AS DOUBLE) AS t FROM resumo) b")
     q["mart_method_volume"] = W("SELECT metodo_pagamento, CAST(sum(quantidade_transacoes) AS BIGINT) AS "
                                 "quantidade_transacoes FROM resumo GROUP BY 1")
     order_raw = "pedido_id, cliente_id, data_pedido, valor_total, status"
     q["src_csv_text"] = W(f"SELECT {order_raw}, CAST(_linha AS VARCHAR) AS _linha FROM dirty_orders")
-    q["src_csv_typed"] = W(f"SELECT CAST(pedido_id AS BIGINT) AS pedido_id, cliente_id, data_pedido, valor_total, "
-                           f"status, _linha FROM dirty_orders")
+    q["src_csv_typed"] = W("SELECT CAST(pedido_id AS BIGINT) AS pedido_id, CAST(cliente_id AS DOUBLE) AS cliente_id, "
+                           "data_pedido, valor_total, status, CAST(_linha AS INTEGER) AS _linha FROM dirty_orders")
+    client_raw = "cliente_id, nome, email, estado, data_cadastro"
+    q["src_csv_dialect"] = W("SELECT cliente_id, nome || ' \"' || estado || '\"' || chr(10) || 'linha 2, ' || cliente_id AS nome, "
+                             "email, estado, data_cadastro FROM dirty_customers")
+    q["src_csv_header_order"] = W(f"SELECT {client_raw} FROM dirty_customers")
     pay_raw = "pagamento_id, pedido_id, metodo_pagamento, valor_pago, data_pagamento"
     q["src_json_text"] = W(f"SELECT {pay_raw}, CAST(_linha AS VARCHAR) AS _linha FROM dirty_payments")
-    q["src_json_typed"] = W(f"SELECT {pay_raw}, _linha FROM dirty_payments")
+    q["src_json_array_text"] = q["src_json_text"]
+    q["src_json_typed"] = W("SELECT CAST(pagamento_id AS BIGINT) AS pagamento_id, CAST(pedido_id AS BIGINT) AS pedido_id, "
+                            "metodo_pagamento, valor_pago, data_pagamento, _linha FROM dirty_payments")
     q["src_parquet_layer"] = W("SELECT * FROM dirty_customers")
     q["snapshot_latest"] = W(f"SELECT DISTINCT {order_raw} FROM dirty_orders")
     q["snapshot_as_of"] = W("SELECT * FROM dirty_customers")
     q["bronze_ingest"] = W(f"SELECT {order_raw}, _linha FROM dirty_orders")
+    q["bronze_ingest_clientes"] = W(f"SELECT {client_raw}, _linha FROM dirty_customers")
+    q["bronze_ingest_pagamentos"] = W(f"SELECT {pay_raw}, _linha FROM dirty_payments")
+    file_order = ", ".join(f"{c} DESC NULLS LAST" for c in pay_raw.split(", ")[::-1])
+    q["dedup_first_file_order"] = W(f"SELECT DISTINCT ON (pagamento_id) {pay_raw} FROM dirty_payments "
+                                    f"ORDER BY pagamento_id, {file_order}")
+    q["gold_rebuild_replaces"] = W("SELECT * FROM faturamento WHERE mes_ano >= '2000-07'")
     q["metrics_rowcounts"] = W("SELECT 'clientes' AS tabela, count(*) AS linhas FROM dirty_customers UNION ALL "
                                "SELECT 'pagamentos', count(*) FROM dirty_payments UNION ALL "
                                "SELECT 'pedidos', count(*) FROM dirty_orders")

@@ -104,9 +104,10 @@ PANDAS_MIN_DATE = "1677-09-22"
 PANDAS_MAX_DATE = "2262-04-11"
 
 
-def parse_date_coerce(c, fmt: str = "yyyy-MM-dd", bounds: tuple[str, str] | None = None) -> Column:
-    """DT5: one fixed format; everything else NULL. With ``bounds`` dates
-    outside ``[lo, hi]`` are NULL too."""
+def parse_date_coerce(c, fmt: str = "yyyy-MM-dd",
+                      bounds: tuple[str, str] | None = (PANDAS_MIN_DATE, PANDAS_MAX_DATE)) -> Column:
+    """DT5: one fixed format; everything else NULL, dates outside ``bounds``
+    (both ends included; None: no bounds) too."""
     d = _try_format(F.trim(_c(c)), fmt)
     if bounds:
         lo, hi = bounds

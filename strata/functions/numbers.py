@@ -48,13 +48,12 @@ def to_int_tolerant(c, dtype: str = "bigint") -> Column:
 
 
 def to_int_strict(c, dtype: str = "int") -> Column:
-    """NUM4: strict cast, raises on bad input under ANSI mode."""
-    return _c(c).cast(dtype)
-
-
-def sum_money(c) -> Column:
-    """Sum of money, widened to decimal(38,2) (the SQL engines differ)."""
-    return F.sum(_c(c)).cast("decimal(38,2)")
+    """NUM4: reads what :func:`to_int_tolerant` reads (``101.0``, ``101.5``, ``1e2``)
+    and raises on any other text, whatever the session's ANSI flag; NULL stays NULL."""
+    c = _c(c).cast("string")
+    v = to_int_tolerant(c, dtype)
+    bad = F.raise_error(F.concat(F.lit("not an integer: "), c)).cast(dtype)
+    return F.when(c.isNull() | v.isNotNull(), v).otherwise(bad)
 
 
 def fmt_brl_display(c) -> Column:
@@ -68,10 +67,5 @@ def fmt_int_display(c) -> Column:
 
 
 def fmt_pct_display(c) -> Column:
-    """NUM8: ``12.3%`` label of a percentage value."""
-    return F.concat(F.format_number(_c(c).cast("double"), 1), F.lit("%"))
-
-
-def ptbr_text(x) -> Column:
-    """A double rendered as pt-BR money text without the sign: ``1.234,56``."""
-    return F.translate(F.format_number(_c(x), 2), ",.", ".,")
+    """NUM8: ``12.3%`` label of a percentage value (half up)."""
+    return F.concat(F.format_number(F.round(_c(c).cast("double"), 1), 1), F.lit("%"))

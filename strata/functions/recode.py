@@ -1,13 +1,13 @@
 """Value recoding (RC1-RC6) with literal maps kept JVM-side.
 
 Small maps become a literal ``map`` and one ``try_element_at`` lookup
-(inside whole-stage codegen). Large maps should be a table joined with
-``broadcast`` after checking its size (see :func:`recode_join`).
+(inside whole-stage codegen). A large map is a table: left-join it and let
+adaptive execution measure its size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -106,16 +106,3 @@ def recode_method(c) -> Column:
 def recode_status_lenient(c) -> Column:
     """RC6: upper then value replacement."""
     return recode_keep(F.upper(_c(c)), STATUS_D_REPLACE)
-
-
-def recode_join(df: DataFrame, column: str, map_df: DataFrame, key: str, value: str,
-                max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """RC1 for large maps: left join with a map table, unknown keeps input.
-
-    The map side is broadcast only after its row count is checked against
-    ``max_broadcast_rows``; beyond that it is a regular shuffle join."""
-    m = map_df.select(F.col(key).alias("__k"), F.col(value).alias("__v")).dropDuplicates(["__k"])
-    n = m.count()
-    side = F.broadcast(m) if n <= max_broadcast_rows else m
-    out = df.join(side, df[column] == F.col("__k"), "left")
-    return out.withColumn(column, F.coalesce(F.col("__v"), F.col(column))).drop("__k", "__v")

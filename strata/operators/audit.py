@@ -53,9 +53,12 @@ def orphan_rows(child: DataFrame, parent: DataFrame, child_key, parent_key: str,
 
 
 def orphan_count(child: DataFrame, parent: DataFrame, child_key, parent_key: str, table: str) -> DataFrame:
-    """AG14: number of orphan child rows."""
-    o = orphans(child, parent, child_key, parent_key, null_safe=True)
-    return o.agg(F.count(F.lit(1)).cast("bigint").alias("orfaos")).select(F.lit(table).alias("tabela"), "orfaos")
+    """AG14: number of orphan child rows. Rows are counted per key before the
+    join, so a hot or NULL key is one row there."""
+    keys = child.groupBy(child[child_key].alias("__k") if isinstance(child_key, str) else child_key.alias("__k")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    o = orphans(keys, parent.select(parent_key).distinct(), "__k", parent_key, null_safe=True)
+    return o.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("orfaos")).select(F.lit(table).alias("tabela"), "orfaos")
 
 
 def table_profile(df: DataFrame, table: str, key: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -66,7 +69,7 @@ def table_profile(df: DataFrame, table: str, key: str, columns: Sequence[str] |
     everything: duplicate rows are ``sum(n - 1)``, the NULL count of a
     column is ``sum(n)`` over groups where it is NULL, and the distinct key
     values are unchanged by the grouping. Returns the findings in the
-    ``audit_report`` layout ``(secao, tabela, coluna, valor)``."""
+    report layout ``(secao, tabela, coluna, valor)``."""
     cols = list(columns) if columns else [c for c in df.columns if not c.startswith("_")]
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
     n = F.col("__n")
@@ -85,8 +88,9 @@ def table_profile(df: DataFrame, table: str, key: str, columns: Sequence[str] |
 
 
 def audit_report_profiled(tables: dict[str, tuple[DataFrame, str]], orphan_parts: list[DataFrame]) -> DataFrame:
-    """DQ6 with one scan per table (:func:`table_profile`) plus the orphan
-    counts; same rows as :func:`audit_report`."""
+    """DQ6: one long findings table ``(secao, tabela, coluna, valor)`` from one
+    profiling scan per table (:func:`table_profile`) and the orphan counts,
+    which scan the key columns of child and parent."""
     parts = [table_profile(df, t, key) for t, (df, key) in tables.items()]
     parts += [p.select(F.lit("orfaos").alias("secao"), "tabela", F.lit(None).cast("string").alias("coluna"),
                        F.col("orfaos").cast("bigint").alias("valor")) for p in orphan_parts]
@@ -94,24 +98,3 @@ def audit_report_profiled(tables: dict[str, tuple[DataFrame, str]], orphan_parts
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def audit_report(null_parts: list[DataFrame], dupkey_parts: list[DataFrame],
-                 duprow_parts: list[DataFrame], orphan_parts: list[DataFrame]) -> DataFrame:
-    """DQ6: one long findings table ``(secao, tabela, coluna, valor)``."""
-    parts = []
-    for p in null_parts:
-        parts.append(p.select(F.lit("nulos").alias("secao"), "tabela", "coluna", F.col("nulos").alias("valor")))
-    for p in dupkey_parts:
-        parts.append(p.select(F.lit("chaves_duplicadas").alias("secao"), "tabela", "coluna",
-                              F.col("duplicadas").alias("valor")))
-    for p in duprow_parts:
-        parts.append(p.select(F.lit("linhas_duplicadas").alias("secao"), "tabela",
-                              F.lit(None).cast("string").alias("coluna"), F.col("duplicadas").alias("valor")))
-    for p in orphan_parts:
-        parts.append(p.select(F.lit("orfaos").alias("secao"), "tabela",
-                              F.lit(None).cast("string").alias("coluna"), F.col("orfaos").alias("valor")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out

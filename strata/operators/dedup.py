@@ -50,11 +50,3 @@ def distinct_rows(df: DataFrame, business_columns: Sequence[str] | None = None)
     re-landed by a later batch still collapse)."""
     cols = list(business_columns) if business_columns else [c for c in df.columns if not c.startswith("_")]
     return df.select(*cols).distinct()
-
-
-def distinct_rows_first(df: DataFrame, business_columns: Sequence[str] | None = None,
-                        ordinal: str = "_linha") -> DataFrame:
-    """SET2 keeping the ordinal of the first copy (needed when a later
-    step depends on file order)."""
-    cols = list(business_columns) if business_columns else [c for c in df.columns if not c.startswith("_")]
-    return df.groupBy(*cols).agg(F.min(ordinal).alias(ordinal))

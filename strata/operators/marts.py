@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import fmt_brl_display, fmt_int_display
+from ..functions.numbers import fmt_brl_display, fmt_int_display, fmt_pct_display
 
 MONTH_ALIASES = ("mes_ano", "mes")
 NAME_ALIASES = ("nome_cliente", "nome")
@@ -78,12 +78,14 @@ def revenue_by_state(revenue: DataFrame) -> DataFrame:
 
 
 def method_share(methods: DataFrame) -> DataFrame:
-    """AG9 + WIN2: value per method and percent of the grand total."""
+    """AG9 + WIN2: value per method, percent of the grand total and its label.
+    The total is that of the few rows per method; pass a written table, as it is read for both."""
     v = resolve_col(methods, METHOD_VALUE_ALIASES)
     per = methods.groupBy("metodo_pagamento").agg(F.sum(v).cast("decimal(38,2)").alias("valor"))
-    total = methods.agg(F.sum(v).cast("double").alias("t")).scalar()
+    total = per.agg(F.sum("valor").cast("double").alias("t")).scalar()
     pct = F.when(total != 0, F.round(F.col("valor").cast("double") / total * 100, 2)).otherwise(F.lit(0.0))
-    return per.select("metodo_pagamento", "valor", pct.alias("percentual"))
+    return per.select("metodo_pagamento", "valor", pct.alias("percentual")) \
+        .withColumn("rotulo", fmt_pct_display("percentual"))
 
 
 def method_volume(methods: DataFrame) -> DataFrame:

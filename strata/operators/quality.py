@@ -20,6 +20,7 @@ from dataclasses import field as dc_field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.recode import ACCEPTED_STATUS_DECLARED
 from .integrity import missing_parents
 
 
@@ -104,3 +105,24 @@ def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
 def failed_errors(report: DataFrame) -> DataFrame:
     """DQ5: rows that should fail a job (error severity with failures)."""
     return report.where((F.col("severidade") == "error") & (F.col("falhas") > 0))
+
+
+# The declared column tests of the S models (FIXTURES section 3).
+DECLARED_CHECKS = [
+    not_null("stg_clientes", "cliente_id"),
+    unique("stg_clientes", "cliente_id"),
+    not_null("stg_pedidos", "pedido_id"),
+    unique("stg_pedidos", "pedido_id"),
+    not_null("stg_pedidos", "cliente_id"),
+    relationships("stg_pedidos", "cliente_id", "stg_clientes", "cliente_id"),
+    accepted_values("stg_pedidos", "status", ACCEPTED_STATUS_DECLARED),
+    not_null("stg_pagamentos", "pagamento_id"),
+    unique("stg_pagamentos", "pagamento_id"),
+    not_null("stg_pagamentos", "pedido_id"),
+    relationships("stg_pagamentos", "pedido_id", "stg_pedidos", "pedido_id", severity="warn"),
+    not_null("faturamento_cliente_mensal", "mes_ano"),
+    not_null("faturamento_cliente_mensal", "cliente_id"),
+    relationships("faturamento_cliente_mensal", "cliente_id", "stg_clientes", "cliente_id"),
+    not_null("faturamento_cliente_mensal", "faturamento_total"),
+    not_null("resumo_metodos_pagamento", "metodo_pagamento"),
+]

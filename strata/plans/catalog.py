@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ..session import scratch_path
 from ..sources import readers, sinks, snapshots
 from ..streaming.ingest import stream_bronze
 from . import jobs
-from ..operators import audit, dedup, degrade, integrity, marts, quality, reconcile
+from ..operators import audit, dedup, integrity, marts, quality, reconcile
 from . import dirty
 from .audit_clean import clean_customers_a, clean_orders_a, clean_payments_a
 from .gold import payment_methods_month, revenue_customer_month
@@ -47,13 +48,41 @@ def s_customers(spark, sf, as_of=AS_OF):
     return silver_customers(dirty.dirty_customers(spark, sf), as_of=as_of)
 
 
-def s_orders(spark, sf, money="literal", as_of=AS_OF):
-    return silver_orders(dirty.dirty_orders(spark, sf), s_customers(spark, sf, as_of), as_of=as_of,
-                         money_mode=money)
-
-
-def s_payments(spark, sf, money="literal", as_of=AS_OF):
-    return silver_payments(dirty.dirty_payments(spark, sf), s_orders(spark, sf, money, as_of), money_mode=money)
+# The S models and what each is built from. A model that feeds another is
+# written first: joins on it then read shuffled files, which adaptive execution can
+# split when one key is hot (it does not split the output of a window).
+S_INPUTS = {
+    "stg_clientes": (),
+    "stg_pedidos": ("stg_clientes",),
+    "stg_pagamentos": ("stg_pedidos",),
+    "faturamento_cliente_mensal": ("stg_pedidos", "stg_clientes"),
+    "resumo_metodos_pagamento": ("stg_pagamentos", "stg_pedidos"),
+}
+
+
+def s_model(spark, sf, name, done=None, root=None):
+    """An S model, lazy, over written inputs; ``done`` collects those."""
+    done, root = {} if done is None else done, root or scratch_path(spark, "models")
+    for i in S_INPUTS[name]:
+        if i not in done:
+            done[i] = sinks.materialize(s_model(spark, sf, i, done, root), f"{root}/{i}")
+    inputs = [done[i] for i in S_INPUTS[name]]
+    if name == "stg_clientes":
+        return s_customers(spark, sf)
+    if name == "stg_pedidos":
+        return silver_orders(dirty.dirty_orders(spark, sf), *inputs, as_of=AS_OF)
+    if name == "stg_pagamentos":
+        return silver_payments(dirty.dirty_payments(spark, sf), *inputs)
+    return (revenue_customer_month if name == "faturamento_cliente_mensal" else payment_methods_month)(*inputs)
+
+
+def s_written(spark, sf, *names):
+    """The named S models, written, with whatever they need and nothing else."""
+    done, root = {}, scratch_path(spark, "models")
+    for n in names:
+        if n not in done:
+            done[n] = sinks.materialize(s_model(spark, sf, n, done, root), f"{root}/{n}")
+    return {n: done[n] for n in names}
 
 
 # -- silver / gold models (TR1-TR5) -------------------------------------------
@@ -65,22 +94,33 @@ def q_silver_customers(spark, sf):
 
 @register("silver_orders")
 def q_silver_orders(spark, sf):
-    return s_orders(spark, sf)
+    return s_model(spark, sf, "stg_pedidos")
 
 
 @register("silver_payments")
 def q_silver_payments(spark, sf):
-    return s_payments(spark, sf)
+    return s_model(spark, sf, "stg_pagamentos")
 
 
 @register
 def gold_revenue_customer_month(spark, sf):
-    return revenue_customer_month(s_orders(spark, sf), s_customers(spark, sf))
+    return s_model(spark, sf, "faturamento_cliente_mensal")
 
 
 @register
 def gold_payment_methods(spark, sf):
-    return payment_methods_month(s_payments(spark, sf), s_orders(spark, sf))
+    return s_model(spark, sf, "resumo_metodos_pagamento")
+
+
+@register
+def gold_rebuild_replaces(spark, sf):
+    """A full rebuild of the gold mart without its early months: they go."""
+    t = s_written(spark, sf, "stg_clientes", "stg_pedidos")
+    path = scratch_path(spark, "gold-rebuild")
+    for since in ("2000-01-01", "2000-07-01"):
+        orders = t["stg_pedidos"].where(F.col("data_pedido") >= F.lit(since).cast("date"))
+        sinks.write_layer(revenue_customer_month(orders, t["stg_clientes"]), path, partition_by=["mes_ano"])
+    return spark.read.parquet(path).withColumn("mes_ano", F.col("mes_ano").cast("string"))
 
 
 # -- date expressions (DT1-DT7) ------------------------------------------------
@@ -229,14 +269,14 @@ def dedup_first_by_key(spark, sf):
 @register
 def fk_filter_semi(spark, sf):
     o = dirty.dirty_orders(spark, sf).withColumn("cliente_int", numbers.to_int_tolerant("cliente_id", "int"))
-    return integrity.fk_filter(o, s_customers(spark, sf), "cliente_int", "cliente_id", how="semi") \
+    return integrity.fk_filter(o, s_written(spark, sf, "stg_clientes")["stg_clientes"], "cliente_int", "cliente_id", how="semi") \
         .select("_linha", "pedido_id", "cliente_id", "cliente_int")
 
 
 @register
 def fk_filter_inner_fanout(spark, sf):
     p = dirty.dirty_payments(spark, sf).withColumn("pedido_big", numbers.to_int_tolerant("pedido_id", "bigint"))
-    return integrity.fk_filter(p, s_orders(spark, sf), "pedido_big", "pedido_id", how="inner") \
+    return integrity.fk_filter(p, s_written(spark, sf, "stg_pedidos")["stg_pedidos"], "pedido_big", "pedido_id", how="inner") \
         .select("_linha", "pagamento_id", "pedido_big")
 
 
@@ -382,44 +422,10 @@ def gold_revenue_lenient(spark, sf):
 
 # -- data-quality tests on the S models (DQ1-DQ5) ----------------------------
 
-def s_tables(spark, sf):
-    """The five S models, each written once under the shared checkpoint
-    folder and read back: the checks then scan files instead of each
-    recomputing the model chain."""
-    root = scratch_path(spark, "models")
-    c = sinks.materialize(s_customers(spark, sf), f"{root}/stg_clientes")
-    o = sinks.materialize(silver_orders(dirty.dirty_orders(spark, sf), c, as_of=AS_OF), f"{root}/stg_pedidos")
-    p = sinks.materialize(silver_payments(dirty.dirty_payments(spark, sf), o), f"{root}/stg_pagamentos")
-    return {"stg_clientes": c, "stg_pedidos": o, "stg_pagamentos": p,
-            "faturamento_cliente_mensal": sinks.materialize(revenue_customer_month(o, c),
-                                                            f"{root}/faturamento_cliente_mensal"),
-            "resumo_metodos_pagamento": sinks.materialize(payment_methods_month(p, o),
-                                                          f"{root}/resumo_metodos_pagamento")}
-
-
-# Declared column tests of the S models (FIXTURES section 3).
-DECLARED_CHECKS = [
-    quality.not_null("stg_clientes", "cliente_id"),
-    quality.unique("stg_clientes", "cliente_id"),
-    quality.not_null("stg_pedidos", "pedido_id"),
-    quality.unique("stg_pedidos", "pedido_id"),
-    quality.not_null("stg_pedidos", "cliente_id"),
-    quality.relationships("stg_pedidos", "cliente_id", "stg_clientes", "cliente_id"),
-    quality.accepted_values("stg_pedidos", "status", recode.ACCEPTED_STATUS_DECLARED),
-    quality.not_null("stg_pagamentos", "pagamento_id"),
-    quality.unique("stg_pagamentos", "pagamento_id"),
-    quality.not_null("stg_pagamentos", "pedido_id"),
-    quality.relationships("stg_pagamentos", "pedido_id", "stg_pedidos", "pedido_id", severity="warn"),
-    quality.not_null("faturamento_cliente_mensal", "mes_ano"),
-    quality.not_null("faturamento_cliente_mensal", "cliente_id"),
-    quality.relationships("faturamento_cliente_mensal", "cliente_id", "stg_clientes", "cliente_id"),
-    quality.not_null("faturamento_cliente_mensal", "faturamento_total"),
-    quality.not_null("resumo_metodos_pagamento", "metodo_pagamento"),
-]
-
-
 def _dq(spark, sf, test):
-    return quality.run_checks(s_tables(spark, sf), [c for c in DECLARED_CHECKS if test in (None, c.test)])
+    checks = [c for c in quality.DECLARED_CHECKS if test in (None, c.test)]
+    names = dict.fromkeys([c.table for c in checks] + [c.to for c in checks if c.to])
+    return quality.run_checks(s_written(spark, sf, *names), checks)
 
 
 @register
@@ -439,8 +445,7 @@ def dq_relationships(spark, sf):
 
 @register
 def dq_accepted_values(spark, sf):
-    t = s_tables(spark, sf)
-    return quality.run_checks(t, [
+    return quality.run_checks(s_written(spark, sf, "stg_pedidos"), [
         quality.accepted_values("stg_pedidos", "status", recode.ACCEPTED_STATUS_DECLARED),
         quality.accepted_values("stg_pedidos", "status", ("CONCLUÍDO", "PENDENTE", "CANCELADO"), severity="warn"),
     ])
@@ -454,12 +459,11 @@ def dq_report(spark, sf):
 # -- reporting marts (TR9, TR10) -------------------------------------------
 
 def _gold_s(spark, sf):
-    c, o = s_customers(spark, sf), s_orders(spark, sf)
-    return revenue_customer_month(o, c)
+    return s_model(spark, sf, "faturamento_cliente_mensal")
 
 
 def _methods_s(spark, sf):
-    return payment_methods_month(s_payments(spark, sf), s_orders(spark, sf))
+    return s_written(spark, sf, "resumo_metodos_pagamento")["resumo_metodos_pagamento"]
 
 
 @register
@@ -502,25 +506,6 @@ def mart_method_volume(spark, sf):
     return marts.method_volume(_methods_s(spark, sf))
 
 
-# -- seeded degradation (FI1-FI3); rows-only checks ---------------------------
-
-@register
-def sample_exact_n(spark, sf):
-    return degrade.sample_exact_n(dirty.dirty_customers(spark, sf), "_linha", 5, seed=42)
-
-
-@register
-def degrade_nulls(spark, sf):
-    return degrade.degrade_nulls(dirty.dirty_orders(spark, sf), "_linha", "valor_total", 7, seed=42)
-
-
-@register
-def degrade_recode(spark, sf):
-    return degrade.degrade_recode(dirty.dirty_orders(spark, sf), "_linha", "status",
-                                  {"CONCLUIDO": "concluido", "PENDENTE": "pendentte", "CANCELADO": "Cancelado"},
-                                  10, seed=42)
-
-
 # -- sources, sinks, snapshots, jobs (SRC*, SNK*) -----------------------------
 # These write into a fresh folder under the shared checkpoint dir and read
 # the result back.
@@ -534,17 +519,34 @@ def write_raw_csv(df, path, null_token_col=None):
     """Land a DataFrame as raw CSV (header, spaces kept). With
     ``null_token_col`` its NULLs are written as the tokens NA/null/None."""
     if null_token_col:
-        tok = F.element_at(F.array(F.lit("NA"), F.lit("null"), F.lit("None")),
-                           (F.abs(F.xxhash64(*df.columns)) % 3 + 1).cast("int"))
+        tokens = [t for t in readers.NULL_TOKENS if t]
+        tok = F.element_at(F.array(*map(F.lit, tokens)), (F.pmod(F.xxhash64(*df.columns), F.lit(len(tokens))) + 1).cast("int"))
         df = df.withColumn(null_token_col, F.coalesce(F.col(null_token_col), tok))
     df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False) \
-        .option("ignoreTrailingWhiteSpace", False).csv(path)
+        .option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(path)
 
 
 def write_raw_json(df, path):
     df.write.mode("overwrite").json(path)
 
 
+def write_raw_json_arrays(df, path, files=8):
+    """Land rows as files that hold one indented JSON array each."""
+    def array(batches):
+        first = True
+        for batch in batches:
+            lines = []
+            for r in batch.column(0).to_pylist():
+                lines.append(("[\n" if first else ",\n") + "  " + r)
+                first = False
+            yield pa.RecordBatch.from_pydict({"value": lines})
+        if not first:
+            yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).repartition(files).mapInArrow(array, "value string") \
+        .write.mode("overwrite").text(path)
+
+
 @register
 def src_csv_text(spark, sf):
     path = scratch_path(spark, "raw-pedidos-csv")
@@ -552,12 +554,30 @@ def src_csv_text(spark, sf):
     return readers.read_csv_text(spark, path, ORDER_RAW + ["_linha"])
 
 
+@register
+def src_csv_dialect(spark, sf):
+    """Doubled quotes, line breaks in quotes and every null token."""
+    path = scratch_path(spark, "raw-clientes-csv")
+    c = dirty.dirty_customers(spark, sf)
+    c = c.withColumn("nome", F.concat("nome", F.lit(' "'), "estado", F.lit('"\nlinha 2, '), "cliente_id"))
+    write_raw_csv(c.repartition(8), path, null_token_col="email")
+    return readers.read_csv_text(spark, path, CUSTOMER_RAW, multi_line=True)
+
+
+@register
+def src_csv_header_order(spark, sf):
+    """Columns stand in the file in another order than the caller names them."""
+    path = scratch_path(spark, "raw-clientes-csv")
+    write_raw_csv(dirty.dirty_customers(spark, sf).select(*CUSTOMER_RAW[::-1]).repartition(4), path)
+    return readers.read_source(spark, path, None, CUSTOMER_RAW)
+
+
 @register
 def src_csv_typed(spark, sf):
     path = scratch_path(spark, "raw-pedidos-csv")
     write_raw_csv(dirty.dirty_orders(spark, sf), path)
-    schema = ("pedido_id BIGINT, cliente_id STRING, data_pedido STRING, valor_total STRING, status STRING, "
-              "_linha BIGINT")
+    schema = ("pedido_id BIGINT, cliente_id DOUBLE, data_pedido STRING, valor_total STRING, status STRING, "
+              "_linha INT")
     return readers.read_csv_typed(spark, path, schema)
 
 
@@ -568,13 +588,21 @@ def src_json_text(spark, sf):
     return readers.read_json_text(spark, path, PAYMENT_RAW + ["_linha"])
 
 
+@register
+def src_json_array_text(spark, sf):
+    path = f"{scratch_path(spark, 'raw-pagamentos')}.json"
+    write_raw_json_arrays(dirty.dirty_payments(spark, sf), path)
+    return readers.read_source(spark, path, None, PAYMENT_RAW + ["_linha"], multi_line=True)
+
+
 @register
 def src_json_typed(spark, sf):
     path = scratch_path(spark, "raw-pagamentos-json")
-    write_raw_json(dirty.dirty_payments(spark, sf), path)
-    schema = ("pagamento_id STRING, pedido_id STRING, metodo_pagamento STRING, valor_pago STRING, "
+    p = dirty.dirty_payments(spark, sf)
+    write_raw_json_arrays(p.withColumns({k: F.col(k).cast("bigint") for k in ("pagamento_id", "pedido_id")}), path)
+    schema = ("pagamento_id BIGINT, pedido_id BIGINT, metodo_pagamento STRING, valor_pago STRING, "
               "data_pagamento STRING, _linha BIGINT")
-    return readers.read_json_typed(spark, path, schema)
+    return readers.read_json_typed(spark, path, schema, multi_line=True)
 
 
 @register
@@ -601,23 +629,51 @@ def snapshot_as_of(spark, sf):
 
 
 def _land_raw(spark, sf):
-    """Driver tables -> dirty raw files (CSV, CSV, JSON Lines) -> specs."""
+    """Driver tables -> dirty raw files (CSV, CSV, JSON arrays) -> specs."""
     raw = scratch_path(spark, "raw")
     write_raw_csv(dirty.dirty_customers(spark, sf), f"{raw}/clientes", null_token_col="email")
     write_raw_csv(dirty.dirty_orders(spark, sf), f"{raw}/pedidos")
-    write_raw_json(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
+    write_raw_json_arrays(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
     return [jobs.SourceSpec("clientes", f"{raw}/clientes", "csv", tuple(CUSTOMER_RAW), "_linha"),
             jobs.SourceSpec("pedidos", f"{raw}/pedidos", "csv", tuple(ORDER_RAW), "_linha"),
-            jobs.SourceSpec("pagamentos", f"{raw}/pagamentos", "json", tuple(PAYMENT_RAW), "_linha")]
+            jobs.SourceSpec("pagamentos", f"{raw}/pagamentos", "json", tuple(PAYMENT_RAW), "_linha", multi_line=True)]
+
+
+def _bronze(spark, sf, name, columns):
+    root = scratch_path(spark, "bronze")
+    jobs.bronze_ingest(spark, _land_raw(spark, sf), root)
+    b = spark.read.parquet(f"{root}/{name}")
+    return b.where(F.col("_ingerido_em").isNotNull()).select(*columns, "_linha")
 
 
 @register
 def bronze_ingest(spark, sf):
-    specs = _land_raw(spark, sf)
+    return _bronze(spark, sf, "pedidos", ORDER_RAW)
+
+
+@register
+def bronze_ingest_clientes(spark, sf):
+    return _bronze(spark, sf, "clientes", CUSTOMER_RAW)
+
+
+@register
+def bronze_ingest_pagamentos(spark, sf):
+    return _bronze(spark, sf, "pagamentos", PAYMENT_RAW)
+
+
+@register
+def dedup_first_file_order(spark, sf):
+    """First row of each payment in the order of the files, which hold no line
+    numbers: rows are landed in descending order of date, then of the rest."""
+    path = scratch_path(spark, "raw-pagamentos-csv")
+    order = [F.col(c).desc_nulls_last() for c in PAYMENT_RAW[::-1]]
+    rows = dirty.dirty_payments(spark, sf).select(*PAYMENT_RAW)
+    write_raw_csv(rows.repartitionByRange(8, *order).sortWithinPartitions(*order), path)
+    spec = jobs.SourceSpec("pagamentos", path, "csv", tuple(PAYMENT_RAW))
     root = scratch_path(spark, "bronze")
-    jobs.bronze_ingest(spark, specs, root)
-    b = spark.read.parquet(f"{root}/pedidos")
-    return b.where(F.col("_ingerido_em").isNotNull()).select(*ORDER_RAW, "_linha")
+    jobs.bronze_ingest(spark, [spec], root)
+    b = spark.read.parquet(f"{root}/pagamentos")
+    return dedup.first_by_key(b, "pagamento_id", readers.FILE_ORDER).select(*PAYMENT_RAW)
 
 
 @register
@@ -640,9 +696,9 @@ def bronze_ingest_stream(spark, sf):
 def medallion_end_to_end(spark, sf):
     specs = _land_raw(spark, sf)
     bronze = scratch_path(spark, "bronze")
-    jobs.bronze_ingest(spark, specs, bronze, versioned=True)
+    jobs.bronze_ingest(spark, specs, bronze)
     out = scratch_path(spark, "lake")
-    jobs.run_profile_s(spark, bronze, out, as_of=AS_OF, versioned_bronze=True)
+    jobs.run_profile_s(spark, bronze, out, as_of=AS_OF)
     g = spark.read.parquet(f"{out}/gold/faturamento_cliente_mensal")
     return g.withColumn("mes_ano", F.col("mes_ano").cast("string"))
 

@@ -161,7 +161,9 @@ def dirty_customers_from(customer: DataFrame) -> DataFrame:
     data2 = F.when(k % 26 == 0, F.date_sub(d, 10)).otherwise(F.date_add(d, 30)).cast("string")
     base = customer.select(
         k.alias("__k"), _copies(k % 13 == 0).alias("__copy"),
-        ks.alias("cliente_id"), nome.alias("nome"), email.alias("email"),
+        F.when(k % 100 == 0, F.concat((k / 100).cast("bigint").cast("string"), F.lit("e2")))
+        .when(k % 17 == 0, F.concat(ks, F.lit(".0"))).otherwise(ks).alias("cliente_id"),
+        nome.alias("nome"), email.alias("email"),
         estado.alias("estado"), data.alias("data_cadastro"), data2.alias("__data2"))
     second = F.col("__copy") == 1
     return base.select(
@@ -287,7 +289,9 @@ def dirty_customers_sql() -> str:
         f"WHEN c_nationkey % {len(STATE_VARIANTS)} = {i} THEN {_q(v)}"
         for i, v in enumerate(STATE_VARIANTS)) + " END"
     d = "(DATE '1998-01-01' + CAST((c_custkey * 7) % 10000 AS INTEGER))"
-    base = f"""SELECT c_custkey AS k, {ks} AS cliente_id, {nome} AS nome,
+    base = f"""SELECT c_custkey AS k,
+      CASE WHEN c_custkey % 100 = 0 THEN CAST(c_custkey // 100 AS VARCHAR) || 'e2'
+           WHEN c_custkey % 17 = 0 THEN {ks} || '.0' ELSE {ks} END AS cliente_id, {nome} AS nome,
       CASE WHEN c_custkey % 6 = 0 THEN NULL
            WHEN c_custkey % 5 = 1 THEN ' Cliente' || {ks} || '@Mail.COM '
            ELSE 'cliente' || {ks} || '@mail.com' END AS email,

@@ -19,16 +19,18 @@ def revenue_customer_month(orders: DataFrame, customers: DataFrame, completed: s
 
     The "known customer" filter is applied *after* the aggregation:
     ``cliente_id`` is a grouping key, so filtering groups equals filtering
-    rows, and the aggregation runs on the raw orders with map-side partial
-    aggregates. Joining first would hash the full
-    order table by customer and let the aggregate reuse that partitioning,
-    so one customer holding a large share of all orders would be summed by
-    a single task."""
+    rows, and the aggregation runs on the orders as given with map-side
+    partial aggregates. Pass a written table: over a lazy chain that joins
+    orders by customer the aggregate would reuse that partitioning, and one
+    customer holding a large share of all orders would be summed by a
+    single task."""
     done = orders.where(F.col("status") == completed)
     monthly = done.groupBy("cliente_id", month_text("data_pedido").alias("mes_ano")).agg(
         F.count_distinct("pedido_id").alias("total_pedidos"),
         F.sum("valor_total").cast("decimal(38,2)").alias("faturamento_total"),
-        F.avg("valor_total").alias("__avg"),
+        # the double average of decimals: an exact sum of cents, divided once
+        (F.sum("valor_total").cast("decimal(38,2)") * 100).cast("double").alias("__cents"),
+        F.count("valor_total").alias("__n"),
     )
     # "known customer" filter (semi join) + enrichment (left join) on the same
     # table and key is exactly one inner join: a row kept by the semi join has
@@ -43,36 +45,22 @@ def revenue_customer_month(orders: DataFrame, customers: DataFrame, completed: s
         "estado",
         "total_pedidos",
         "faturamento_total",
-        F.round("__avg", 2).cast("double").alias("ticket_medio"),
+        F.round(F.col("__cents") / (F.col("__n") * 100.0), 2).alias("ticket_medio"),
     )
 
 
 def payment_methods_month(payments: DataFrame, orders: DataFrame, completed: str = COMPLETED_S) -> DataFrame:
     """TR5: payments of completed orders per month and method.
 
-    The reference joins payments with completed order *rows*, so a payment
-    counts once per matching order row in the sum (``count(distinct)`` is
-    immune). No payment x order-row pairs are produced here:
-
-    * ``kept`` = payments semi-joined with the completed order keys; both
-      join inputs come straight from a shuffle, so AQE can split an order key
-      that holds a large share of the payments;
-    * the distinct-payment count is a two-level aggregate over ``kept``;
-    * the sum first totals ``kept`` per (order, month, method) -- a hot order
-      shrinks to a few rows on the map side -- and only then meets the
-      per-order row counts, as ``sum(total x copies)``.
-
-    The two small results are joined on (month, method), NULL-safe."""
-    done = orders.where(F.col("status") == completed)
-    month = month_text("data_pagamento").alias("mes_ano")
-    kept = payments.join(done.select("pedido_id"), "pedido_id", "left_semi")
-    counts = kept.groupBy(month, "metodo_pagamento").agg(
-        F.count_distinct("pagamento_id").alias("quantidade_transacoes"))
-    per_order = kept.groupBy("pedido_id", month, "metodo_pagamento").agg(F.sum("valor_pago").alias("__v"))
-    copies = done.groupBy("pedido_id").agg(F.count(F.lit(1)).alias("__n"))
-    sums = per_order.join(copies, "pedido_id").groupBy("mes_ano", "metodo_pagamento").agg(
-        F.sum(F.col("__v") * F.col("__n")).cast("decimal(38,2)").alias("valor_total_processado"))
-    s2 = sums.select(F.col("mes_ano").alias("__m"), F.col("metodo_pagamento").alias("__mp"), "valor_total_processado")
-    cond = counts["mes_ano"].eqNullSafe(s2["__m"]) & counts["metodo_pagamento"].eqNullSafe(s2["__mp"])
-    return counts.join(s2, cond, "inner").select("mes_ano", "metodo_pagamento", "quantidade_transacoes",
-                                                 "valor_total_processado")
+    A payment counts once per matching order row in the sum; the distinct
+    count is immune. Payments are first totalled per (order, month, method,
+    payment), which combines on the map side, so one scan serves both
+    measures. The totals then meet the completed rows of their order in a
+    plain inner join: both inputs come straight from a shuffle, so AQE can
+    split an order that holds a large share of the payments."""
+    paid = payments.groupBy("pedido_id", month_text("data_pagamento").alias("mes_ano"), "metodo_pagamento", "pagamento_id") \
+        .agg(F.sum("valor_pago").alias("__v"))
+    done = orders.where(F.col("status") == completed).select("pedido_id")
+    return paid.join(done, "pedido_id").groupBy("mes_ano", "metodo_pagamento").agg(
+        F.count_distinct("pagamento_id").alias("quantidade_transacoes"),
+        F.sum("__v").cast("decimal(38,2)").alias("valor_total_processado"))

@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import degrade, marts, quality
-from ..sources import readers, sinks, snapshots
+from ..operators import marts, quality
+from ..sources import readers, sinks
 from .gold import payment_methods_month, revenue_customer_month
 from .lenient import revenue_lenient, silver_customers_lenient, silver_orders_lenient, silver_payments_lenient
 from .silver import CUSTOMER_COLUMNS, ORDER_COLUMNS, PAYMENT_COLUMNS, silver_customers, silver_orders, silver_payments
@@ -26,6 +26,7 @@ class SourceSpec:
     fmt: str             # csv | json
     columns: tuple       # raw column names (text schema)
     ordinal: str | None = None   # source line-number column, if the source has one
+    multi_line: bool = False     # csv: line breaks in quotes; json: a file is one array
 
 
 DEFAULT_SOURCES = (
@@ -38,37 +39,34 @@ DEFAULT_SOURCES = (
 def ingest_one(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """Raw text + ingest ordinal + ingest instant (SRC1/SRC3 + SNK1)."""
     cols = list(spec.columns) + ([spec.ordinal] if spec.ordinal else [])
-    df = readers.read_source(spark, spec.path, spec.fmt, cols)
-    if spec.fmt == "json":
-        df = readers.apply_null_tokens(df, tokens=("",))
+    df = readers.read_source(spark, spec.path, spec.fmt, cols, spec.multi_line)
     if spec.ordinal:
         df = df.withColumn("_linha", F.col(spec.ordinal).try_cast("bigint"))
         if spec.ordinal != "_linha":
             df = df.drop(spec.ordinal)
     else:
-        df = readers.with_ordinal(df)
+        df = readers.with_file_order(df)
     return sinks.add_ingest_meta(df)
 
 
-def bronze_ingest(spark: SparkSession, specs: list[SourceSpec], bronze_root: str,
-                  versioned: bool = False) -> dict[str, int]:
+def bronze_ingest(spark: SparkSession, specs: list[SourceSpec], bronze_root: str) -> dict[str, int]:
     """SNK5: ordered load of every source into bronze; returns row counts
     gathered by observations during the write (no extra pass)."""
     counts = {}
     for spec in specs:
         df, obs = sinks.observed(ingest_one(spark, spec), f"bronze_{spec.name}")
-        target = f"{bronze_root.rstrip('/')}/{spec.name}"
-        if versioned:
-            snapshots.write_snapshot(df, target)
-        else:
-            sinks.write_layer(df, target)
+        sinks.write_layer(df, f"{bronze_root.rstrip('/')}/{spec.name}")
         counts[spec.name] = int(obs.get.get("linhas", 0))
     return counts
 
 
-def read_bronze(spark: SparkSession, bronze_root: str, name: str, versioned: bool = False) -> DataFrame:
-    target = f"{bronze_root.rstrip('/')}/{name}"
-    return snapshots.read_snapshot(spark, target) if versioned else spark.read.parquet(target)
+def read_bronze(spark: SparkSession, bronze_root: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{bronze_root.rstrip('/')}/{name}")
+
+
+def file_order(bronze: DataFrame) -> tuple[str, ...]:
+    """The columns that give source order in a bronze table."""
+    return tuple(c for c in readers.FILE_ORDER if c in bronze.columns)
 
 
 class QualityGateError(RuntimeError):
@@ -76,7 +74,7 @@ class QualityGateError(RuntimeError):
 
 
 def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=None,
-                  money_mode: str = "literal", versioned_bronze: bool = False,
+                  money_mode: str = "literal",
                   fail_on_error: bool = False) -> DataFrame:
     """SNK7: bronze -> silver (3 tables) -> gold (2 marts) -> DQ report.
 
@@ -84,7 +82,7 @@ def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=No
     ``fail_on_error`` (DQ5) the job raises when an error-severity test
     failed; warn-severity failures never fail the job."""
     out = out_root.rstrip("/")
-    b = {n: read_bronze(spark, bronze_root, n, versioned_bronze) for n, _, _ in DEFAULT_SOURCES}
+    b = {n: read_bronze(spark, bronze_root, n) for n, _, _ in DEFAULT_SOURCES}
     sinks.write_layer(silver_customers(b["clientes"], as_of=as_of), f"{out}/silver/stg_clientes")
     c = spark.read.parquet(f"{out}/silver/stg_clientes")
     sinks.write_layer(silver_orders(b["pedidos"], c, as_of=as_of, money_mode=money_mode),
@@ -98,8 +96,7 @@ def run_profile_s(spark: SparkSession, bronze_root: str, out_root: str, as_of=No
     tables = {"stg_clientes": c, "stg_pedidos": o, "stg_pagamentos": p,
               "faturamento_cliente_mensal": spark.read.parquet(f"{out}/gold/faturamento_cliente_mensal"),
               "resumo_metodos_pagamento": spark.read.parquet(f"{out}/gold/resumo_metodos_pagamento")}
-    from .catalog import DECLARED_CHECKS
-    sinks.write_layer(quality.run_checks(tables, DECLARED_CHECKS), f"{out}/quality/report")
+    sinks.write_layer(quality.run_checks(tables, quality.DECLARED_CHECKS), f"{out}/quality/report")
     report = spark.read.parquet(f"{out}/quality/report")
     if fail_on_error:
         failed = quality.failed_errors(report).select("tabela", "coluna", "teste", "falhas").collect()
@@ -125,23 +122,17 @@ def run_marts(spark: SparkSession, gold_root: str, out_root: str) -> dict[str, s
     return built
 
 
-def run_profile_d(spark: SparkSession, bronze_root: str, out_root: str, versioned: bool = True,
-                  payment_order=("_linha",), degrade_seed: int | None = None) -> DataFrame:
-    """SNK6: lenient build; silver and gold written as versioned snapshots.
-    With ``degrade_seed`` the bronze frames are first degraded (FI1-FI3)
-    and the degraded bronze is committed as a new snapshot version."""
+def run_profile_d(spark: SparkSession, bronze_root: str, out_root: str, payment_order=None) -> DataFrame:
+    """SNK6: lenient build of silver and gold. The first row of a key is the
+    first in source order; ``payment_order`` overrides that of the payments."""
     out = out_root.rstrip("/")
     b = {n: read_bronze(spark, bronze_root, n) for n, _, _ in DEFAULT_SOURCES}
-    if degrade_seed is not None:
-        b = degrade.degrade_sources(b, seed=degrade_seed)
-        for n, df in b.items():
-            snapshots.write_snapshot(df, f"{out}/bronze/{n}")
-        b = {n: snapshots.read_snapshot(spark, f"{out}/bronze/{n}") for n in b}
-    w = (lambda df, p: snapshots.write_snapshot(df, p)) if versioned else (lambda df, p: sinks.write_layer(df, p))
-    r = (lambda p: snapshots.read_snapshot(spark, p)) if versioned else (lambda p: spark.read.parquet(p))
-    w(silver_customers_lenient(b["clientes"]), f"{out}/delta/stg_clientes")
-    w(silver_orders_lenient(b["pedidos"]), f"{out}/delta/stg_pedidos")
-    w(silver_payments_lenient(b["pagamentos"], ordinal=payment_order), f"{out}/delta/stg_pagamentos")
-    w(revenue_lenient(r(f"{out}/delta/stg_pedidos"), r(f"{out}/delta/stg_clientes")),
-      f"{out}/gold/faturamento_cliente_mensal")
-    return r(f"{out}/gold/faturamento_cliente_mensal")
+    order = {n: file_order(df) for n, df in b.items()}
+    sinks.write_layer(silver_customers_lenient(b["clientes"], ordinal=order["clientes"]), f"{out}/lenient/stg_clientes")
+    sinks.write_layer(silver_orders_lenient(b["pedidos"], ordinal=order["pedidos"]), f"{out}/lenient/stg_pedidos")
+    sinks.write_layer(silver_payments_lenient(b["pagamentos"], ordinal=payment_order or order["pagamentos"]),
+                      f"{out}/lenient/stg_pagamentos")
+    sinks.write_layer(revenue_lenient(spark.read.parquet(f"{out}/lenient/stg_pedidos"),
+                                      spark.read.parquet(f"{out}/lenient/stg_clientes")),
+                      f"{out}/gold/faturamento_cliente_mensal")
+    return spark.read.parquet(f"{out}/gold/faturamento_cliente_mensal")

@@ -15,20 +15,17 @@ from ..functions.recode import recode_method, recode_state, recode_status
 from ..functions.text import email_normalized, title_words
 from ..operators.dedup import best_row_per_key, distinct_rows
 from ..operators.integrity import fk_filter
+from ..sources.readers import FILE_ORDER
 
 CUSTOMER_COLUMNS = ("cliente_id", "nome", "email", "estado", "data_cadastro")
 ORDER_COLUMNS = ("pedido_id", "cliente_id", "data_pedido", "valor_total", "status")
 PAYMENT_COLUMNS = ("pagamento_id", "pedido_id", "metodo_pagamento", "valor_pago", "data_pagamento")
 
 
-def _tiebreak(df: DataFrame, ordinal: str) -> list:
-    return [F.col(ordinal).asc()] if ordinal in df.columns else []
-
-
-def silver_customers(bronze: DataFrame, as_of=None, ordinal: str = "_linha") -> DataFrame:
+def silver_customers(bronze: DataFrame, as_of=None, ordinal=FILE_ORDER) -> DataFrame:
     """TR1: typed, normalised customers; one row per ``cliente_id``, the
     earliest plausible registration date winning (NULL dates last)."""
-    extra = [ordinal] if ordinal in bronze.columns else []
+    extra = [c for c in ordinal if c in bronze.columns]
     typed = bronze.select(
         to_int_strict("cliente_id", "int").alias("cliente_id"),
         title_words("nome").alias("nome"),
@@ -37,7 +34,7 @@ def silver_customers(bronze: DataFrame, as_of=None, ordinal: str = "_linha") ->
         clamp_date(parse_date_multi("data_cadastro"), as_of=as_of).alias("data_cadastro"),
         *extra,
     )
-    order = [F.col("data_cadastro").asc_nulls_last()] + _tiebreak(typed, ordinal)
+    order = [F.col("data_cadastro").asc_nulls_last(), *(F.col(c).asc() for c in extra)]
     return best_row_per_key(typed, "cliente_id", order).select(*CUSTOMER_COLUMNS)
 
 

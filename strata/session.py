@@ -67,8 +67,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the job submitter (a folder every
-    executor can reach). Only when it is unset -- local runs and tests --
-    a private folder under the system temp dir is created and registered.
+    executor can reach); a session whose master is not local raises when
+    it is unset. Only local runs and tests get a private folder under the
+    system temp dir.
     """
     try:
         sc = spark.sparkContext
@@ -76,9 +77,13 @@ def checkpoint_root(spark: SparkSession) -> str:
         sc = None
     if sc is None:
         root = spark.conf.get("spark.checkpoint.dir", None)
-        return root or tempfile.mkdtemp(prefix="strata-ckpt-")
+        if not root:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return root
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if sc.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text tokens that pandas' CSV reader turns into missing values.
-NULL_TOKENS = ("", "NA", "null", "None")
+# All text tokens that pandas' CSV reader turns into missing values.
+NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+               "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+# The order of rows in the source files, as persisted in bronze (see with_file_order).
+FILE_ORDER = ("_arquivo", "_bloco", "_linha")
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -31,50 +35,55 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
                            for c in cols})
 
 
-def _csv_reader(spark: SparkSession):
-    # Keep surrounding spaces: they are data here (" PENDENTE ").
-    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False).option("multiLine", False))
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    # Keep surrounding spaces: they are data here (" PENDENTE "). A quote inside a quoted field is doubled.
+    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("escape", '"')
+            .option("ignoreTrailingWhiteSpace", False).option("multiLine", multi_line))
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-                  null_tokens: Sequence[str] | None = NULL_TOKENS) -> DataFrame:
+                  null_tokens: Sequence[str] | None = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """SRC1: CSV with header, quoted fields, every column text.
 
-    Without ``columns`` the header names are used (no ``inferSchema``: all
-    columns stay strings, only the first line is read for names)."""
-    r = _csv_reader(spark)
-    df = r.schema(text_schema(columns)).csv(path) if columns else r.csv(path)
+    Columns are bound by the names in the header (of the first file; a file
+    with another header raises); ``columns`` selects and orders them, and a
+    missing one raises. No ``inferSchema``: only the first line is read for
+    names. ``multi_line`` allows line breaks in quoted fields; such files
+    cannot be split, so land many of them."""
+    r = _csv_reader(spark, multi_line)
+    names = r.csv(path).columns
+    df = _csv_reader(spark, multi_line).option("enforceSchema", False).schema(text_schema(names)).csv(path)
+    if columns:
+        df = df.select(*columns)
     return apply_null_tokens(df, tokens=null_tokens) if null_tokens else df
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-                   null_tokens: Sequence[str] | None = NULL_TOKENS) -> DataFrame:
-    """SRC2: CSV with an explicit schema (``inferSchema`` only if none)."""
-    r = _csv_reader(spark)
+                   null_tokens: Sequence[str] | None = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
+    """SRC2: CSV with an explicit schema (``inferSchema`` only if none).
+
+    Fields are read as text, bound by header name, null tokens become NULL,
+    and the rest is cast (a text that does not fit the type is NULL)."""
     if schema is None:
-        df = r.option("inferSchema", True).csv(path)
+        df = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path)
         return apply_null_tokens(df, tokens=null_tokens) if null_tokens else df
-    if null_tokens:
-        # read as text first so the tokens can be nulled, then cast (try_cast)
-        names = schema.fieldNames() if isinstance(schema, T.StructType) else None
-        st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-        raw = apply_null_tokens(r.schema(text_schema(names or st.fieldNames())).csv(path), tokens=null_tokens)
-        return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
-    return r.schema(schema).csv(path)
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    raw = read_csv_text(spark, path, st.fieldNames(), null_tokens, multi_line)
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
 def read_json_text(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
     """SRC3: JSON records, every field text (number tokens keep their
-    text, e.g. ``30.0``). JSON Lines by default: a pretty-printed array
-    (``multi_line=True``) cannot be split and is read by one task per file."""
-    return spark.read.schema(text_schema(columns)).option("multiLine", multi_line) \
+    text, e.g. ``30.0``). JSON Lines by default; ``multi_line=True`` reads
+    files that hold an array, one task per file, so land many of them.
+    A record that cannot be parsed raises."""
+    return spark.read.schema(text_schema(columns)).option("multiLine", multi_line).option("mode", "FAILFAST") \
         .option("primitivesAsString", True).json(path)
 
 
 def read_json_typed(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
-    """SRC4: JSON records with an explicit schema."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """SRC4: JSON records with an explicit schema; a bad record raises."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
 
 
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -94,24 +103,35 @@ def read_source(spark: SparkSession, path: str, fmt: str | None = None, columns:
         return read_json_text(spark, path, columns, multi_line)
     if f == "parquet":
         return spark.read.parquet(path)
-    return read_csv_text(spark, path, columns)
+    return read_csv_text(spark, path, columns, multi_line=multi_line)
+
+
+def path_missing(e: AnalysisException) -> bool:
+    """Whether an error says that a path does not exist (and nothing else)."""
+    return e.getCondition() == "PATH_NOT_FOUND"
 
 
 def read_optional(spark: SparkSession, paths: Sequence[str], fmt: str = "parquet") -> DataFrame | None:
-    """SRC10: first readable path of ``paths`` (e.g. ``x.parquet`` then
-    ``x``); ``None`` when none exists, so the caller can skip its mart."""
+    """SRC10: first existing path of ``paths`` (e.g. ``x.parquet`` then
+    ``x``); ``None`` when none exists, so the caller can skip its mart.
+    A path that exists and cannot be read raises."""
     for p in paths:
         try:
             df = spark.read.format(fmt).load(p)
             df.schema  # noqa: B018  (forces path resolution only)
             return df
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
     return None
 
 
-def with_ordinal(df: DataFrame, name: str = "_linha") -> DataFrame:
-    """Ingest ordinal taken directly at the scan (file order within each
-    input split). Stable only for a fixed file layout, so it is persisted
-    in bronze and never recomputed downstream."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def with_file_order(df: DataFrame) -> DataFrame:
+    """The place of each row in its source: file path, start of the file
+    block, and a running id that grows within the block (``FILE_ORDER``).
+
+    Take it directly at the scan and persist it (bronze): Spark schedules
+    splits by size, so the running id alone is not file order."""
+    return df.select("*", F.col("_metadata.file_path").alias("_arquivo"),
+                     F.col("_metadata.file_block_start").alias("_bloco"),
+                     F.monotonically_increasing_id().alias("_linha"))

@@ -25,7 +25,7 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-                fmt: str = "parquet", spread: int = 16) -> None:
+                fmt: str = "parquet", spread: int = 16, keep_other_partitions: bool = False) -> None:
     """SNK3: write a model's result to a fixed location.
 
     With ``partition_by`` the rows are first hash-repartitioned on the
@@ -33,15 +33,17 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     whole row: each directory is written by at most ``spread`` tasks (not by
     every task, which gives tasks x directories small files) and a large
     partition value (one busy month) is still split over ``spread`` tasks
-    instead of one. Only the touched partitions are replaced (dynamic
-    overwrite)."""
+    instead of one. The whole table is replaced, so a partition that is no
+    longer in the result goes; ``keep_other_partitions`` replaces only those
+    that ``df`` has (a load of named months)."""
     w = df
     if partition_by:
         salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
         w = df.repartition(*[F.col(c) for c in partition_by], salt)
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*partition_by).option(
+            "partitionOverwriteMode", "dynamic" if keep_other_partitions else "static")
     writer.save(path)
 
 

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .readers import path_missing
+
 COMMIT_SCHEMA = T.StructType([
     T.StructField("version", T.LongType(), False),
     T.StructField("committed_at", T.TimestampType(), False),
@@ -38,7 +40,9 @@ def commits(spark: SparkSession, root: str) -> DataFrame:
     """The commit log as a DataFrame (empty when the table is new)."""
     try:
         return spark.read.schema(COMMIT_SCHEMA).json(f"{_root(root)}/_commits")
-    except AnalysisException:
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         return spark.createDataFrame([], COMMIT_SCHEMA)
 
 
@@ -52,11 +56,12 @@ def write_snapshot(df: DataFrame, root: str, partition_by=None) -> int:
     spark = df.sparkSession
     v = latest_version(spark, root) + 1
     path = f"{_root(root)}/v{v:06d}"
-    w = df.write.mode("errorifexists").format("parquet")
+    # data that a crashed writer left without a commit record is nobody's version
+    w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
-    rec = spark.createDataFrame([(v, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None), path, "overwrite")],
+    rec = spark.createDataFrame([(v, _dt.datetime.now(_dt.timezone.utc), path, "overwrite")],
                                 COMMIT_SCHEMA)
     rec.coalesce(1).write.mode("append").json(f"{_root(root)}/_commits")
     return v

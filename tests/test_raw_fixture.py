@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import audit, quality, reconcile
 from strata.plans import audit_clean, gold, jobs, lenient, silver
-from strata.plans.catalog import DECLARED_CHECKS
+from strata.operators.quality import DECLARED_CHECKS
 from strata.sources import readers
 from strata.session import scratch_path
 
@@ -23,25 +23,25 @@ CLIENTES = """cliente_id,nome,email,estado,data_cadastro
 104,pedro lima,NA,MG,2023-04-01 10:00:00
 """
 PEDIDOS = """pedido_id,cliente_id,data_pedido,valor_total,status
-5001,101,2023-06-01,"R$ 150,5",CONCLUIDO
-5001,101,2023-06-01,"R$ 150,5",CONCLUIDO
-5002,102,2023-06-89,"R$ 10,00",CONCLUIDO
-5003,999,2023-06-05,"R$ 1.200,00",CONCLUIDO
-5004,103,2023/06/11,,pendente
-5005,104,2923-06-22,"R$ 5,00",CONCLUIDO
-5006,101,2023-07-02,"R$ 46.284,00",concluido
-5007,102,12/07/2023,"R$ 53,805",PENDEDNTE
-5008,103,2023-07-15,"R$ 99,90",cancelado
+7001,101,2023-06-01,"R$ 162,5",CONCLUIDO
+7001,101,2023-06-01,"R$ 162,5",CONCLUIDO
+7002,102,2023-06-89,"R$ 10,00",CONCLUIDO
+7003,999,2023-06-05,"R$ 1.200,00",CONCLUIDO
+7004,103,2023/06/11,,pendente
+7005,104,2923-06-22,"R$ 5,00",CONCLUIDO
+7006,101,2023-07-02,"R$ 46.284,00",concluido
+7007,102,12/07/2023,"R$ 53,805",PENDEDNTE
+7008,103,2023-07-15,"R$ 99,90",cancelado
 """
 PAGAMENTOS = [
-    {"pagamento_id": 1, "pedido_id": 5001, "metodo_pagamento": "PIX", "valor_pago": 30.0, "data_pagamento": "01/06/2023"},
-    {"pagamento_id": 2, "pedido_id": 5006, "metodo_pagamento": "cartao_credito", "valor_pago": 100.5,
+    {"pagamento_id": 1, "pedido_id": 7001, "metodo_pagamento": "PIX", "valor_pago": 30.0, "data_pagamento": "01/06/2023"},
+    {"pagamento_id": 2, "pedido_id": 7006, "metodo_pagamento": "cartao_credito", "valor_pago": 100.5,
      "data_pagamento": "2023-07-03"},
-    {"pagamento_id": 3, "pedido_id": 5006, "metodo_pagamento": "Cartão de Crédito", "valor_pago": 50,
+    {"pagamento_id": 3, "pedido_id": 7006, "metodo_pagamento": "Cartão de Crédito", "valor_pago": 50,
      "data_pagamento": "03/07/2023"},
-    {"pagamento_id": 4, "pedido_id": 5099, "metodo_pagamento": "Boleto", "valor_pago": 10.0,
+    {"pagamento_id": 4, "pedido_id": 7099, "metodo_pagamento": "Boleto", "valor_pago": 10.0,
      "data_pagamento": "05/07/2023"},
-    {"pagamento_id": 5, "pedido_id": 5004, "metodo_pagamento": "pix", "valor_pago": 20.0, "data_pagamento": "10/06/2023"},
+    {"pagamento_id": 5, "pedido_id": 7004, "metodo_pagamento": "pix", "valor_pago": 20.0, "data_pagamento": "10/06/2023"},
 ]
 AS_OF = "2026-01-01"
 
@@ -58,19 +58,17 @@ def raw(tmp_path_factory):
 @pytest.fixture(scope="module")
 def bronze(spark, raw):
     specs = [jobs.SourceSpec("clientes", f"{raw}/clientes.csv", "csv", silver.CUSTOMER_COLUMNS),
-             jobs.SourceSpec("pedidos", f"{raw}/pedidos.csv", "csv", silver.ORDER_COLUMNS)]
+             jobs.SourceSpec("pedidos", f"{raw}/pedidos.csv", "csv", silver.ORDER_COLUMNS),
+             jobs.SourceSpec("pagamentos", f"{raw}/pagamentos.json", "json", silver.PAYMENT_COLUMNS, multi_line=True)]
     root = scratch_path(spark, "bronze-fixture")
-    counts = jobs.bronze_ingest(spark, specs, root)
-    pag = readers.read_json_text(spark, f"{raw}/pagamentos.json", list(silver.PAYMENT_COLUMNS), multi_line=True)
-    pag.withColumn("_linha", F.monotonically_increasing_id()).write.parquet(f"{root}/pagamentos")
-    return root, counts
+    return root, jobs.bronze_ingest(spark, specs, root)
 
 
 def test_bronze_counts_and_text(spark, bronze):
     root, counts = bronze
-    assert counts == {"clientes": 5, "pedidos": 9}
+    assert counts == {"clientes": 5, "pedidos": 9, "pagamentos": 5}
     b = spark.read.parquet(f"{root}/pedidos")
-    assert all(f.dataType.simpleString() == "string" for f in b.schema.fields if f.name != "_linha")
+    assert all(f.dataType.simpleString() == "string" for f in b.schema.fields if f.name not in readers.FILE_ORDER)
     assert b.select(F.countDistinct("_ingerido_em")).first()[0] == 1
     c = spark.read.parquet(f"{root}/clientes")
     assert c.where("cliente_id = '104'").first()["email"] is None       # NA token -> NULL
@@ -100,12 +98,12 @@ def test_silver_customers(spark, bronze):
 def test_silver_orders_and_payments(spark, bronze):
     _, _, o, p = _silver(spark, bronze[0])
     rows = {r["pedido_id"]: r for r in o.collect()}
-    assert sorted(rows) == [5001, 5004, 5006, 5007, 5008]
-    assert rows[5001]["valor_total"] == Decimal("150.50")
-    assert (rows[5004]["valor_total"], rows[5004]["status"], rows[5004]["data_pedido"]) == \
+    assert sorted(rows) == [7001, 7004, 7006, 7007, 7008]
+    assert rows[7001]["valor_total"] == Decimal("162.50")
+    assert (rows[7004]["valor_total"], rows[7004]["status"], rows[7004]["data_pedido"]) == \
         (Decimal("0.00"), "PENDENTE", dt.date(2023, 6, 11))
-    assert (rows[5007]["valor_total"], rows[5007]["status"]) == (Decimal("53.81"), "PENDEDNTE")
-    assert rows[5006]["status"] == "CONCLUÍDO" and rows[5008]["status"] == "CANCELADO"
+    assert (rows[7007]["valor_total"], rows[7007]["status"]) == (Decimal("53.81"), "PENDEDNTE")
+    assert rows[7006]["status"] == "CONCLUÍDO" and rows[7008]["status"] == "CANCELADO"
     prow = {r["pagamento_id"]: r for r in p.collect()}
     assert sorted(prow) == [1, 2, 3, 5]
     assert prow[1]["valor_pago"] == Decimal("300.00")           # literal mode: 10x (reference parity)
@@ -120,7 +118,7 @@ def test_gold_and_quality(spark, bronze):
     rev = gold.revenue_customer_month(o, c).orderBy("mes_ano").collect()
     assert [(r["mes_ano"], r["cliente_id"], r["nome_cliente"], r["total_pedidos"], r["faturamento_total"],
              r["ticket_medio"]) for r in rev] == [
-        ("2023-06", 101, "Joao Silva", 1, Decimal("150.50"), 150.5),
+        ("2023-06", 101, "Joao Silva", 1, Decimal("162.50"), 162.5),
         ("2023-07", 101, "Joao Silva", 1, Decimal("46284.00"), 46284.0)]
     met = {(r["mes_ano"], r["metodo_pagamento"]): (r["quantidade_transacoes"], r["valor_total_processado"])
            for r in gold.payment_methods_month(p, o).collect()}
@@ -149,11 +147,11 @@ def test_audit_profile(spark, bronze):
     assert audit.orphan_count(oa, ca, "cliente_id", "cliente_id", "pedidos").first()["orfaos"] == 1
     assert audit.orphan_count(pa, oa, "pedido_id", "pedido_id", "pagamentos").first()["orfaos"] == 1
     st = {r["pedido_id"]: r["status"] for r in oa.collect()}
-    assert st[5004] == "INDEFINIDO" and st[5006] == "CONCLUÍDO" and st[5008] == "INDEFINIDO"
+    assert st[7004] == "INDEFINIDO" and st[7006] == "CONCLUÍDO" and st[7008] == "INDEFINIDO"
     assert {r["nome"] for r in ca.collect()} >= {"Joao Silva", "Ana  Souza"}
     div = reconcile.divergences(oa, pa).collect()
     # valor_total of 'R$ ...' text coerces to 0.0, so every joined pair diverges
-    assert sorted(r["pedido_id"] for r in div) == [5001, 5004, 5006, 5006]
+    assert sorted(r["pedido_id"] for r in div) == [7001, 7004, 7006, 7006]
 
 
 def test_lenient_profile(spark, bronze):
@@ -163,7 +161,7 @@ def test_lenient_profile(spark, bronze):
     o = lenient.silver_orders_lenient(b["pedidos"])
     g = lenient.revenue_lenient(o, c).collect()
     months = sorted((r["cliente_id"], r["mes"]) for r in g)
-    # 5002 (day 89), 5005 (year 2923) and 5004 (slashes) have no valid date
+    # 7002 (day 89), 7005 (year 2923) and 7004 (slashes) have no valid date
     assert (102, "NaT") in months and (104, "NaT") in months
     assert all(r["faturamento_total"] == 0.0 for r in g)            # "R$ ..." text -> 0.0
     assert any(r["cliente_id"] == 999 and r["nome"] is None for r in g)
@@ -192,3 +190,64 @@ def test_reconcile_per_order_sums_payments(spark):
     nulls = reconcile.reconcile_join(orders.union(spark.createDataFrame([(None, 7.0)], orders.schema)), pays,
                                      null_safe=True)
     assert nulls.where("pedido_id IS NULL").count() == 1
+
+
+def test_json_array_without_the_option_raises(spark, raw):
+    spec = jobs.SourceSpec("pagamentos", f"{raw}/pagamentos.json", "json", silver.PAYMENT_COLUMNS)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        jobs.bronze_ingest(spark, [spec], scratch_path(spark, "bronze-bad"))
+
+
+def test_csv_dialect(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('nome,cliente_id,email\n"Ana ""Bia"" Lima\nFilha",1,N/A\n"x, y",2,nan\nz,3,NULL\n', encoding="utf-8")
+    got = readers.read_csv_text(spark, str(tmp_path), ["cliente_id", "nome", "email"], multi_line=True).collect()
+    assert sorted(tuple(r) for r in got) == [("1", 'Ana "Bia" Lima\nFilha', None), ("2", "x, y", None), ("3", "z", None)]
+    with pytest.raises(Exception, match="(?i)column|missing"):
+        readers.read_csv_text(spark, str(tmp_path), ["cliente_id", "estado"]).collect()
+    (tmp_path / "b.csv").write_text("cliente_id,nome,email\n4,w,v\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv_text(spark, str(tmp_path), ["cliente_id", "nome", "email"]).collect()
+
+
+def test_first_row_follows_file_order_not_split_size(spark, tmp_path):
+    (tmp_path / "part-1.csv").write_text("k,v\n7,small\n", encoding="utf-8")
+    (tmp_path / "part-2.csv").write_text("k,v\n7,large\n" + "".join(f"{i},x\n" for i in range(100, 60_000)), encoding="utf-8")
+    root = scratch_path(spark, "file-order")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        jobs.bronze_ingest(spark, [jobs.SourceSpec("t", str(tmp_path), "csv", ("k", "v"))], root)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    b = spark.read.parquet(f"{root}/t")
+    assert b.select("_arquivo", "_bloco").distinct().count() > 3
+    from strata.operators import dedup
+    assert dedup.first_by_key(b, "k", jobs.file_order(b)).where("k = '7'").first()["v"] == "small"
+
+
+def test_gold_rebuild_loses_a_month(spark):
+    from strata.sources import sinks
+    path = scratch_path(spark, "rebuild")
+    both = spark.createDataFrame([("2023-06", 1), ("2023-07", 2)], "mes_ano string, v int")
+    sinks.write_layer(both, path, partition_by=["mes_ano"])
+    sinks.write_layer(both.where("v = 2").withColumn("v", F.lit(3)), path, partition_by=["mes_ano"])
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(3, "2023-07")]
+    sinks.write_layer(both.where("v = 1"), path, partition_by=["mes_ano"], keep_other_partitions=True)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_average_is_rounded_once(spark):
+    orders = spark.range(20_000).select(
+        F.col("id").alias("pedido_id"), F.lit(1).alias("cliente_id"), F.lit("2023-06-01").cast("date").alias("data_pedido"),
+        F.when(F.col("id") < 99, F.lit("2.00")).otherwise(F.when(F.col("id") == 99, F.lit("1.99")).otherwise(F.lit("1.00")))
+        .cast("decimal(10,2)").alias("valor_total"), F.lit("CONCLUÍDO").alias("status"))
+    c = spark.createDataFrame([(1, "n", "e", "SP")], "cliente_id int, nome string, email string, estado string")
+    row = gold.revenue_customer_month(orders, c).first()
+    assert (row["faturamento_total"], row["ticket_medio"]) == (Decimal("20099.99"), 1.0)
+
+
+def test_strict_ids(spark):
+    from strata.functions.numbers import to_int_strict
+    df = spark.createDataFrame([("101.0",), ("101.5",), ("1e2",), (" 7 ",), (None,)], "c string")
+    assert [r[0] for r in df.select(to_int_strict("c")).collect()] == [101, 102, 100, 7, None]
+    with pytest.raises(Exception, match="not an integer: x"):
+        spark.createDataFrame([("x",)], "c string").select(to_int_strict("c")).collect()

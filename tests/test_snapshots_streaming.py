@@ -43,17 +43,11 @@ def test_stream_ingest_is_incremental(spark):
     assert rows == {"1": "x", "2": None, "3": " y "}
 
 
-def test_lenient_job_with_degradation(spark):
+def test_lenient_job(spark):
     from strata.plans import catalog, jobs
     sf = "/root/testdata/sf0.001"
     bronze = scratch_path(spark, "d-bronze")
     jobs.bronze_ingest(spark, catalog._land_raw(spark, sf), bronze)
-    out = scratch_path(spark, "d-lake")
-    g = jobs.run_profile_d(spark, bronze, out, degrade_seed=42)
+    g = jobs.run_profile_d(spark, bronze, scratch_path(spark, "d-lake"))
     assert {"cliente_id", "mes", "quantidade_pedidos", "faturamento_total"} <= set(g.columns)
     assert g.count() > 0
-    assert [r["version"] for r in snapshots.history(spark, f"{out}/bronze/pedidos").collect()] == [1]
-    raw = spark.read.parquet(f"{bronze}/pedidos")
-    deg = snapshots.read_snapshot(spark, f"{out}/bronze/pedidos")
-    assert raw.count() == deg.count()
-    assert deg.where("valor_total IS NULL").count() >= raw.where("valor_total IS NULL").count()
