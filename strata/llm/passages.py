@@ -14,7 +14,11 @@ its own documents never leaves it.
 3. The bytes of those units go to buckets again, where a run-length
    Burrows-Wheeler index is built over them and each is streamed through it: a
    place with a match of ``length`` bytes whose first owner is an earlier
-   document starts a repeated string.
+   document starts a repeated string. An anchor with more units than fit an
+   index (a banner in many documents) goes another way: the strings of
+   ``length`` bytes in its units are dealt by their own hashes, and each is
+   compared with the smallest document that has it. A task sends a string once
+   however many of its documents have it, so no bucket grows with one anchor.
 4. The marks meet their texts and the bytes are cut out.
 """
 
@@ -36,8 +40,14 @@ _UNIT = np.dtype([("anchor", "<u4"), ("unit", "<u8"), ("doc", "<i8"), ("pos", "<
 #: One mark: the unit (place of its anchor, check of its hash) and the repeated bytes in it, from and to.
 _MARK = np.dtype([("doc", "<i8"), ("pos", "<u4"), ("check", "<u4"), ("lo", "<u2"), ("hi", "<u2")])
 _WHOLE = 65535
+#: One string of ``length`` bytes of a hot anchor's units, by its place; such a mark has ``lo`` = _WHOLE.
+_WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
+#: Bytes of the units in one index.
+_BLOCK = 1 << 18
+#: An anchor with this many different units in one block of a map task is hot there.
+_HOT = 256
 _PIECE = np.dtype([("doc", "<i8"), ("pos", "<u4"), ("check", "<u4"), ("anchor", "<u8"), ("left", "<u2"), ("size", "<u2")])
-UNITS, MARKS, ENDS, TEXT = 0, 1, 2, 9
+HOT_ANCHORS, UNITS, MARKS, ENDS, HOT_UNITS, WINDOWS, TEXT = -1, 0, 1, 2, 3, 4, 9
 _ROWS = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("blob", pa.binary())])
 _SPARK_ROWS = "kind int, bucket int, blob binary"
 
@@ -132,8 +142,12 @@ def _mark_units(rows: np.ndarray) -> np.ndarray:
     return out
 
 
-def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
-    """Step 1: units by bucket, and marks for what repeats among the documents of one block."""
+def cut_units(cutter: _Cutter, buckets: int, hot: int = _HOT) -> Callable:
+    """Step 1: units by bucket, and marks for what repeats among the documents of one block.
+
+    An anchor with ``hot`` different units or more in the block does not send them to its bucket, which only learns
+    that it is hot; they are dealt by their own hashes.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -147,7 +161,15 @@ def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
             least = units["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
             again = units["doc"] > least
             rows = list(_out(MARKS, _doc_bucket(units["doc"][again], buckets), _mark_units(units[again])))
-            rows += _out(UNITS, (anchor[~again] >> np.uint64(32)) % np.uint64(buckets), units[~again])
+            new_anchor = _first(units["anchor"])
+            group = np.cumsum(new_anchor) - 1
+            many = np.bincount(group, weights=new) >= hot
+            heads = np.flatnonzero(many[group])
+            heads = heads[np.unique(anchor[heads], return_index=True)[1]]
+            rows += _out(HOT_ANCHORS, (anchor[heads] >> np.uint64(32)) % np.uint64(buckets), units[heads])
+            dealt, sent = ~again & many[group], ~again & ~many[group]
+            rows += _out(HOT_UNITS, (units["unit"][dealt] >> np.uint64(32)) % np.uint64(buckets), units[dealt])
+            rows += _out(UNITS, (anchor[sent] >> np.uint64(32)) % np.uint64(buckets), units[sent])
             return _batch(rows)
 
         for batch in batches:
@@ -170,12 +192,20 @@ def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
         if held:
             yield flush()
 
+    return run
+
+
+def find_units(docs: DataFrame, cutter: _Cutter, buckets: int) -> DataFrame:
+    """Step 1 over ``docs``."""
     return docs.where("doc_id is not null and text is not null").select("doc_id", F.col("text").cast("binary").alias("text")) \
-        .mapInArrow(tidy(run), _SPARK_ROWS)
+        .mapInArrow(tidy(cut_units(cutter, buckets)), _SPARK_ROWS)
 
 
-def settle_units(buckets: int) -> Callable:
-    """Step 2: whole repeats become marks, ends of matches go back to their documents."""
+def settle_units(cutter: _Cutter, buckets: int, block: int = _BLOCK) -> Callable:
+    """Step 2: whole repeats become marks, ends of matches go back to their documents (``lo`` is 1 if their anchor
+    is hot: known as such, or with more units than an index of ``block`` bytes takes)."""
+    most = block // (2 * cutter.length - cutter.k)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {MARKS: [], ENDS: []}
 
@@ -188,8 +218,15 @@ def settle_units(buckets: int) -> Callable:
                     parts.clear()
             return _batch(out)
 
+        known = np.empty(0, np.uint32)
+        now = None
         for (bucket, kind), rows in _groups(batches):
-            if kind != UNITS:
+            if bucket != now:
+                now, known = bucket, known[:0]
+            if kind == HOT_ANCHORS:
+                known = np.unique(np.concatenate([_load(r["blob"].as_py(), _UNIT)[0]["anchor"] for r in rows]))
+                continue
+            if kind not in (UNITS, HOT_UNITS):
                 for r in rows:
                     yield _batch([(kind, bucket, r["blob"].as_py())])
                 continue
@@ -203,9 +240,16 @@ def settle_units(buckets: int) -> Callable:
             heads = np.flatnonzero(new_anchor)
             several = np.bincount(group, weights=new_unit) >= 2
             several &= np.minimum.reduceat(units["doc"], heads) < np.maximum.reduceat(units["doc"], heads)
-            end = ~again & several[group]
+            if kind == HOT_UNITS:
+                hot = np.ones(len(heads), bool)
+            else:
+                hot = np.isin(units["anchor"][heads], known)
+                hot |= several & (np.bincount(group, weights=~again) > most)
+            end = ~again & (several | hot)[group]
             held[MARKS].append(_mark_units(units[again]))
-            held[ENDS].append(_mark_units(units[end]))
+            ends = _mark_units(units[end])
+            ends["lo"] = hot[group[end]]
+            held[ENDS].append(ends)
             if sum(len(x) for parts in held.values() for x in parts) > 2_000_000:
                 yield flush()
         yield flush()
@@ -228,19 +272,47 @@ def _marks_of(rows) -> tuple[np.ndarray, Callable[[int], np.ndarray]]:
 def _checked(cutter: _Cutter, text: bytes, marks: np.ndarray):
     """The marks whose unit is in this text (ids can repeat), with their ranges and the text's hashes."""
     data = Bytes(np.frombuffer(text, np.uint8))
-    marks = marks[marks["pos"].astype(np.int64) + cutter.k <= len(text)]
+    window = marks["lo"] == _WHOLE
+    inside = marks["pos"].astype(np.int64) + np.where(window, cutter.length, cutter.k) <= len(text)
+    marks, window = marks[inside], window[inside]
     pos = marks["pos"].astype(np.int64)
     lo, hi = cutter.ranges(pos, 0, len(text))
-    good = (cutter.hashes(data, pos, lo, hi) & np.uint64(0xFFFFFFFF)) == marks["check"]
+    lo, hi = np.where(window, pos, lo), np.where(window, pos + cutter.length, hi)
+    found = np.where(window, data.hashes(lo, hi), cutter.hashes(data, pos, lo, hi))
+    good = (found & np.uint64(0xFFFFFFFF)) == marks["check"]
     return data, marks[good], pos[good], lo[good], hi[good]
 
 
+def _mark_windows(rows: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(rows), _MARK)
+    out["doc"], out["pos"], out["check"] = rows["doc"], rows["pos"], rows["hash"] & np.uint64(0xFFFFFFFF)
+    out["lo"] = out["hi"] = _WHOLE
+    return out
+
+
+def _repeats(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by hash, and which of them an earlier document has too."""
+    windows = windows[np.lexsort((windows["doc"], windows["hash"]))]
+    new = _first(windows["hash"])
+    return windows, windows["doc"] > windows["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+
+
 def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
-    """Step 3a: the bytes of the units at the ends of matches, by the bucket of their anchor."""
+    """Step 3a: the bytes of the units at the ends of matches, by the bucket of their anchor; of hot anchors the strings
+    of ``length`` bytes, by their own hashes, with marks for what repeats among the documents at hand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, of = None, None
         pieces: list[np.ndarray] = []
         data: list[bytes] = []
+        windows: list[np.ndarray] = []
+        n_windows = 0
+
+        def flush_windows():
+            rows, again = _repeats(np.concatenate(windows))
+            windows.clear()
+            out = list(_out(MARKS, _doc_bucket(rows["doc"][again], buckets), _mark_windows(rows[again])))
+            rows = rows[~again]
+            return _batch(out + list(_out(WINDOWS, (rows["hash"] >> np.uint64(32)) % np.uint64(buckets), rows)))
 
         def flush():
             rows, size = np.concatenate(pieces), np.concatenate(pieces)["size"].astype(np.int64)
@@ -264,6 +336,20 @@ def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
                     continue
                 text = zstandard.decompress(r["blob"].as_py())
                 source, marks, pos, lo, hi = _checked(cutter, text, mine)
+                hot = marks["lo"] == 1
+                if hot.any():
+                    edge = np.zeros(len(text) + 1, np.int64)
+                    np.add.at(edge, lo[hot], 1)
+                    np.add.at(edge, np.maximum(hi[hot] - cutter.length + 1, lo[hot]), -1)
+                    begin = np.flatnonzero(np.cumsum(edge) > 0)
+                    part = np.empty(len(begin), _WINDOW)
+                    part["hash"], part["doc"], part["pos"] = source.hashes(begin, begin + cutter.length), r["doc_id"].as_py(), begin
+                    windows.append(part)
+                    n_windows += len(part)
+                    if n_windows > 2_000_000:
+                        n_windows = 0
+                        yield flush_windows()
+                    marks, pos, lo, hi = marks[~hot], pos[~hot], lo[~hot], hi[~hot]
                 part = np.empty(len(marks), _PIECE)
                 part["doc"], part["pos"], part["check"] = marks["doc"], marks["pos"], marks["check"]
                 part["anchor"] = source.hashes(pos, pos + cutter.k) | np.uint64(1)
@@ -274,12 +360,15 @@ def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
                     yield flush()
         if pieces:
             yield flush()
+        if windows:
+            yield flush_windows()
 
     return run
 
 
-def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 18) -> Callable:
-    """Step 3b: matching statistics of the units against an index of their bucket."""
+def match_ends(cutter: _Cutter, buckets: int, block: int = _BLOCK) -> Callable:
+    """Step 3b: matching statistics of the units against indexes of at most ``block`` bytes of their bucket; strings of
+    hot anchors against the smallest document that has them."""
     def shared(rows, key, have):
         """Whether a row's key occurs with another document."""
         order = np.lexsort((rows["doc"], key))
@@ -291,7 +380,16 @@ def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 18) -> Callable:
         return out & have
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, group in _groups(batches):
+        for (bucket, kind), group in _groups(batches):
+            if kind == MARKS:
+                for r in group:
+                    yield _batch([(kind, bucket, r["blob"].as_py())])
+                continue
+            if kind == WINDOWS:
+                windows, again = _repeats(np.concatenate([_load(r["blob"].as_py(), _WINDOW)[0] for r in group]))
+                marks = _mark_windows(windows[again])
+                yield _batch(list(_out(MARKS, _doc_bucket(marks["doc"], buckets), marks)))
+                continue
             parts = [_load(r["blob"].as_py(), _PIECE) for r in group]
             rows, joined = np.concatenate([p[0] for p in parts]), b"".join(p[1] for p in parts)
             size = rows["size"].astype(np.int64)
@@ -306,11 +404,16 @@ def match_ends(cutter: _Cutter, buckets: int, block: int = 1 << 18) -> Callable:
             keep = np.flatnonzero(shared(rows, left, has_left) | shared(rows, right, has_right))
             del source
             keep = keep[np.argsort(rows["anchor"][keep], kind="stable")]
-            # whole anchors, up to about `block` bytes to an index
-            number = np.cumsum(size[keep]) // block
-            number = number[np.flatnonzero(_first(rows["anchor"][keep]))][np.cumsum(_first(rows["anchor"][keep])) - 1]
+            # whole anchors, up to `block` bytes to an index; one anchor has no more (settle_units)
+            heads = np.flatnonzero(_first(rows["anchor"][keep]))
+            cuts, have = [], 0
+            for head, more in zip(heads.tolist(), (np.add.reduceat(size[keep], heads) if len(heads) else heads).tolist()):
+                if have + more > block:
+                    cuts.append(head)
+                    have = 0
+                have += more
             found = []
-            for chosen in np.split(keep, np.flatnonzero(np.diff(number)) + 1):
+            for chosen in np.split(keep, cuts):
                 if not len(chosen):
                     continue
                 strings = [joined[start[i]:start[i] + size[i]] for i in chosen]
@@ -394,7 +497,7 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
         return dealt(texts.unionByName(marks, allowMissingColumns=True))
 
     units = dealt(find_units(docs, cutter, buckets))
-    settled = staged(units.mapInArrow(tidy(settle_units(buckets)), _SPARK_ROWS), "passages-settled")
+    settled = staged(units.mapInArrow(tidy(settle_units(cutter, buckets)), _SPARK_ROWS), "passages-settled")
     ends = with_text(settled.where(F.col("kind") == ENDS), []).mapInArrow(tidy(cut_ends(cutter, buckets)), _SPARK_ROWS)
     matched = staged(dealt(ends).mapInArrow(tidy(match_ends(cutter, buckets)), _SPARK_ROWS), "passages-matched")
     marks = settled.where(F.col("kind") == MARKS).unionByName(matched)
@@ -434,7 +537,7 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
                 if len(mine):
                     _, marks, _, lo, hi = _checked(cutter, text, mine)
                     edge = np.zeros(total + 1, np.int64)
-                    np.add.at(edge, lo + marks["lo"], 1)
+                    np.add.at(edge, lo + np.where(marks["lo"] == _WHOLE, 0, marks["lo"]), 1)
                     np.add.at(edge, np.where(marks["hi"] == _WHOLE, hi, lo + marks["hi"]), -1)
                     removed = np.cumsum(edge[:-1]) > 0
                     gone = int(removed.sum())

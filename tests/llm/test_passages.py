@@ -59,3 +59,83 @@ def test_empty_table_keeps_columns(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string")
     out = passages.remove_passages(df)
     assert out.columns == ["doc_id", "lang", "kept", "n_bytes", "n_removed", "n_spans"] and out.count() == 0
+
+
+def in_process(docs, length=50, buckets=3, hot=None):
+    """All steps on plain rows, dealt by bucket and kind like the shuffles: removed bytes by document, and kinds seen."""
+    import pyarrow as pa
+
+    def dealt(batches):
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["bucket"], r["kind"]))
+        kinds.update(r["kind"] for r in rows)
+        for r in rows:
+            yield pa.RecordBatch.from_pylist([r])
+
+    kinds = set()
+    cutter = passages._Cutter(length, length * 2 // 5)
+    rows = [(d, t.encode()) for d, t in docs]
+    # blocks of few documents, like several map tasks
+    blocks = [rows[i:i + 1500] for i in range(0, len(rows), 1500)]
+    cut = passages.cut_units(cutter, buckets, *([hot] if hot else []))
+    units = [b for block in blocks for b in cut(iter([pa.RecordBatch.from_pylist([{"doc_id": d, "text": t} for d, t in block])]))]
+    settled = [r for b in passages.settle_units(cutter, buckets)(dealt(units)) for r in b.to_pylist()]
+    press = passages.zstandard.ZstdCompressor()
+    texts = [{"kind": passages.TEXT, "bucket": int(passages._doc_bucket(passages.np.array([d]), buckets)[0]),
+              "blob": press.compress(t), "doc_id": d} for d, t in rows]
+    ends = pa.RecordBatch.from_pylist(texts + [{**r, "doc_id": None} for r in settled if r["kind"] == passages.ENDS])
+    matched = passages.match_ends(cutter, buckets)(dealt(list(passages.cut_ends(cutter, buckets)(dealt([ends])))))
+    marks = [r for r in settled if r["kind"] == passages.MARKS] + [r for b in matched for r in b.to_pylist()]
+    marks = passages.np.concatenate([passages._load(r["blob"], passages._MARK)[0] for r in marks])
+    gone = {d: [False] * len(t) for d, t in rows}
+    for d, t in rows:
+        _, mine, _, lo, hi = passages._checked(cutter, t, marks[marks["doc"] == d])
+        for m, a, b in zip(mine, lo.tolist(), hi.tolist()):
+            a, b = a + (0 if m["lo"] == passages._WHOLE else int(m["lo"])), b if m["hi"] == passages._WHOLE else a + int(m["hi"])
+            gone[d][a:b] = [True] * (b - a)
+    return gone, kinds
+
+
+def test_one_passage_in_thousands_of_documents(spark, monkeypatch):
+    """Edge anchors of a shared banner have a different unit in every document: they fill no index."""
+    from strata.llm import rlbwt
+    rnd = random.Random(7)
+    banner = "".join(rnd.choice("abcdefgh ") for _ in range(130))
+
+    def other():
+        return "".join(rnd.choice("ijklmnop ") for _ in range(rnd.randrange(30, 90)))
+
+    docs = [(d, other() + banner + other()) for d in range(6000)]
+    rnd.shuffle(docs)
+    want = brute(docs)
+    assert sum(r[2] for r in want) >= 5999 * 130
+    sizes = []
+
+    class Watched(rlbwt.RunLengthIndex):
+        def __init__(self, strings, owners, length):
+            sizes.append(sum(map(len, strings)))
+            super().__init__(strings, owners, length)
+
+    monkeypatch.setattr(rlbwt, "RunLengthIndex", Watched)
+    for hot in (None, 10 ** 9):  # hot in a map task's block; only in the bucket
+        sizes.clear()
+        gone, kinds = in_process(docs, hot=hot)
+        assert sorted((d, sum(g)) for d, g in gone.items()) == sorted((r[0], r[2]) for r in want)
+        assert max(sizes, default=0) <= passages._BLOCK
+        assert passages.WINDOWS in kinds and (passages.HOT_UNITS in kinds) == (hot is None)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert run(df) == want
+
+
+def test_hot_anchors_of_mutated_copies():
+    rnd = random.Random(3)
+    base = "".join(rnd.choice("ab é\n") for _ in range(400))
+    docs = []
+    for k in range(300):
+        t = list(base)
+        for _ in range(rnd.randrange(8)):
+            t[rnd.randrange(len(t))] = rnd.choice("xyzé")
+        docs.append((1000 - k, "".join(t[rnd.randrange(100):])))
+    want = sorted((r[0], r[2]) for r in brute(docs))
+    for hot in (2, 40):
+        gone, kinds = in_process(docs, hot=hot)
+        assert sorted((d, sum(g)) for d, g in gone.items()) == want and passages.WINDOWS in kinds
