@@ -8,11 +8,16 @@ known one-line notices.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A line is a copyright line if it starts with such a mark and has a year or the reservation.
-COPYRIGHT_LINE = r"(?:^|\n)[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*(?:(?:19|20)[0-9][0-9]|all rights reserved)[^\n]*"
+#: A line is a copyright line if it starts with such a mark and has a year, a placeholder or the
+#: reservation, or if it starts with the sign (after the word, if that is "(c)").
+COPYRIGHT_LINE = (r"(?:^|\n)[^a-z0-9\n]*(?:(?:copyright|\(c\)|©)[^\n]*(?:(?:19|20)[0-9][0-9]|all rights reserved"
+                  r"|[<\[{](?:year|yyyy|date|name|fullname|owner|holder|copyright))|copyright[ \t]*:?[ \t]*(?:\(c\)|©)|©)[^\n]*")
 RESERVED_LINE = r"(?:^|\n)[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*(?:\n|$)"
 #: Equivalent spellings, applied in this order after punctuation is gone.
 SPELLINGS = [
@@ -63,27 +68,114 @@ required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
 software.
 3. This notice may not be removed or altered from any source distribution.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code or as a
+compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to
+the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity
+of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <http://unlicense.org/>""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted
+provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+}
+#: Licences whose whole text, with its title, is a file of ``license_texts``.
+FILES = ["Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"]
+#: Title lines that stand before the texts of ``TEXTS``.
+TITLES = {
+    "MIT": ["MIT", "MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License"],
+    "ISC": ["ISC", "ISC License", "The ISC License", "ISC License (ISC)"],
+    "0BSD": ["0BSD", "BSD Zero Clause License", "Zero-Clause BSD", "BSD 0-Clause License"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License"],
+    "Unlicense": ["Unlicense", "The Unlicense"],
+    "BSD-2-Clause": ["BSD License", "BSD 2-Clause License", "The BSD 2-Clause License", "Simplified BSD License",
+                     'BSD 2-Clause "Simplified" License', "FreeBSD License"],
+    "BSD-3-Clause": ["BSD License", "BSD 3-Clause License", "The BSD 3-Clause License", "New BSD License",
+                     "Modified BSD License", 'BSD 3-Clause "New" or "Revised" License'],
 }
 #: Names in one-line notices.
 NAMES = {
     "MIT": ["MIT License"],
     "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache-2.0"],
-    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3", "GPL-3.0"],
+    "GPL-2.0": ["GNU General Public License, version 2", "GNU General Public License v2", "GPL-2.0", "GPL-2.0-only",
+                "GPL-2.0-or-later"],
+    "GPL-3.0": ["GNU General Public License, version 3", "GNU General Public License v3", "GPL-3.0", "GPL-3.0-only",
+                "GPL-3.0-or-later"],
+    "LGPL-2.1": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPL-2.1",
+                 "LGPL-2.1-only", "LGPL-2.1-or-later"],
+    "LGPL-3.0": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3", "LGPL-3.0",
+                 "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "MPL-2.0": ["Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "MPL-2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "BSD-2-Clause"],
     "BSD-3-Clause": ["BSD 3-Clause License", "BSD-3-Clause"],
+    "ISC": ["ISC License"],
+    "0BSD": ["BSD Zero Clause License", "0BSD"],
+    "Zlib": ["zlib License"],
+    "Unlicense": ["Unlicense"],
     "CC-BY-4.0": ["CC BY 4.0"],
     "CC-BY-NC-4.0": ["CC BY-NC 4.0"],
     "CC-BY-SA-4.0": ["CC BY-SA 4.0"],
     "CC0-1.0": ["CC0 1.0"],
 }
+#: Where the terms end and the advice how to apply them begins.
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
 MAX_KNOWN = 10_000
 
 
 def known_licenses() -> list[tuple[str, str]]:
-    """(licence, text): whole texts, and the notices that name a licence."""
+    """(licence, text): whole texts (bare and titled, numbered or not, with and without the advice how to apply them,
+    with either scheme in links), and the notices that name a licence, bare names of licences and the ids among them."""
     starts = ["Licensed under", "Released under", "This work is licensed under", "This software is released under",
               "SPDX-License-Identifier:"]
     notices = {(k, f"{s} {article}{n}.") for k, names in NAMES.items() for n in names for s in starts for article in ("", "the ")}
-    return list(TEXTS.items()) + sorted(notices)
+    notices |= {(k, n) for k, names in NAMES.items() for n in names}
+    notices |= {(k, f"SPDX-License-Identifier: {k}") for k in ("MIT", "ISC", "Zlib")}
+    whole = {(k, t) for k, t in TEXTS.items()}
+    whole |= {(k, re.sub(r"(?m)^[1-3]\. ", "* ", t)) for k, t in whole if k.startswith("BSD")}
+    whole |= {(k, f"{title}\n\n{t}") for k, t in whole for title in TITLES[k]}
+    for k in FILES:
+        text = (Path(__file__).parent / "license_texts" / f"{k}.txt").read_text(encoding="utf-8")
+        whole |= {(k, text), (k, text.split(END_OF_TERMS)[0]), (k, "".join(text.partition(END_OF_TERMS)[:2]))}
+    whole |= {(k, t.replace(a, b)) for k, t in whole for a, b in (("http://", "https://"), ("https://", "http://"))}
+    return sorted(whole) + sorted(notices)
 
 
 def canonical(text: Column) -> Column:
