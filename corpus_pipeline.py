@@ -37,11 +37,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Cut passages of 50 bytes or more that an earlier document has; what is left of a cut
     character at either end of a cut goes too. ``n_chars`` of a cut text is counted anew."""
     had_text = "repeated_passages_had_text"
-    cut = passages.remove_passages(docs.withColumn(had_text, F.col("text").isNotNull()), length=50)
+    cut = passages.remove_passages(docs.withColumn(had_text, F.col("text").isNotNull()), length=50, whole_chars=True)
     kept = F.col("kept").cast("string")
     changed = F.col("n_removed") > 0
-    text = F.when(changed, F.translate(F.make_valid_utf8(kept), "\ufffd", "")).when(F.col(had_text), kept)
-    cut = cut.withColumn("text", text)
+    cut = cut.withColumn("text", F.when(F.col(had_text), kept))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)

@@ -283,6 +283,15 @@ def _checked(cutter: _Cutter, text: bytes, marks: np.ndarray):
     return data, marks[good], pos[good], lo[good], hi[good]
 
 
+def _with_rest_of_chars(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
+    """Removed bytes and the other bytes of their characters: a first byte and as many that continue as it asks for."""
+    at = np.arange(len(data))
+    first = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, at, 0))
+    size = np.select([data[first] >= 0xF0, data[first] >= 0xE0, data[first] >= 0xC0], [4, 3, 2], 1)
+    char = np.where(at - first < size, first, at)
+    return np.bincount(char, weights=removed, minlength=len(data))[char] > 0
+
+
 def _mark_windows(rows: np.ndarray) -> np.ndarray:
     out = np.zeros(len(rows), _MARK)
     out["doc"], out["pos"], out["check"] = rows["doc"], rows["pos"], rows["hash"] & np.uint64(0xFFFFFFFF)
@@ -448,7 +457,7 @@ def match_ends(cutter: _Cutter, buckets: int, block: int = _BLOCK) -> Callable:
     return run
 
 
-def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
+def remove_passages(docs: DataFrame, *, length: int = 50, whole_chars: bool = False) -> DataFrame:
     """``docs`` with ``kept`` (the bytes left of ``text``), ``n_bytes``,
     ``n_removed`` and ``n_spans`` (runs of removed bytes).
 
@@ -457,7 +466,9 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
     row with a null ``doc_id`` stays as it is and takes nothing from others.
     Rows that repeat a ``doc_id`` are judged each by its own text, and nothing
     repeats because of a row with the same id. All other columns pass through;
-    columns of the new names are replaced. An empty table gives no rows.
+    columns of the new names are replaced. An empty table gives no rows. With
+    ``whole_chars`` the other bytes of a UTF-8 character that a removed run cuts
+    through are left out of ``kept`` too; the counts stay those of the runs.
     """
     assert length >= 20
     cutter = _Cutter(length, max(8, length * 2 // 5))
@@ -542,7 +553,10 @@ def remove_passages(docs: DataFrame, *, length: int = 50) -> DataFrame:
                     removed = np.cumsum(edge[:-1]) > 0
                     gone = int(removed.sum())
                     spans = int((np.diff(removed.astype(np.int8), prepend=0) == 1).sum())
-                    text = np.frombuffer(text, np.uint8)[~removed].tobytes()
+                    data = np.frombuffer(text, np.uint8)
+                    if whole_chars:
+                        removed = _with_rest_of_chars(data, removed)
+                    text = data[~removed].tobytes()
                 held.append((r["doc_id"].as_py(), text, total, gone, spans, r["rest"].as_py() if rest else None))
                 size += len(text)
                 if size > 1 << 23 or len(held) >= 5000:

@@ -96,3 +96,13 @@ def test_language_scores(spark):
     nothing = langid.predict(df, langid.learn_profiles(known.limit(0))).collect()
     assert {r.lang_pred for r in nothing} == {"und"} and len(nothing) == 7
     assert langid.predict(df.limit(0), profiles).collect() == []
+
+
+def test_only_cut_characters_go_with_a_passage(spark):
+    """Replacement characters of the input stay; the rest of a character goes at either end of a cut."""
+    one, two = "".join(chr(97 + i * i % 26) + str(i) for i in range(30)), "".join(str(i) + chr(97 + i * 7 % 26) for i in range(30))
+    rows = [(1, f"{one}é other"), (2, f"é{two}"), (3, f"� a \U0001f600 {one}è b �ĩ{two} €�"), (4, "� short"), (5, None)]
+    df = spark.createDataFrame([(d, t, len(t or "")) for d, t in rows], "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in p.repeated_passages(spark, df, None).collect()}
+    cut = "� a \U0001f600  b � €�"
+    assert got == {**{d: (t, len(t or "")) for d, t in rows}, 3: (cut, len(cut))}
