@@ -530,8 +530,11 @@ def write_raw_json(df, path):
     df.write.mode("overwrite").json(path)
 
 
-def write_raw_json_arrays(df, path, files=8):
-    """Land rows as files that hold one indented JSON array each."""
+def write_raw_json_arrays(df, path, files=8, rows_per_file=100_000):
+    """Land rows as files that hold one indented JSON array each: ``files`` of them, or as
+    many as it takes for about ``rows_per_file`` rows each (an array is read by one task)."""
+    files = max(files, -(-df.count() // rows_per_file))
+
     def array(batches):
         first = True
         for batch in batches:

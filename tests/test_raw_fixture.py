@@ -251,3 +251,20 @@ def test_strict_ids(spark):
     assert [r[0] for r in df.select(to_int_strict("c")).collect()] == [101, 102, 100, 7, None]
     with pytest.raises(Exception, match="not an integer: x"):
         spark.createDataFrame([("x",)], "c string").select(to_int_strict("c")).collect()
+
+
+def test_json_array_files_grow_with_the_rows(spark, tmp_path):
+    import glob
+    import json
+
+    from strata.plans.catalog import write_raw_json_arrays
+    path = str(tmp_path / "arrays")
+    write_raw_json_arrays(spark.range(0, 500, 1, 2), path, rows_per_file=25)
+    files = []
+    for name in glob.glob(f"{path}/part-*"):
+        with open(name) as f:
+            text = f.read()
+        if text:
+            files.append([r["id"] for r in json.loads(text)])
+    assert len(files) == 20 and max(map(len, files)) <= 50
+    assert sorted(i for ids in files for i in ids) == list(range(500))
