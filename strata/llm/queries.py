@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import containment, fingerprints, langid, licenses, neardup, packing, passages, toxicity, warc, wrappers
+from . import (containment, fingerprints, langid, licenses, merkle, neardup, packing, passages, toxicity, warc,
+               wrappers)
 from .common import documents, pages, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +149,76 @@ def op1_warc_index(spark, sf_dir):
 def op4_wrapper_extraction(spark, sf_dir):
     table = pages(spark, sf_dir).select("page_id", "url", "html")
     return wrappers.extract(table, staged(wrappers.learn_wrappers(table), "wrappers"))
+
+
+@register
+def op11_merkle_manifest(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+
+    def leaf(text):
+        return merkle.row_digest(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+
+    tampered = F.coalesce(langid.remainder("doc_id", 5) == 0, F.lit(False)) & F.col("text").isNotNull()
+    found = F.when(tampered, leaf(merkle.lowered(F.col("text"))))  # null: as the leaf
+    rows = merkle.manifest(docs, "source", ["doc_id"], leaf(F.col("text")), [F.col("doc_id"), found.alias("found")])
+    again = merkle.folded(F.coalesce("found", "leaf"), F.col("path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                       again.alias("folded_root"), (again == F.col("root")).alias("verified"))
+
+
+ORACLE_SQL["op11_merkle_manifest"] = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, text,
+    coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(octet_length(encode(source)) || ':' || source, '-')
+    || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+    || coalesce(octet_length(encode(CAST(n_chars AS VARCHAR))) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1),
+        lambda i: CAST(ascii(substring(CAST(doc_id AS VARCHAR), i, 1)) AS BIGINT))), lambda c, b:
+      list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k:
+        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 5 = 0 AS tampered
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(octet_length(encode(text)) || ':' || CASE WHEN tampered
+      THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS found
+  FROM fields),
+up AS (
+  SELECT source, 0 AS level, list(leaf ORDER BY doc_id) AS nodes FROM leaves GROUP BY source
+  UNION ALL
+  SELECT source, level + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+    lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], ''))) FROM up WHERE len(nodes) > 1),
+depths AS (SELECT source, max(level) AS depth FROM up GROUP BY source),
+tops AS (
+  SELECT u.source, u.nodes[1] AS subroot, d.depth, row_number() OVER (ORDER BY encode(u.source) NULLS FIRST) - 1 AS pos
+  FROM up u JOIN depths d ON u.source IS NOT DISTINCT FROM d.source AND u.level = d.depth),
+above AS (
+  SELECT 0 AS level, list(subroot ORDER BY pos) AS nodes FROM tops
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 15) // 16),
+    lambda i: sha256(array_to_string(nodes[i * 16 + 1:i * 16 + 16], ''))) FROM above WHERE len(nodes) > 1),
+root AS (SELECT nodes[1] AS root FROM above WHERE len(nodes) = 1),
+steps AS (
+  SELECT l.doc_id, u.level AS step, l.pos >> CAST(4 * u.level AS BIGINT) AS i, u.nodes
+  FROM leaves l JOIN up u ON l.source IS NOT DISTINCT FROM u.source WHERE len(u.nodes) > 1
+  UNION ALL
+  SELECT l.doc_id, t.depth + a.level, t.pos >> CAST(4 * a.level AS BIGINT), a.nodes
+  FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source, above a WHERE len(a.nodes) > 1),
+sides AS (
+  SELECT doc_id, step, array_to_string(nodes[i // 16 * 16 + 1:i], '') AS before,
+    array_to_string(nodes[i + 2:i // 16 * 16 + 16], '') AS after
+  FROM steps),
+proofs AS (
+  SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY step)) AS proof, count(*) AS n FROM sides GROUP BY doc_id),
+fold AS (
+  SELECT doc_id, 0 AS step, found AS node FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(s.before || f.node || s.after)
+  FROM fold f JOIN sides s ON f.doc_id = s.doc_id AND f.step = s.step)
+SELECT l.doc_id, l.leaf, t.subroot, r.root, coalesce(p.proof, sha256('')) AS proof_sha256, f.node AS folded_root,
+  f.node = r.root AS verified
+FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source JOIN root r ON true
+LEFT JOIN proofs p ON l.doc_id = p.doc_id
+JOIN fold f ON l.doc_id = f.doc_id AND f.step = coalesce(p.n, 0)
+"""
