@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import (containment, fingerprints, langid, licenses, merkle, neardup, packing, passages, toxicity, warc,
+from . import (bpe, containment, fingerprints, langid, licenses, merkle, neardup, packing, passages, toxicity, warc,
                wrappers)
 from .common import documents, pages, staged
 
@@ -222,3 +222,13 @@ FROM leaves l JOIN tops t ON l.source IS NOT DISTINCT FROM t.source JOIN root r
 LEFT JOIN proofs p ON l.doc_id = p.doc_id
 JOIN fold f ON l.doc_id = f.doc_id AND f.step = coalesce(p.n, 0)
 """
+
+
+@register
+def op13_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+    ranks = bpe.Ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks).drop("text")
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return bpe.decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                                           F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
