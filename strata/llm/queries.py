@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table_path
-from . import (bpe, containment, fingerprints, langid, licenses, merkle, neardup, packing, passages, toxicity, warc,
+from . import (bpe, containment, fingerprints, langid, licenses, merkle, neardup, packing, passages, ranked, toxicity, warc,
                wrappers)
 from .common import documents, pages, staged
 
@@ -232,3 +232,35 @@ def op13_byte_bpe(spark, sf_dir):
     ids = F.array_join(F.col("ids").cast("array<string>"), ",")
     return bpe.decode(coded, ranks).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                                            F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op12_ranked_search(spark, sf_dir):
+    return ranked.search(documents(spark, sf_dir), benchmark(spark, sf_dir), k=10)
+
+
+ORACLE_SQL["op12_ranked_search"] = r"""
+WITH texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+terms AS (
+  SELECT side, id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM texts),
+postings AS (SELECT id, term, count(*) AS tf FROM terms WHERE side = 'd' GROUP BY id, term),
+lengths AS (SELECT id, CAST(sum(tf) AS BIGINT) AS n FROM postings GROUP BY id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, totals GROUP BY term, docs),
+scores AS (
+  SELECT q.id AS item_id, p.id AS doc_id, CAST(sum(w.w * ((1000000000 * p.tf)
+    // (1000 * p.tf + 8 * (100 - 90 + ((90 * l.n * t.docs) // t.words))))) AS BIGINT) AS score
+  FROM (SELECT DISTINCT id, term FROM terms WHERE side = 'b') q
+  JOIN postings p USING (term) JOIN weights w USING (term) JOIN lengths l ON l.id = p.id, totals t
+  GROUP BY q.id, p.id),
+ranks AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 10
+"""
