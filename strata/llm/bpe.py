@@ -20,27 +20,27 @@ from __future__ import annotations
 import base64
 import functools
 import json
-import uuid
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, texts_of, tidy
+from .common import staged, tidy
 
 #: Fixed value: how the rank files' tokenizers split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
-_CHUNK = 1 << 20  # characters that are split at a time (a longer text goes alone)
-_COUNTED = 400_000  # distinct words that a task counts before it hands them on
+_CHUNK = 3 << 20  # bytes of text that are split at a time (a longer text goes alone)
+_COUNTED = 200_000  # distinct words that a task counts before it hands them on
 _BUCKETS = 1 << 16
 _DONE = "\u0001"  # before a word without another merge
+_RAW = "\u0002"  # before a word that is still to be merged
 
 
 def _character(token: int) -> str:
@@ -71,7 +71,7 @@ class Ranks:
             if len(token) > 1:
                 pair = "".join(_character(self.ranks[part]) for part in self._parts(token, rank))
                 buckets[zlib.crc32(pair.encode()) % _BUCKETS][pair] = _character(rank) + pair
-        self.rules = json.dumps(buckets, separators=(",", ":"))
+        self.rules = json.dumps(buckets, ensure_ascii=False, separators=(",", ":"))
 
     def _parts(self, token: bytes, rank: int) -> list[bytes]:
         """The two tokens that lower ranks merge a token's bytes to."""
@@ -117,17 +117,22 @@ def _classes() -> np.ndarray:
     return out
 
 
-def _starts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of the joined texts start, and where the texts do."""
-    codes = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    ends = np.cumsum([len(t) for t in texts])
-    first = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+def _words(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The matches of ``PATTERN`` in texts (none is null), text by text, and where in them each text's begin."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data.slice(offsets[0], offsets[-1] - offsets[0]) if data is not None else pa.py_buffer(b"")
+    codes = np.frombuffer(str(data, "utf-8").encode("utf-32-le"), np.uint32)
     n = len(codes)
-    if n == 0:
-        return np.empty(0, np.int64), first
+    width = np.ones(n, np.int8)
+    for least in (0x80, 0x800, 0x10000):
+        width += codes >= least
+    at_byte = np.zeros(n + 1, np.int32)
+    np.cumsum(width, out=at_byte[1:])
+    first = np.searchsorted(at_byte, offsets - offsets[0])
     kind = _classes()[codes]
     begins = np.zeros(n + 4, bool)
-    begins[first[first < n]] = True
+    begins[first] = True
     begins[n:] = True
     run = begins.copy()
     run[1:n] |= kind[1:] != kind[:-1]
@@ -143,53 +148,54 @@ def _starts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     one, two = after[mark + 1], np.where(begins[mark + 2], 0, after[mark + 2])
     short = np.isin(one, [ord(c) for c in "stmd"])
     long = np.zeros(len(mark), bool)
-    for a, b in ("re", "ve", "ll"):
-        long |= (one == ord(a)) & (two == ord(b))
+    for x, y in ("re", "ve", "ll"):
+        long |= (one == ord(x)) & (two == ord(y))
     cut[mark[short | long] + 1] = False
     cut[mark[short] + 2] = True
     cut[mark[long] + 3] = True
-    return np.flatnonzero(cut[:n]), first
+    starts = np.flatnonzero(cut[:n])
+    bounds = pa.py_buffer(np.append(at_byte[starts], at_byte[-1]).astype(np.int32))
+    return pa.StringArray.from_buffers(len(starts), bounds, data), np.searchsorted(starts, first)
 
 
-def split(texts: list[str]) -> Iterator[list[str]]:
+def split(texts: list[str]) -> list[list[str]]:
     """The matches of ``PATTERN`` in each text, in order; none in an empty one."""
-    starts, first = _starts(texts)
-    bounds = np.searchsorted(starts, np.append(first, np.iinfo(np.int64).max))
-    for k, text in enumerate(texts):
-        at = (starts[bounds[k]:bounds[k + 1]] - first[k]).tolist()
-        yield [text[a:b] for a, b in zip(at, at[1:] + [len(text)])] if text else []
-
-
-def _chunks(texts: Iterator[str]) -> Iterator[list[str]]:
-    """Texts in lists of about ``_CHUNK`` characters."""
-    held, size = [], 0
-    for t in texts:
-        if held and size + len(t) > _CHUNK:
-            yield held
-            held, size = [], 0
-        held.append(t)
-        size += len(t)
-    if held:
-        yield held
+    words, bounds = _words(pa.array(texts, pa.string()))
+    return [words[a:b].to_pylist() for a, b in zip(bounds, bounds[1:])]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
+    """Rows with about ``_CHUNK`` bytes of text, and their texts with null as empty."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        texts = pc.fill_null(batch.column(text), "").cast(pa.string())
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _CHUNK, side="right")))
+            yield batch.slice(at, to - at), texts.slice(at, to - at)
+            at = to
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, n)``: how often each distinct word occurs in all texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def flush():
-            yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-                                             ["word", "n"])
-            counts.clear()
-
-        for batch in batches:
-            for chunk in _chunks(texts_of(batch.column(0))):
-                for words in split(chunk):
-                    counts.update(words)
-                if len(counts) > _COUNTED:
-                    yield from flush()
-        yield from flush()
+        held = []
+
+        def counted() -> pa.Table:
+            return pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        for _, texts in _chunks(batches, text):
+            words, _ = _words(texts)
+            found = pc.value_counts(words)
+            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            if sum(t.num_rows for t in held) > 2 * _COUNTED:
+                held = [counted()]
+                if held[0].num_rows > _COUNTED:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from counted().to_batches()
 
     rows = docs.select(text).mapInArrow(tidy(run), "word string, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
@@ -212,17 +218,6 @@ def frequent_words(counts: DataFrame, most: int, longest: int = 32) -> DataFrame
     return short.where(level >= least)
 
 
-_known: dict = {}  # the dictionary of the running job, by its key
-
-
-def _dictionary(key: str, table: bytes) -> dict[str, str]:
-    if key not in _known:
-        _known.clear()
-        words, pieces = pa.ipc.open_stream(table).read_all().columns
-        _known[key] = dict(zip(words.to_pylist(), pieces.to_pylist()))
-    return _known[key]
-
-
 def encode(docs: DataFrame, ranks: Ranks, text: str = "text", ids: str = "ids", dictionary: int = 1_000_000) -> DataFrame:
     """``docs`` with the array ``ids`` of each whole text's token ids, as the rank file gives them without
     special tokens (a column of that name is replaced). Null and empty texts have none; repeated rows and
@@ -231,37 +226,38 @@ def encode(docs: DataFrame, ranks: Ranks, text: str = "text", ids: str = "ids",
     counts = staged(word_counts(docs, text), "bpe-words")
     common = staged(frequent_words(counts, dictionary).select("word", ranks.merged(F.col("word")).alias("pieces")), "bpe-common")
     known = common.toArrow()
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, known.schema) as out:
-        out.write_table(known)
-    table, key = sink.getvalue().to_pybytes(), uuid.uuid4().hex
-    sent = docs.sparkSession.sparkContext.broadcast(table)
+    sent = docs.sparkSession.sparkContext.broadcast(known.combine_chunks())
     rest = [c for c in docs.columns if c != ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = _dictionary(key, sent.value).get
-        for batch in batches:
-            parts = []
-            for chunk in _chunks(texts_of(batch.column(text))):
-                for words in split(chunk):
-                    got = list(map(get, words))
-                    if None not in got:
-                        parts.append(["".join(got)])
-                        continue
-                    row, from_ = [], 0  # pieces and unknown words by turns
-                    for at in (i for i, x in enumerate(got) if x is None):
-                        row += ["".join(got[from_:at]), words[at]]
-                        from_ = at + 1
-                    parts.append([*row, "".join(got[from_:])])
-            column = pa.array(parts, pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), column], [*rest, ids])
+        table = sent.value
+        known_words, known_pieces = (pa.concat_arrays(table.column(c).chunks or [pa.array([], pa.string())]) for c in range(2))
+        for rows, texts in _chunks(batches, text):
+            words, bounds = _words(texts)
+            pieces = known_pieces.take(pc.index_in(words, known_words))
+            unknown = pc.is_null(pieces)
+            pieces = pc.if_else(unknown, pc.binary_join_element_wise(_RAW, words, ""), pieces)
+            # an unknown word stands alone, known ones between two of them are joined
+            unknown = unknown.to_numpy(zero_copy_only=False)
+            starts = np.ones(len(words) + 1, bool)
+            starts[1:-1] = unknown[1:] | unknown[:-1]
+            starts[bounds] = True
+            starts = np.flatnonzero(starts)
+            parts = pc.binary_join(_lists(starts, pieces), "") if len(words) else pieces
+            column = _lists(np.searchsorted(starts, bounds), parts)
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in rest), column], [*rest, ids])
 
     schema = T.StructType([*docs.select(*rest).schema.fields, T.StructField(ids, T.ArrayType(T.StringType()))])
     found = docs.select(*rest).mapInArrow(tidy(run), schema)
-    pieces = F.array_join(F.transform(ids, lambda x, i: F.when(i % 2 == 0, x).otherwise(ranks.merged(x))), "")
+    pieces = F.array_join(F.transform(ids, lambda x: F.when(
+        F.startswith(x, F.lit(_RAW)), ranks.merged(F.substring(x, 2, 1 << 30))).otherwise(x)), "")
     return _as_ids(found.withColumn(ids, F.encode(pieces, "UTF-16LE")), ids)
 
 
+def _lists(bounds: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
+
+
 def _as_ids(rows: DataFrame, ids: str) -> DataFrame:
     """Characters of pieces (two bytes each) as an array of ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,10 +279,14 @@ def decode(rows: DataFrame, ranks: Ranks, ids: str = "ids", into: str = "decoded
     tokens = ranks.tokens
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(tokens, pa.binary())
         for batch in batches:
-            texts = [b"".join(map(tokens.__getitem__, v.values.to_numpy().tolist())) if v.is_valid else b""
-                     for v in batch.column(ids)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(texts, pa.binary())], [*rest, into])
+            if batch.num_rows:
+                column = pc.fill_null(batch.column(ids), [])
+                bounds = column.offsets.to_numpy()
+                found = pieces.take(column.flatten())
+                texts = pc.binary_join(_lists(bounds - bounds[0], found), b"")
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), texts], [*rest, into])
 
     rest = [c for c in rows.columns if c != into]
     schema = T.StructType([*rows.select(*rest).schema.fields, T.StructField(into, T.BinaryType())])

@@ -36,7 +36,7 @@ TEXT = st.text(st.one_of(st.sampled_from(list("'' \n\t 　stmdrevlaZ19é!?²ß
 @settings(max_examples=400, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=5))
 def test_split_matches_the_pattern(texts):
-    assert list(bpe.split(texts)) == [regex.findall(bpe.PATTERN, t) for t in texts]
+    assert bpe.split(texts) == [regex.findall(bpe.PATTERN, t) for t in texts]
 
 
 def test_classes_match_the_library(plain):
@@ -44,7 +44,7 @@ def test_classes_match_the_library(plain):
     for first in range(0, 0x30000, 1000):
         codes = [c for c in range(first, first + 1000) if not 0xD800 <= c < 0xE000]
         text = "".join(f"a{chr(c)}a 1{chr(c)}1 {chr(c)}-" for c in codes)
-        words, = bpe.split([text])
+        words = bpe.split([text])[0]
         assert [i for w in words for i in plain.encode_ordinary(w)] == plain.encode_ordinary(text), hex(first)
 
 
