@@ -444,7 +444,16 @@ def oracle_sql() -> dict[str, str]:
     q["metrics_rowcounts"] = W("SELECT 'clientes' AS tabela, count(*) AS linhas FROM dirty_customers UNION ALL "
                                "SELECT 'pagamentos', count(*) FROM dirty_payments UNION ALL "
                                "SELECT 'pedidos', count(*) FROM dirty_orders")
-    q["bronze_ingest_stream"] = W(f"SELECT {order_raw}, _linha FROM dirty_orders")
+    q["bronze_ingest_stream"] = W("SELECT pedido_id, cliente_id, data_pedido, valor_total, "
+                                  "'\"' || status || '\", ' AS status, _linha FROM dirty_orders")
+    q["gold_load_named_months"] = W(
+        "SELECT * REPLACE (CASE WHEN mes_ano IN ('2000-07', '2000-09') THEN faturamento_total ELSE faturamento_total + 1 END "
+        "AS faturamento_total) FROM faturamento WHERE mes_ano <> '2000-08'")
+    q["dedup_best_row_agg"] = q["dedup_best_row"]
+    q["recode_map_table"] = W(
+        f"SELECT s._linha, s.status, s.status_padrao, o.cliente_id, coalesce(c.estado, 'N/D') AS estado_cliente "
+        f"FROM ({STATUS_SQL}) s JOIN dirty_orders o ON o._linha = s._linha "
+        f"LEFT JOIN stg_clientes c ON c.cliente_id = TRY_CAST(TRY_CAST(o.cliente_id AS DOUBLE) AS BIGINT)")
     q["medallion_end_to_end"] = W("SELECT * FROM faturamento")
     q["medallion_dq_report"] = W(_dq_sql(DQ_TESTS))
     q["medallion_lenient_end_to_end"] = W(D_GOLD)

@@ -34,6 +34,24 @@ def best_row_per_key(df: DataFrame, key, order: Sequence, keep_null_key: bool =
     return out
 
 
+def best_row_aggregate(df: DataFrame, key: str, order: Sequence[tuple[str, bool]], keep_null_key: bool = False) -> DataFrame:
+    """WIN1 as an aggregate: the row with the least ``order`` per ``key``, as ``best_row_per_key`` keeps it.
+
+    ``order`` lists ``(column, ascending)``, missing values last either way; descending columns must be numbers
+    or dates. ``min_by`` holds one row per key and task before the shuffle, so a key with a third of the rows sends a
+    row per map task and its rows are never brought together or sorted by ``order``."""
+    def rank(column: str, ascending: bool) -> list[Column]:
+        c = F.col(column)
+        if not ascending:
+            c = -F.unix_date(c) if dict(df.dtypes)[column] == "date" else -c
+        return [c.isNull(), c]
+
+    least = F.struct(*[x.alias(f"o{i}_{j}") for i, (c, a) in enumerate(order) for j, x in enumerate(rank(c, a))])
+    rows = df if keep_null_key else df.where(F.col(key).isNotNull())
+    best = rows.groupBy(F.col(key).alias("k")).agg(F.min_by(F.struct(*[F.col(c) for c in df.columns]), least).alias("best"))
+    return best.select("best.*")
+
+
 def first_by_key(df: DataFrame, key: str, ordinal: Sequence[str] = ("_linha",),
                  drop_null_key: bool = True) -> DataFrame:
     """SET3 (pandas ``drop_duplicates(subset=key)``): first row in file

@@ -9,17 +9,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, recode, text
-from ..session import scratch_path
+from ..session import checkpoint_root, scratch_path
 from ..sources import readers, sinks, snapshots
 from ..streaming.ingest import stream_bronze
 from . import jobs
-from ..operators import audit, dedup, integrity, marts, quality, reconcile
+from ..operators import audit, dedup, integrity, marts, quality, recoding, reconcile
 from . import dirty
 from .audit_clean import clean_customers_a, clean_orders_a, clean_payments_a
 from .gold import payment_methods_month, revenue_customer_month
@@ -60,13 +59,24 @@ S_INPUTS = {
 }
 
 
-def s_model(spark, sf, name, done=None, root=None):
-    """An S model, lazy, over written inputs; ``done`` collects those."""
-    done, root = {} if done is None else done, root or scratch_path(spark, "models")
-    for i in S_INPUTS[name]:
-        if i not in done:
-            done[i] = sinks.materialize(s_model(spark, sf, i, done, root), f"{root}/{i}")
-    inputs = [done[i] for i in S_INPUTS[name]]
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def s_written(spark, sf, *names):
+    """The named S models as written tables. Each is written once per application, like a layer that the
+    last build left, with whatever it needs and nothing else."""
+    out = {}
+    for n in names:
+        key = (checkpoint_root(spark), spark.sparkContext.applicationId, sf, n)
+        if key not in _WRITTEN:
+            _WRITTEN[key] = sinks.materialize(s_model(spark, sf, n), f"{scratch_path(spark, 'models')}/{n}")
+        out[n] = _WRITTEN[key]
+    return out
+
+
+def s_model(spark, sf, name):
+    """An S model, lazy, over written inputs."""
+    inputs = list(s_written(spark, sf, *S_INPUTS[name]).values())
     if name == "stg_clientes":
         return s_customers(spark, sf)
     if name == "stg_pedidos":
@@ -76,15 +86,6 @@ def s_model(spark, sf, name, done=None, root=None):
     return (revenue_customer_month if name == "faturamento_cliente_mensal" else payment_methods_month)(*inputs)
 
 
-def s_written(spark, sf, *names):
-    """The named S models, written, with whatever they need and nothing else."""
-    done, root = {}, scratch_path(spark, "models")
-    for n in names:
-        if n not in done:
-            done[n] = sinks.materialize(s_model(spark, sf, n, done, root), f"{root}/{n}")
-    return {n: done[n] for n in names}
-
-
 # -- silver / gold models (TR1-TR5) -------------------------------------------
 
 @register("silver_customers")
@@ -123,6 +124,21 @@ def gold_rebuild_replaces(spark, sf):
     return spark.read.parquet(path).withColumn("mes_ano", F.col("mes_ano").cast("string"))
 
 
+@register
+def gold_load_named_months(spark, sf):
+    """A load of three named months, one of them without rows any more, into a mart whose months are
+    marked (amounts one higher): the others keep their mark, the named ones are new."""
+    t = s_written(spark, sf, "stg_clientes", "stg_pedidos")
+    path = scratch_path(spark, "gold-months")
+    whole = revenue_customer_month(t["stg_pedidos"], t["stg_clientes"])
+    sinks.write_layer(whole.withColumn("faturamento_total", F.col("faturamento_total") + 1), path, partition_by=["mes_ano"])
+    day = F.col("data_pedido")
+    orders = t["stg_pedidos"].where(F.date_format(day, "yyyy-MM").isin("2000-07", "2000-09"))
+    sinks.replace_partitions(revenue_customer_month(orders, t["stg_clientes"]), path, "mes_ano",
+                             ["2000-07", "2000-08", "2000-09"])
+    return spark.read.parquet(path).withColumn("mes_ano", F.col("mes_ano").cast("string"))
+
+
 # -- date expressions (DT1-DT7) ------------------------------------------------
 
 @register
@@ -202,6 +218,21 @@ def recode_state(spark, sf):
     return c.select("_linha", "estado", recode.recode_state("estado").alias("estado_uf"))
 
 
+@register
+def recode_map_table(spark, sf):
+    """Two maps that are tables: a few raw status texts, and as many keys as there are customers."""
+    o = dirty.dirty_orders(spark, sf)
+    texts = o.select(F.upper(F.trim("status")).alias("raw")).distinct()
+    status = sinks.materialize(texts.select("raw", recode.recode_status("raw").alias("code"))
+                               .where(F.col("raw") != F.col("code")), scratch_path(spark, "map-status"))
+    client = sinks.materialize(s_customers(spark, sf).select(F.col("cliente_id").cast("string").alias("id"), "estado"),
+                               scratch_path(spark, "map-cliente"))
+    out = recoding.recode_from_table(o, F.upper(F.trim("status")), "status_padrao", status, "raw", "code")
+    out = recoding.recode_from_table(out, F.col("cliente_id").try_cast("double").try_cast("bigint").cast("string"),
+                                     "estado_cliente", client, "id", "estado", unknown=F.lit("N/D"))
+    return out.select("_linha", "status", "status_padrao", "cliente_id", "estado_cliente")
+
+
 @register
 def recode_status(spark, sf):
     o = dirty.dirty_orders(spark, sf)
@@ -261,6 +292,13 @@ def dedup_best_row(spark, sf):
     return dedup.best_row_per_key(c, "cliente_id", [F.col("data_valida").asc_nulls_last(), F.col("_linha").asc()])
 
 
+@register
+def dedup_best_row_agg(spark, sf):
+    c = dirty.dirty_customers(spark, sf).withColumn(
+        "data_valida", dates.clamp_date(dates.parse_date_multi("data_cadastro"), as_of=AS_OF))
+    return dedup.best_row_aggregate(c, "cliente_id", [("data_valida", True), ("_linha", True)])
+
+
 @register
 def dedup_first_by_key(spark, sf):
     return dedup.first_by_key(dirty.dirty_payments(spark, sf), "pagamento_id", dirty.PAYMENT_ORDER)
@@ -530,24 +568,14 @@ def write_raw_json(df, path):
     df.write.mode("overwrite").json(path)
 
 
-def write_raw_json_arrays(df, path, files=8, rows_per_file=100_000):
-    """Land rows as files that hold one indented JSON array each: ``files`` of them, or as
-    many as it takes for about ``rows_per_file`` rows each (an array is read by one task)."""
-    files = max(files, -(-df.count() // rows_per_file))
-
-    def array(batches):
-        first = True
-        for batch in batches:
-            lines = []
-            for r in batch.column(0).to_pylist():
-                lines.append(("[\n" if first else ",\n") + "  " + r)
-                first = False
-            yield pa.RecordBatch.from_pydict({"value": lines})
-        if not first:
-            yield pa.RecordBatch.from_pydict({"value": ["]"]})
-
-    df.select(F.to_json(F.struct(*df.columns)).alias("value")).repartition(files).mapInArrow(array, "value string") \
-        .write.mode("overwrite").text(path)
+def write_raw_json_arrays(df, path, rows_per_file=100_000):
+    """Land rows as files that hold one JSON array each, of at most ``rows_per_file`` rows (an array is
+    read by one task, so the number of files grows with the rows)."""
+    at = F.monotonically_increasing_id()
+    part, chunk = F.shiftright(at, 33), F.floor(at.bitwiseAND((1 << 33) - 1) / rows_per_file)
+    rows = df.select(F.struct(*df.columns).alias("r"), part.alias("part"), chunk.alias("chunk"))
+    arrays = rows.groupBy("part", "chunk").agg(F.to_json(F.collect_list("r")).alias("value")).select("value")
+    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 @register
@@ -631,20 +659,27 @@ def snapshot_as_of(spark, sf):
     return snapshots.read_snapshot(spark, root, version=1)
 
 
-def _land_raw(spark, sf):
-    """Driver tables -> dirty raw files (CSV, CSV, JSON arrays) -> specs."""
-    raw = scratch_path(spark, "raw")
-    write_raw_csv(dirty.dirty_customers(spark, sf), f"{raw}/clientes", null_token_col="email")
-    write_raw_csv(dirty.dirty_orders(spark, sf), f"{raw}/pedidos")
-    write_raw_json_arrays(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
-    return [jobs.SourceSpec("clientes", f"{raw}/clientes", "csv", tuple(CUSTOMER_RAW), "_linha"),
+_RAW: dict[tuple, list] = {}
+
+
+def landed_raw(spark, sf):
+    """Driver tables -> dirty raw files (CSV, CSV, JSON arrays) -> specs; landed once per application."""
+    key = (checkpoint_root(spark), spark.sparkContext.applicationId, sf)
+    if key not in _RAW:
+        raw = scratch_path(spark, "raw")
+        write_raw_csv(dirty.dirty_customers(spark, sf), f"{raw}/clientes", null_token_col="email")
+        write_raw_csv(dirty.dirty_orders(spark, sf), f"{raw}/pedidos")
+        write_raw_json_arrays(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
+        _RAW[key] = [
+            jobs.SourceSpec("clientes", f"{raw}/clientes", "csv", tuple(CUSTOMER_RAW), "_linha"),
             jobs.SourceSpec("pedidos", f"{raw}/pedidos", "csv", tuple(ORDER_RAW), "_linha"),
             jobs.SourceSpec("pagamentos", f"{raw}/pagamentos", "json", tuple(PAYMENT_RAW), "_linha", multi_line=True)]
+    return _RAW[key]
 
 
 def _bronze(spark, sf, name, columns):
     root = scratch_path(spark, "bronze")
-    jobs.bronze_ingest(spark, _land_raw(spark, sf), root)
+    jobs.bronze_ingest(spark, landed_raw(spark, sf), root)
     b = spark.read.parquet(f"{root}/{name}")
     return b.where(F.col("_ingerido_em").isNotNull()).select(*columns, "_linha")
 
@@ -681,15 +716,17 @@ def dedup_first_file_order(spark, sf):
 
 @register
 def metrics_rowcounts(spark, sf):
-    specs = _land_raw(spark, sf)
+    specs = landed_raw(spark, sf)
     counts = jobs.bronze_ingest(spark, specs, scratch_path(spark, "bronze"))
     return spark.createDataFrame(sorted(counts.items()), "tabela string, linhas bigint")
 
 
 @register
 def bronze_ingest_stream(spark, sf):
+    """Columns stand in the files in another order than the caller names them, and quotes are doubled."""
     src = scratch_path(spark, "landing-pedidos")
-    write_raw_csv(dirty.dirty_orders(spark, sf), src)
+    o = dirty.dirty_orders(spark, sf)
+    write_raw_csv(o.withColumn("status", F.concat(F.lit('"'), "status", F.lit('", '))).select("_linha", *ORDER_RAW[::-1]), src)
     out = scratch_path(spark, "bronze-pedidos")
     stream_bronze(spark, src, ORDER_RAW + ["_linha"], out, scratch_path(spark, "stream-ckpt"))
     return spark.read.parquet(out).select(*ORDER_RAW, F.col("_linha").cast("bigint").alias("_linha"))
@@ -697,7 +734,7 @@ def bronze_ingest_stream(spark, sf):
 
 @register
 def medallion_end_to_end(spark, sf):
-    specs = _land_raw(spark, sf)
+    specs = landed_raw(spark, sf)
     bronze = scratch_path(spark, "bronze")
     jobs.bronze_ingest(spark, specs, bronze)
     out = scratch_path(spark, "lake")
@@ -708,7 +745,7 @@ def medallion_end_to_end(spark, sf):
 
 @register
 def medallion_dq_report(spark, sf):
-    specs = _land_raw(spark, sf)
+    specs = landed_raw(spark, sf)
     bronze = scratch_path(spark, "bronze")
     jobs.bronze_ingest(spark, specs, bronze)
     return jobs.run_profile_s(spark, bronze, scratch_path(spark, "lake"), as_of=AS_OF)
@@ -716,7 +753,7 @@ def medallion_dq_report(spark, sf):
 
 @register
 def medallion_lenient_end_to_end(spark, sf):
-    specs = _land_raw(spark, sf)
+    specs = landed_raw(spark, sf)
     bronze = scratch_path(spark, "bronze")
     jobs.bronze_ingest(spark, specs, bronze)
     return jobs.run_profile_d(spark, bronze, scratch_path(spark, "lake"), payment_order=dirty.PAYMENT_ORDER)

@@ -35,12 +35,18 @@ def apply_null_tokens(df: DataFrame, columns: Sequence[str] | None = None,
                            for c in cols})
 
 
-def _csv_reader(spark: SparkSession, multi_line: bool):
-    # Keep surrounding spaces: they are data here (" PENDENTE "). A quote inside a quoted field is doubled.
-    return (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", False).option("escape", '"')
+def csv_options(reader, multi_line: bool = False):
+    """The dialect of a batch or stream reader: header, surrounding spaces kept (they are data here:
+    " PENDENTE "), a quote inside a quoted field doubled."""
+    return (reader.option("header", True).option("ignoreLeadingWhiteSpace", False).option("escape", '"')
             .option("ignoreTrailingWhiteSpace", False).option("multiLine", multi_line))
 
 
+def csv_header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+    """Column names of a CSV file, or of a folder's first one (only the first line is read)."""
+    return csv_options(spark.read, multi_line).csv(path).columns
+
+
 def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                   null_tokens: Sequence[str] | None = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
     """SRC1: CSV with header, quoted fields, every column text.
@@ -50,9 +56,8 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
     missing one raises. No ``inferSchema``: only the first line is read for
     names. ``multi_line`` allows line breaks in quoted fields; such files
     cannot be split, so land many of them."""
-    r = _csv_reader(spark, multi_line)
-    names = r.csv(path).columns
-    df = _csv_reader(spark, multi_line).option("enforceSchema", False).schema(text_schema(names)).csv(path)
+    names = csv_header(spark, path, multi_line)
+    df = csv_options(spark.read, multi_line).option("enforceSchema", False).schema(text_schema(names)).csv(path)
     if columns:
         df = df.select(*columns)
     return apply_null_tokens(df, tokens=null_tokens) if null_tokens else df
@@ -60,30 +65,62 @@ def read_csv_text(spark: SparkSession, path: str, columns: Sequence[str] | None
 
 def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
                    null_tokens: Sequence[str] | None = NULL_TOKENS, multi_line: bool = False) -> DataFrame:
-    """SRC2: CSV with an explicit schema (``inferSchema`` only if none).
+    """SRC2: CSV with an explicit schema (inferred only if none, see ``infer_types``).
 
     Fields are read as text, bound by header name, null tokens become NULL,
     and the rest is cast (a text that does not fit the type is NULL)."""
     if schema is None:
-        df = _csv_reader(spark, multi_line).option("inferSchema", True).csv(path)
-        return apply_null_tokens(df, tokens=null_tokens) if null_tokens else df
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    raw = read_csv_text(spark, path, st.fieldNames(), null_tokens, multi_line)
+        raw = read_csv_text(spark, path, None, null_tokens, multi_line)
+        st = infer_types(raw)
+    else:
+        st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        raw = read_csv_text(spark, path, st.fieldNames(), null_tokens, multi_line)
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in st.fields])
 
 
+def infer_types(raw: DataFrame) -> T.StructType:
+    """The narrowest type of bigint, double and boolean that all values of each text column fit, else
+    string (also for a column without values). Missing values fit every type, so call it after the null
+    tokens are gone. One pass over the rows, one row to the driver."""
+    kinds = ("bigint", "double", "boolean")
+    fits = [F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast(k).isNull(), 1)).alias(f"{i}_{k}")
+            for i, c in enumerate(raw.columns) for k in kinds]
+    some = [F.count(F.col(c)).alias(f"{i}") for i, c in enumerate(raw.columns)]
+    row = raw.agg(*fits, *some).first()
+
+    def kind(i: int) -> str:
+        return next((k for k in kinds if row[str(i)] and not row[f"{i}_{k}"]), "string")
+
+    return T._parse_datatype_string(", ".join(f"`{c}` {kind(i)}" for i, c in enumerate(raw.columns)))
+
+
+def _json_reader(spark: SparkSession, schema: T.StructType, whole_file: bool):
+    r = spark.read.schema(schema).option("mode", "FAILFAST")
+    # A file that is one array is one "line": no valid JSON holds a NUL, so nothing ends it early. Unlike
+    # multiLine this parses bytes in memory, where the text of a number is at hand and not read again.
+    return r.option("lineSep", "\u0000") if whole_file else r
+
+
+def _with_fields(df: DataFrame) -> DataFrame:
+    """``df``; a record without a value in any column raises (its fields have other names)."""
+    some = F.coalesce(*[F.col(f"`{c}`").cast("string") for c in df.columns])
+    wrong = F.raise_error(F.lit(f"a JSON record has none of the fields {', '.join(df.columns)}")).cast("boolean")
+    return df.where(F.when(some.isNull(), wrong).otherwise(True))
+
+
 def read_json_text(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
     """SRC3: JSON records, every field text (number tokens keep their
     text, e.g. ``30.0``). JSON Lines by default; ``multi_line=True`` reads
     files that hold an array, one task per file, so land many of them.
-    A record that cannot be parsed raises."""
-    return spark.read.schema(text_schema(columns)).option("multiLine", multi_line).option("mode", "FAILFAST") \
-        .option("primitivesAsString", True).json(path)
+    A record that cannot be parsed raises, and so does one without a value in any of ``columns``."""
+    reader = _json_reader(spark, text_schema(columns), multi_line).option("primitivesAsString", True)
+    return _with_fields(reader.json(path))
 
 
 def read_json_typed(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
-    """SRC4: JSON records with an explicit schema; a bad record raises."""
-    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST").json(path)
+    """SRC4: JSON records with an explicit schema; a bad record raises (see ``read_json_text``)."""
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    return _with_fields(_json_reader(spark, st, multi_line).json(path))
 
 
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame:

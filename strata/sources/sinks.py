@@ -25,21 +25,18 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = None, mode: str = "overwrite",
-                fmt: str = "parquet", spread: int = 16, keep_other_partitions: bool = False) -> None:
+                fmt: str = "parquet", keep_other_partitions: bool = False) -> None:
     """SNK3: write a model's result to a fixed location.
 
-    With ``partition_by`` the rows are first hash-repartitioned on the
-    partition columns plus a ``spread``-valued salt taken from a hash of the
-    whole row: each directory is written by at most ``spread`` tasks (not by
-    every task, which gives tasks x directories small files) and a large
-    partition value (one busy month) is still split over ``spread`` tasks
-    instead of one. The whole table is replaced, so a partition that is no
-    longer in the result goes; ``keep_other_partitions`` replaces only those
-    that ``df`` has (a load of named months)."""
-    w = df
-    if partition_by:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-        w = df.repartition(*[F.col(c) for c in partition_by], salt)
+    With ``partition_by`` the rows are first rebalanced on the partition
+    columns: adaptive execution measures what each value has, gives a busy
+    month to as many tasks as its bytes need (``advisoryPartitionSizeInBytes``
+    each) and puts small ones together, so neither one task writes a month of
+    any size nor every task into every directory. The whole table is replaced,
+    so a partition that is no longer in the result goes;
+    ``keep_other_partitions`` replaces only those that ``df`` has (see
+    ``replace_partitions``)."""
+    w = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     writer = w.write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option(
@@ -47,6 +44,21 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
     writer.save(path)
 
 
+def replace_partitions(df: DataFrame, path: str, column: str, values: Sequence[str]) -> None:
+    """SNK3, partition-wise: of the table at ``path``, partitioned by the text ``column``, replace exactly
+    the partitions ``values``; a named one without rows in ``df`` ends up empty, all others stay as they
+    are. Rows of ``df`` under other values raise before anything is written to their partitions."""
+    named = F.col(column).isin(list(values))
+    stray = F.raise_error(F.concat(F.lit(f"not a named {column}: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))
+    checked = df.withColumn(column, F.when(named, F.col(column)).otherwise(stray.cast("string")))
+    part, obs = checked, Observation()
+    part = part.observe(obs, F.collect_set(column).alias("found"))  # at most as many as are named
+    write_layer(part, path, [column], keep_other_partitions=True)
+    nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
+    for value in sorted(set(values) - set(obs.get["found"])):
+        nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{column}={value}")
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once (Parquet) and return the read-back table.
 

@@ -266,5 +266,5 @@ def test_json_array_files_grow_with_the_rows(spark, tmp_path):
             text = f.read()
         if text:
             files.append([r["id"] for r in json.loads(text)])
-    assert len(files) == 20 and max(map(len, files)) <= 50
+    assert len(files) == 20 and max(map(len, files)) <= 25
     assert sorted(i for ids in files for i in ids) == list(range(500))
