@@ -16,7 +16,6 @@ out in sequences whose lengths are powers of two, which need no padding.
 from __future__ import annotations
 
 import json
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,25 +44,6 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("offset", pa.int64())])
 
 
-class _Numbered(dict):
-    """Numbers its keys as they come; ``new`` holds those not yet handled."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, key: str) -> int:
-        n = self[key] = len(self)
-        self.new.append(key)
-        return n
-
-    def number(self, values: pa.Array) -> np.ndarray:
-        """The number of each value; equal values are looked up once."""
-        coded = values.dictionary_encode()
-        known = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        return known[coded.indices.to_numpy()]
-
-
 def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The indexes begin[0], begin[0] + 1, ... (size[0] of them), begin[1], ..."""
     ends = np.cumsum(size)
@@ -77,27 +57,29 @@ def _bounds(group: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 class _Ids:
-    """Id sequences end to end."""
+    """Id sequences end to end, one of each number."""
 
-    def __init__(self):
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.start = np.zeros(1, np.int64)
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.sizes = flat, sizes
+        self.start = np.cumsum(sizes) - sizes
 
-    def add(self, ids: np.ndarray, sizes: np.ndarray):
-        used = int(self.start[-1])
-        if used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat[:used], np.empty(used + 2 * len(ids), np.uint32)])
-        self.flat[used:used + len(ids)] = ids
-        self.start = np.concatenate([self.start, used + np.cumsum(sizes)])
+    def add(self, more: _Ids):
+        self.__init__(np.concatenate([self.flat, more.flat]), np.concatenate([self.sizes, more.sizes]))
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        begin = self.start[codes]
-        size = self.start[codes + 1] - begin
-        return self.flat[_runs(begin, size)], size
+        size = self.sizes[codes]
+        return self.flat[_runs(self.start[codes], size)], size
+
+
+def _numbered(values: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The number of each value, and the distinct values by number."""
+    coded = values.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
 
 class WordEncoder:
-    """Token ids of whole texts, with the ids of each word remembered.
+    """Token ids of whole texts; each distinct word is looked up once a call, and the
+    ids of distinct parts of words are remembered up to a bound.
 
     The tokenizer drops white space and never joins characters across it, so a
     text's ids are those of its words in order. Texts are cut at blanks and
@@ -112,13 +94,13 @@ class WordEncoder:
     LIMIT = 500_000
     #: Latin letters (without the one whose lower case is two characters), then marks other than the apostrophe
     PLAIN = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<marks>[!\"#$%&()*+,./:;<=>?@^_`{|}~-]*)$"
+    LOWER = "^[a-z\u00df-\u00f6\u00f8-\u024f]+$"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             suffix = json.load(f)["model"].get("end_of_word_suffix")
-        self.lower = re.compile("[a-z\u00df-\u00f6\u00f8-\u024f]+\\Z")
         self.letters = None
         if suffix:
             self.letters = Tokenizer.from_file(path)
@@ -128,63 +110,69 @@ class WordEncoder:
         self._reset()
 
     def _reset(self):
-        self.words, self.word_ids = _Numbered(), _Ids()
-        self.parts, self.part_ids = _Numbered(), _Ids()
+        self.parts = pa.array([], pa.large_string())
+        self.part_ids = _Ids(np.empty(0, np.uint32), np.empty(0, np.int64))
 
     def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
         return (np.fromiter((i for x in ids for i in x), np.uint32),
                 np.fromiter(map(len, ids), np.int64, len(ids)))
 
-    def _learn_parts(self):
-        """Ids of the new parts: plain lower-case letters together, the rest one by one."""
-        new, self.parts.new = self.parts.new, []
-        if not new:
-            return
-        plain = np.array([self.letters is not None and w.islower() and bool(self.lower.match(w)) for w in new])
-        ids, sizes = np.empty(0, np.uint32), np.zeros(len(new), np.int64)
-        pieces: list[tuple[np.ndarray, np.ndarray]] = []
-        for chosen, encode in ((plain, self._letters), (~plain, self._whole)):
-            if chosen.any():
-                got, size = encode([w for w, c in zip(new, chosen) if c])
-                sizes[chosen] = size
-                pieces.append((np.flatnonzero(chosen), got))
-        ends = np.cumsum(sizes)
-        ids = np.empty(int(ends[-1]), np.uint32)
-        for which, got in pieces:
-            ids[_runs((ends - sizes)[which], sizes[which])] = got
-        self.part_ids.add(ids, sizes)
-
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(self.letters.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
         ends = np.flatnonzero(self.is_end[ids]) + 1
-        assert len(ends) == len(words)
+        if len(ends) != len(words):  # the suffix doesn't mark the ends of these words
+            return self._whole(words)
         return ids, np.diff(ends, prepend=0)
 
-    def _learn(self):
-        new, self.words.new = self.words.new, []
-        if not new:
-            return
-        words = pa.array(new, pa.large_string())
+    def _known(self, parts: pa.Array) -> np.ndarray:
+        """The numbers of distinct parts among those remembered; new ones are learned."""
+        if len(self.parts) > self.LIMIT:
+            self._reset()
+        at = pc.index_in(parts, self.parts)
+        fresh = at.is_null().to_numpy(zero_copy_only=False)
+        codes = at.fill_null(0).to_numpy().astype(np.int64)
+        codes[fresh] = len(self.parts) + np.arange(int(fresh.sum()))
+        new = parts.filter(pa.array(fresh))
+        self.part_ids.add(self._ids_of(new))
+        self.parts = pa.concat_arrays([self.parts, new])
+        return codes
+
+    def _ids_of(self, parts: pa.Array) -> _Ids:
+        """Ids of distinct parts: plain lower-case letters together, the rest one by one."""
+        plain = np.zeros(len(parts), bool)
+        if self.letters is not None:
+            plain = pc.and_(pc.utf8_is_lower(parts), pc.match_substring_regex(parts, self.LOWER)).to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(parts), np.int64)
+        found = []
+        for chosen, encode in ((plain, self._letters), (~plain, self._whole)):
+            if chosen.any():
+                got, sizes[chosen] = encode(parts.filter(pa.array(chosen)).to_pylist())
+                found.append((np.flatnonzero(chosen), got))
+        ends = np.cumsum(sizes)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+        for which, got in found:
+            ids[_runs((ends - sizes)[which], sizes[which])] = got
+        return _Ids(ids, sizes)
+
+    def _of_words(self, words: pa.Array) -> _Ids:
+        """Ids of distinct words: of their letters, then of the marks behind these."""
         split = pc.extract_regex(words, self.PLAIN)
         core = pc.coalesce(pc.utf8_lower(pc.struct_field(split, "core")), words)
         marks = pc.coalesce(pc.struct_field(split, "marks"), pa.scalar("", pa.large_string()))
-        code = np.stack([self.parts.number(core), self.parts.number(marks)], axis=1)
-        self._learn_parts()
-        ids, sizes = self.part_ids.of(code.ravel())
-        self.word_ids.add(ids, sizes.reshape(-1, 2).sum(axis=1))
+        code, parts = _numbered(pa.concat_arrays([core, marks]))
+        known = self._known(parts)
+        ids, sizes = self.part_ids.of(known[code.reshape(2, -1).T.ravel()])
+        return _Ids(ids, sizes.reshape(-1, 2).sum(axis=1))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; a null is empty."""
         if not len(texts):
             return []
-        if len(self.words) > self.LIMIT:
-            self._reset()
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
         words = pc.split_pattern(texts, " ")
-        code = self.words.number(words.flatten())
-        self._learn()
-        ids, sizes = self.word_ids.of(code)
+        code, distinct = _numbered(words.flatten())
+        ids, sizes = self._of_words(distinct).of(code)
         last = np.cumsum(pc.list_value_length(words).to_numpy()) - 1
         return np.split(ids, np.cumsum(sizes)[last[:-1]])
 
@@ -307,7 +295,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
         packer = Packer(capacity, max_segments, max_loss_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            group = np.cumsum(lengths) >> 22  # about 4 MB of text at a time
+            group = np.cumsum(lengths) >> 23  # about 8 MB of text at a time
             for at, end in zip(*_bounds(group)):
                 part = batch.slice(at, end - at)
                 for doc, bears, ids in zip(part.column(0), part.column(2), encoder.encode(part.column(1))):
