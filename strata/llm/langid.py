@@ -163,6 +163,16 @@ def predict(docs: DataFrame, profiles: Profiles, *, top: int = 300) -> DataFrame
     return keep.mapInArrow(tidy(run), schema)
 
 
+def least_score(judged: DataFrame, *, quantile: float = 0.01, share: float = 0.6) -> float:
+    """A score that prose in the learned languages exceeds: ``share`` of the lower ``quantile`` of the scores
+    that the learning rows ``judged(lang_pred, score)`` have themselves (0 without any).
+
+    Random letters and encoded data score a third of what prose does at most, and so does a few lines' text in
+    another language of the same script; a few words of it tell too little and can pass."""
+    told = judged.where(F.col("lang_pred") != UNDETERMINED)
+    return share * (told.agg(F.percentile_approx("score", quantile, 10_000)).first()[0] or 0.0)
+
+
 def remainder(doc_id: str, by: int) -> Column:
     """crc32 of the id's text modulo ``by``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % by

@@ -25,6 +25,7 @@ its own documents never leaves it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,8 @@ _WHOLE = 65535
 _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
 #: Bytes of the units in one index.
 _BLOCK = 1 << 18
+#: Bytes of marked texts that are handled together.
+_TEXTS = 1 << 21
 #: An anchor with this many different units in one block of a map task is hot there.
 _HOT = 256
 _PIECE = np.dtype([("doc", "<i8"), ("pos", "<u4"), ("check", "<u4"), ("anchor", "<u8"), ("left", "<u2"), ("size", "<u2")])
@@ -182,7 +185,7 @@ def cut_units(cutter: _Cutter, buckets: int, hot: int = _HOT) -> Callable:
                     texts.append(text.to_pybytes())
                     ids.append(batch.column(0)[k].as_py())
                     block += text.size
-                if texts and (block >= 1 << 20 or k == batch.num_rows - 1):
+                if texts and (block >= 1 << 18 or k == batch.num_rows - 1):
                     held.append(cutter.units(texts, np.array(ids, np.int64)))
                     size += block
                     texts, ids, block = [], [], 0
@@ -269,18 +272,47 @@ def _marks_of(rows) -> tuple[np.ndarray, Callable[[int], np.ndarray]]:
     return marks, of
 
 
-def _checked(cutter: _Cutter, text: bytes, marks: np.ndarray):
-    """The marks whose unit is in this text (ids can repeat), with their ranges and the text's hashes."""
-    data = Bytes(np.frombuffer(text, np.uint8))
-    window = marks["lo"] == _WHOLE
-    inside = marks["pos"].astype(np.int64) + np.where(window, cutter.length, cutter.k) <= len(text)
-    marks, window = marks[inside], window[inside]
-    pos = marks["pos"].astype(np.int64)
-    lo, hi = cutter.ranges(pos, 0, len(text))
-    lo, hi = np.where(window, pos, lo), np.where(window, pos + cutter.length, hi)
-    found = np.where(window, data.hashes(lo, hi), cutter.hashes(data, pos, lo, hi))
-    good = (found & np.uint64(0xFFFFFFFF)) == marks["check"]
-    return data, marks[good], pos[good], lo[good], hi[good]
+@dataclass
+class _Marked:
+    """Marks of several texts that lie end to end: each mark's text ``of``, its place and range there, and where
+    texts start. Marks whose unit is not in their text are left out (ids can repeat)."""
+
+    source: Bytes
+    start: np.ndarray
+    size: np.ndarray
+    of: np.ndarray
+    marks: np.ndarray
+    pos: np.ndarray
+    lo: np.ndarray
+    hi: np.ndarray
+
+    @classmethod
+    def check(cls, cutter: _Cutter, texts: list[bytes], marks: list[np.ndarray]) -> _Marked:
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        start = np.cumsum(size) - size
+        of = np.repeat(np.arange(len(texts)), np.fromiter(map(len, marks), np.int64, len(marks)))
+        rows = np.concatenate(marks)
+        source = Bytes(np.frombuffer(b"".join(texts), np.uint8))
+        window = rows["lo"] == _WHOLE
+        inside = rows["pos"].astype(np.int64) + np.where(window, cutter.length, cutter.k) <= size[of]
+        rows, of, window = rows[inside], of[inside], window[inside]
+        pos = rows["pos"].astype(np.int64)
+        lo, hi = cutter.ranges(pos, 0, size[of])
+        lo, hi = np.where(window, pos, lo), np.where(window, pos + cutter.length, hi)
+        at = start[of]
+        found = np.where(window, source.hashes(at + lo, at + hi), cutter.hashes(source, at + pos, at + lo, at + hi))
+        good = (found & np.uint64(0xFFFFFFFF)) == rows["check"]
+        return cls(source, start, size, of[good], rows[good], pos[good], lo[good], hi[good])
+
+    def covered(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The bytes that lie in any of the ranges (places in all texts together)."""
+        n = len(self.source.data)
+        return np.cumsum(np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n] > 0
+
+    def counts(self, bytes_: np.ndarray) -> np.ndarray:
+        """How many of the chosen bytes each text has."""
+        sums = np.concatenate([[0], np.cumsum(bytes_)])
+        return sums[self.start + self.size] - sums[self.start]
 
 
 def _with_rest_of_chars(data: np.ndarray, removed: np.ndarray) -> np.ndarray:
@@ -311,10 +343,39 @@ def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
     of ``length`` bytes, by their own hashes, with marks for what repeats among the documents at hand."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, of = None, None
+        texts: list[tuple[int, bytes, np.ndarray]] = []
+        size = 0
         pieces: list[np.ndarray] = []
         data: list[bytes] = []
         windows: list[np.ndarray] = []
-        n_windows = 0
+
+        def cut_held():
+            ids = np.array([d for d, *_ in texts], np.int64)
+            joined = b"".join(t for _, t, _ in texts)
+            found = _Marked.check(cutter, [t for _, t, _ in texts], [m for *_, m in texts])
+            texts.clear()
+            at = found.start[found.of]
+            lo, hi, pos = at + found.lo, at + found.hi, at + found.pos
+            hot = found.marks["lo"] == 1
+            if hot.any():
+                begin = np.flatnonzero(found.covered(lo[hot], np.maximum(hi[hot] - cutter.length + 1, lo[hot])))
+                which = np.searchsorted(found.start + found.size, begin, "right")
+                part = np.empty(len(begin), _WINDOW)
+                part["hash"], part["doc"] = found.source.hashes(begin, begin + cutter.length), ids[which]
+                part["pos"] = begin - found.start[which]
+                windows.append(part)
+                if sum(map(len, windows)) > 2_000_000:
+                    yield flush_windows()
+            cold = np.flatnonzero(~hot)
+            part = np.empty(len(cold), _PIECE)
+            for name in ("doc", "pos", "check"):
+                part[name] = found.marks[name][cold]
+            part["anchor"] = found.source.hashes(pos[cold], pos[cold] + cutter.k) | np.uint64(1)
+            part["left"], part["size"] = (pos - lo)[cold], (hi - lo)[cold]
+            pieces.append(part)
+            data.extend(joined[a:b] for a, b in zip(lo[cold].tolist(), hi[cold].tolist()))
+            if len(data) > 100_000:
+                yield flush()
 
         def flush_windows():
             rows, again = _repeats(np.concatenate(windows))
@@ -343,30 +404,13 @@ def cut_ends(cutter: _Cutter, buckets: int) -> Callable:
                 mine = of(r["doc_id"].as_py()) if now == bucket else ()
                 if not len(mine) or not r["blob"].is_valid:
                     continue
-                text = zstandard.decompress(r["blob"].as_py())
-                source, marks, pos, lo, hi = _checked(cutter, text, mine)
-                hot = marks["lo"] == 1
-                if hot.any():
-                    edge = np.zeros(len(text) + 1, np.int64)
-                    np.add.at(edge, lo[hot], 1)
-                    np.add.at(edge, np.maximum(hi[hot] - cutter.length + 1, lo[hot]), -1)
-                    begin = np.flatnonzero(np.cumsum(edge) > 0)
-                    part = np.empty(len(begin), _WINDOW)
-                    part["hash"], part["doc"], part["pos"] = source.hashes(begin, begin + cutter.length), r["doc_id"].as_py(), begin
-                    windows.append(part)
-                    n_windows += len(part)
-                    if n_windows > 2_000_000:
-                        n_windows = 0
-                        yield flush_windows()
-                    marks, pos, lo, hi = marks[~hot], pos[~hot], lo[~hot], hi[~hot]
-                part = np.empty(len(marks), _PIECE)
-                part["doc"], part["pos"], part["check"] = marks["doc"], marks["pos"], marks["check"]
-                part["anchor"] = source.hashes(pos, pos + cutter.k) | np.uint64(1)
-                part["left"], part["size"] = pos - lo, hi - lo
-                pieces.append(part)
-                data.extend(text[a:b] for a, b in zip(lo, hi))
-                if len(data) > 100_000:
-                    yield flush()
+                texts.append((r["doc_id"].as_py(), zstandard.decompress(r["blob"].as_py()), mine))
+                size += len(texts[-1][1])
+                if size > _TEXTS:
+                    size = 0
+                    yield from cut_held()
+        if texts:
+            yield from cut_held()
         if pieces:
             yield flush()
         if windows:
@@ -517,12 +561,33 @@ def remove_passages(docs: DataFrame, *, length: int = 50, whole_chars: bool = Fa
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, of = None, None
         schema = None
-        held: list[tuple] = []
+        none = np.empty(0, _MARK)
+        waiting: list[tuple] = []
         size = 0
 
-        def flush():
-            cols = list(zip(*held))
-            held.clear()
+        def cut_waiting():
+            rows = [(d, t, len(t), 0, 0, more) for d, t, _, more in waiting]
+            marked = [k for k, x in enumerate(waiting) if len(x[2])]
+            if marked:
+                found = _Marked.check(cutter, [waiting[k][1] for k in marked], [waiting[k][2] for k in marked])
+                at, part = found.start[found.of], found.marks
+                begin = at + found.lo + np.where(part["lo"] == _WHOLE, 0, part["lo"])
+                end = np.where(part["hi"] == _WHOLE, at + found.hi, at + found.lo + part["hi"])
+                removed = found.covered(begin, end)
+                heads = removed.copy()
+                heads[1:] &= ~removed[:-1]
+                firsts = found.start[found.start < len(removed)]
+                heads[firsts] = removed[firsts]
+                gone, spans = found.counts(removed).tolist(), found.counts(heads).tolist()
+                data = found.source.data
+                if whole_chars:
+                    removed = _with_rest_of_chars(data, removed)
+                kept = data[~removed].tobytes()
+                ends = np.cumsum(found.size - found.counts(removed)).tolist()
+                for k, g, n, a, b in zip(marked, gone, spans, [0, *ends], ends):
+                    rows[k] = (rows[k][0], kept[a:b], rows[k][2], g, n, rows[k][5])
+            waiting.clear()
+            cols = list(zip(*rows))
             arrays = [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.binary()), *(pa.array(c, pa.int64()) for c in cols[2:5])]
             names = ["doc_id", "kept", "n_bytes", "n_removed", "n_spans"]
             if rest:
@@ -542,28 +607,14 @@ def remove_passages(docs: DataFrame, *, length: int = 50, whole_chars: bool = Fa
                 continue
             for r in rows:
                 text = zstandard.decompress(r["blob"].as_py()) if r["blob"].is_valid else b""
-                mine = of(r["doc_id"].as_py()) if now == bucket else ()
-                total = gone = spans = 0
-                total = len(text)
-                if len(mine):
-                    _, marks, _, lo, hi = _checked(cutter, text, mine)
-                    edge = np.zeros(total + 1, np.int64)
-                    np.add.at(edge, lo + np.where(marks["lo"] == _WHOLE, 0, marks["lo"]), 1)
-                    np.add.at(edge, np.where(marks["hi"] == _WHOLE, hi, lo + marks["hi"]), -1)
-                    removed = np.cumsum(edge[:-1]) > 0
-                    gone = int(removed.sum())
-                    spans = int((np.diff(removed.astype(np.int8), prepend=0) == 1).sum())
-                    data = np.frombuffer(text, np.uint8)
-                    if whole_chars:
-                        removed = _with_rest_of_chars(data, removed)
-                    text = data[~removed].tobytes()
-                held.append((r["doc_id"].as_py(), text, total, gone, spans, r["rest"].as_py() if rest else None))
+                mine = of(r["doc_id"].as_py()) if now == bucket else none
+                waiting.append((r["doc_id"].as_py(), text, mine, r["rest"].as_py() if rest else None))
                 size += len(text)
-                if size > 1 << 23 or len(held) >= 5000:
+                if size > _TEXTS or len(waiting) >= 5000:
                     size = 0
-                    yield flush()
-        if held:
-            yield flush()
+                    yield cut_waiting()
+        if waiting:
+            yield cut_waiting()
 
     more = ", rest " + T.StructType([docs.schema[c] for c in rest]).simpleString() if rest else ""
     return both.mapInArrow(tidy(cut), T._parse_datatype_string(

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import numpy as np
 
+from .anchors import Bytes
+
 _PACK = 7  # symbols of 9 bits in the first sort key
 
 
 def _rank(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
     """Dense ranks of the keys, their order, and whether all differ."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     ordered = keys[order]
     new = np.ones(len(keys), bool)
     new[1:] = ordered[1:] != ordered[:-1]
@@ -39,7 +41,10 @@ class RunLengthIndex:
         keep = np.ones(n, bool)
         keep[ends - 1] = False
         text[keep] = np.frombuffer(b"".join(strings), np.uint8).astype(np.int64) + 1
-        self.text = np.concatenate([text, np.zeros(length, np.int64)])
+        joined = np.zeros(n, np.uint8)
+        joined[keep] = text[keep] - 1
+        self.source = Bytes(joined)
+        self.rest = np.repeat(ends, sizes + 1) - 1 - np.arange(n)  # bytes before the separator
         owner = np.repeat(owners, sizes + 1)
 
         # suffix order by doubling; the text ends where it ends, so all suffixes differ in the end
@@ -87,16 +92,16 @@ class RunLengthIndex:
         self.group_owner = np.minimum.reduceat(owner[place], self.group_start)
 
     def _common(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Bytes that the text has in common at places ``a`` and ``b``, up to ``most``."""
+        """Bytes that the text has in common at places ``a`` and ``b``, up to ``most``: by halves, on hashes of
+        substrings that end before the next separator."""
+        most = np.minimum(most, np.minimum(self.rest[a], self.rest[b]))
         out = np.zeros(len(a), np.int64)
-        alive = np.flatnonzero(most > 0)
-        step = 0
-        while len(alive):
-            same = (self.text[a[alive] + step] == self.text[b[alive] + step]) & (self.text[a[alive] + step] != 0)
-            alive = alive[same]
-            step += 1
-            out[alive] = step
-            alive = alive[most[alive] > step]
+        step = 1 << max(int(most.max(initial=0)).bit_length() - 1, 0)
+        while step:
+            longer = np.flatnonzero(out + step <= most)
+            x, y = a[longer] + out[longer], b[longer] + out[longer]
+            out[longer[self.source.hashes(x, x + step) == self.source.hashes(y, y + step)]] += step
+            step >>= 1
         return out
 
     def stream(self, patterns: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from strata.llm.packing import WordEncoder, pack_documents
-from strata.llm.queries import op6_vector_packing, tokenizer_path
+from strata.llm.queries import PACKING, op6_vector_packing, tokenizer_path, with_loss
 
 ODD = ["", " ", "a\nb  c", "İstanbul ΣΑΣ", "étè x́", "it's 'sb don't ...,,", "<|endoftext|> z<|endoftext|>", "ﬁ 12,3 4\t5\x1c6 \xa0 x",
        "日本語。テスト", "ẞtraße ẞ a×b", "foo.bar!!$ $$", "Ǆ ǅ ŉ", "ÉCOLE, Übung; œuvre!", "mail@host.com 10.0.0.1 CC-BY 4.0."]
@@ -54,6 +54,9 @@ def test_query_round_trip(spark, sf_small):
     ids = dict(zip(docs, ([*x, 2] for x in whole(docs.values()))))
     rows = pack_documents(spark.read.parquet(f"{sf_small}/documents.parquet"), tokenizer_path()).collect()
     assert check(rows, ids, 4096) == 0
+    limited = with_loss(spark.read.parquet(f"{sf_small}/documents.parquet"))
+    rows = pack_documents(limited, tokenizer_path(), **PACKING).collect()
+    check(rows, ids, 4096, PACKING["max_segments"], PACKING["max_loss_tokens"])
     got = op6_vector_packing(spark, sf_small).collect()
     assert sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in got) == sorted(
         (r.doc_id, r.start, r.length, zlib.crc32(bytes(r.ids))) for r in rows)
@@ -74,3 +77,35 @@ def test_nulls_repeats_and_no_rows(spark):
     rows = pack_documents(df.coalesce(1), tokenizer_path()).collect()
     assert sorted((r.doc_id or 0, r.doc_tokens) for r in rows if r.start == 0) == [(0, 3), (1, 1), (2, 2), (2, 2), (3, 1)]
     assert pack_documents(df.limit(0), tokenizer_path()).collect() == []
+
+
+def test_each_limit_binds_in_the_querys_own_settings(spark):
+    """Tiny documents fill the segments, a long one the loss-bearing tokens, others the tokens."""
+    tiny = [(i, f"w{i}", 5) for i in range(400)]
+    long = [(1000, "one two three " * 12_000, 10**9), (1001, "one two three " * 5_000, 0), (1002, "four " * 300, None)]
+    docs = with_loss(spark.createDataFrame(tiny + long, "doc_id long, text string, n_chars long").coalesce(1))
+    rows = pack_documents(docs, tokenizer_path(), **PACKING).collect()
+    ids = dict(zip([d for d, *_ in tiny + long], ([*x, 2] for x in whole([t for _, t, _ in tiny + long]))))
+    check(rows, ids, 4096, PACKING["max_segments"], PACKING["max_loss_tokens"])
+    by = defaultdict(list)
+    for r in rows:
+        by[r.sequence_id].append(r)
+    assert max(len(x) for x in by.values()) == PACKING["max_segments"]
+    assert max(sum(r.loss_tokens for r in x) for x in by.values()) == PACKING["max_loss_tokens"]
+    assert max(sum(r.length for r in x) for x in by.values()) == 4096
+    plain = pack_documents(docs, tokenizer_path()).collect()
+    assert {r.sequence_id: r.length for r in plain} != {r.sequence_id: r.length for r in rows}
+
+
+def test_ids_after_the_memory_was_cleared(monkeypatch):
+    monkeypatch.setattr(WordEncoder, "LIMIT", 3)
+    encoder = WordEncoder(tokenizer_path())
+    for _ in range(3):
+        for part in (ODD[:5], ODD[5:]):
+            assert [x.tolist() for x in encoder.encode(pa.array(part))] == whole(part)
+
+
+def test_words_whose_ends_show_in_no_token(monkeypatch):
+    encoder = WordEncoder(tokenizer_path())
+    encoder.is_end[:] = False
+    assert [x.tolist() for x in encoder.encode(pa.array(ODD))] == whole(ODD)

@@ -88,8 +88,8 @@ def in_process(docs, length=50, buckets=3, hot=None):
     marks = passages.np.concatenate([passages._load(r["blob"], passages._MARK)[0] for r in marks])
     gone = {d: [False] * len(t) for d, t in rows}
     for d, t in rows:
-        _, mine, _, lo, hi = passages._checked(cutter, t, marks[marks["doc"] == d])
-        for m, a, b in zip(mine, lo.tolist(), hi.tolist()):
+        found = passages._Marked.check(cutter, [t], [marks[marks["doc"] == d]])
+        for m, a, b in zip(found.marks, found.lo.tolist(), found.hi.tolist()):
             a, b = a + (0 if m["lo"] == passages._WHOLE else int(m["lo"])), b if m["hi"] == passages._WHOLE else a + int(m["hi"])
             gone[d][a:b] = [True] * (b - a)
     return gone, kinds
