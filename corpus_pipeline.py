@@ -12,18 +12,15 @@ from pyspark.sql import functions as F
 
 from strata.llm import containment, langid, neardup, packing, passages
 from strata.llm.common import documents, staged
-from strata.llm.queries import benchmark, tokenizer_path
-
-#: A document this far from every learned language (score below it) is no prose in any of them.
-MIN_LANGUAGE_SCORE = 0.05
-
+from strata.llm.queries import PACKING, benchmark, tokenizer_path, with_loss
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those far from every learned language."""
-    known = docs.where(langid.remainder("doc_id", 3) != 1)
-    judged = langid.predict(docs, langid.learn_profiles(known))
-    return judged.where((judged.lang_pred != langid.UNDETERMINED) & (judged.score >= MIN_LANGUAGE_SCORE)) \
-        .select(*docs.columns)
+    """Drop documents without a letter and those far from every learned language: with a score below what
+    the learning rows' own scores allow."""
+    learning = langid.remainder("doc_id", 3) != 1
+    judged = staged(langid.predict(docs, langid.learn_profiles(docs.where(learning))), "corpus-judged")
+    least = langid.least_score(judged.where(learning & judged.lang.isNotNull()))
+    return judged.where((judged.lang_pred != langid.UNDETERMINED) & (judged.score >= least)).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +50,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of all documents that are left."""
-    return packing.pack_documents(docs, tokenizer_path())
+    return packing.pack_documents(with_loss(docs), tokenizer_path(), **PACKING)
 
 
 STAGES = [
