@@ -81,7 +81,7 @@ def test_gold_pre_aggregates_hot_customer(spark):
 
 def test_quality_gate_and_marts(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
-    specs = catalog._land_raw(spark, sf)
+    specs = catalog.landed_raw(spark, sf)
     bronze = scratch_path(spark, "gate-bronze")
     jobs.bronze_ingest(spark, specs, bronze)
     out = scratch_path(spark, "gate-lake")

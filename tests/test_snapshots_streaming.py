@@ -47,7 +47,7 @@ def test_lenient_job(spark):
     from strata.plans import catalog, jobs
     sf = "/root/testdata/sf0.001"
     bronze = scratch_path(spark, "d-bronze")
-    jobs.bronze_ingest(spark, catalog._land_raw(spark, sf), bronze)
+    jobs.bronze_ingest(spark, catalog.landed_raw(spark, sf), bronze)
     g = jobs.run_profile_d(spark, bronze, scratch_path(spark, "d-lake"))
     assert {"cliente_id", "mes", "quantidade_pedidos", "faturamento_total"} <= set(g.columns)
     assert g.count() > 0
