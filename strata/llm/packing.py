@@ -91,7 +91,7 @@ class WordEncoder:
     carries the end-of-word suffix.
     """
 
-    LIMIT = 500_000
+    LIMIT = 300_000
     #: Latin letters (without the one whose lower case is two characters), then marks other than the apostrophe
     PLAIN = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<marks>[!\"#$%&()*+,./:;<=>?@^_`{|}~-]*)$"
     LOWER = "^[a-z\u00df-\u00f6\u00f8-\u024f]+$"
@@ -295,7 +295,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
         packer = Packer(capacity, max_segments, max_loss_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            group = np.cumsum(lengths) >> 23  # about 8 MB of text at a time
+            group = np.cumsum(lengths) >> 22  # about 4 MB of text at a time
             for at, end in zip(*_bounds(group)):
                 part = batch.slice(at, end - at)
                 for doc, bears, ids in zip(part.column(0), part.column(2), encoder.encode(part.column(1))):

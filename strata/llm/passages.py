@@ -46,7 +46,7 @@ _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
 #: Bytes of the units in one index.
 _BLOCK = 1 << 18
 #: Bytes of marked texts that are handled together.
-_TEXTS = 1 << 21
+_TEXTS = 1 << 18
 #: An anchor with this many different units in one block of a map task is hot there.
 _HOT = 256
 _PIECE = np.dtype([("doc", "<i8"), ("pos", "<u4"), ("check", "<u4"), ("anchor", "<u8"), ("left", "<u2"), ("size", "<u2")])
