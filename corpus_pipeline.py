@@ -18,8 +18,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those far from every learned language: with a score below what
     the learning rows' own scores allow."""
     learning = langid.remainder("doc_id", 3) != 1
-    judged = staged(langid.predict(docs, langid.learn_profiles(docs.where(learning))), "corpus-judged")
-    least = langid.least_score(judged.where(learning & judged.lang.isNotNull()))
+    profiles = langid.learn_profiles(docs.where(learning))
+    least = langid.least_score(langid.predict(docs.where(learning & docs.lang.isNotNull()).select("text"), profiles))
+    judged = langid.predict(docs, profiles)
     return judged.where((judged.lang_pred != langid.UNDETERMINED) & (judged.score >= least)).select(*docs.columns)
 
 
