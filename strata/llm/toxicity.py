@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import staged, tidy
+from .common import even_parts, staged, tidy
 
 #: Identity terms by list, the neutral word first.
 IDENTITY = {
@@ -100,7 +100,7 @@ def learn(labelled: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_
     sample = staged(labelled.where("toxic is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
         (F.col("toxic") > 0).cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-        .limit(max_rows), "toxicity-sample")
+        .limit(max_rows).repartition(even_parts(labelled), F.xxhash64("doc_id", "text")), "toxicity-sample")
     kinds = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(kinds) < 2:
         n, k = sum(kinds.values()), kinds.get(1, 0)
@@ -136,13 +136,13 @@ def learn(labelled: DataFrame, *, max_rows: int = 20_000, max_features: int = 8_
                 rows.append(sorted(number[f] for f in number.keys() & features_of(words_of(text))))
                 swaps.append([s for s in _swaps(text, number)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(2), pa.array(rows, pa.list_(pa.int64())),
+                [batch.column(0), batch.column(2), pa.array(rows, pa.list_(pa.int64())),
                  pa.array([[{"gone": a, "come": b} for a, b in x] for x in swaps],
                           pa.list_(pa.struct([("gone", pa.list_(pa.int64())), ("come", pa.list_(pa.int64()))])))],
-                names=["toxic", "features", "swaps"])
+                names=["doc_id", "toxic", "features", "swaps"])
 
-    got = sample.mapInArrow(tidy(gather), "toxic int, features array<long>, swaps array<struct<gone:array<long>,come:array<long>>>") \
-        .toArrow()
+    got = sample.mapInArrow(tidy(gather), "doc_id long, toxic int, features array<long>, swaps array<struct<gone:array<long>,come:array<long>>>") \
+        .toArrow().sort_by("doc_id")  # the order of the tasks' rows doesn't matter
     rows = [np.array(r, np.int64) for r in got.column("features").to_pylist()]
     swaps = [(s["gone"], s["come"]) for x in got.column("swaps").to_pylist() for s in x]
     labels = got.column("toxic").to_numpy().astype(float)
