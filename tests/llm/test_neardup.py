@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from strata.llm import neardup
+from strata.llm import common, neardup
 from strata.llm.containment import contained_items
 
 
@@ -53,6 +53,28 @@ def test_against_all_pairs(spark, monkeypatch, block):
     assert got == brute(docs, 4, 80)
 
 
+@pytest.mark.parametrize("hub", [64, 2])
+def test_components_with_hubs(spark, monkeypatch, hub):
+    monkeypatch.setattr(common, "HUB", hub)  # of 2: most inner nodes are hubs
+    rnd = random.Random(hub)
+    edges = [(5, n) for n in range(1000, 1200)] + [(n, n + 1) for n in range(2000, 2040)]  # a star, a path
+    edges += [(rnd.randrange(3000, 3300), rnd.randrange(3000, 3300)) for _ in range(200)] + [(1100, 2020), (7, 7), (8, None)]
+    least = {}
+    for a, b in edges:
+        if b is not None and a != b:
+            least.setdefault(a, a), least.setdefault(b, b)
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            if b is not None and a != b and least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                moved = True
+    df = spark.createDataFrame(edges + edges[:50] + [(b, a) for a, b in edges[50:90]], "a long, b long")
+    assert sorted(map(tuple, common.components(df).collect())) == sorted(least.items())
+    assert common.components(df.limit(0)).collect() == []
+
+
 def test_no_rows(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
