@@ -47,6 +47,8 @@ _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
 BUCKETS_PER_TASK = 4
 #: Bytes of the units in one index.
 _BLOCK = 1 << 18
+#: Bytes of texts whose units a map task holds before it sends them (a unit takes more memory than its share of text).
+_UNITS_OF = 1 << 23
 #: Bytes of marked texts that are handled together.
 _TEXTS = 1 << 18
 #: An anchor with this many different units in one block of a map task is hot there.
@@ -191,7 +193,7 @@ def cut_units(cutter: _Cutter, buckets: int, hot: int = _HOT) -> Callable:
                     held.append(cutter.units(texts, np.array(ids, np.int64)))
                     size += block
                     texts, ids, block = [], [], 0
-                if size >= 1 << 24:
+                if size >= _UNITS_OF:
                     size = 0
                     yield flush()
         if held:
@@ -255,7 +257,7 @@ def settle_units(cutter: _Cutter, buckets: int, block: int = _BLOCK) -> Callable
             ends = _mark_units(units[end])
             ends["lo"] = hot[group[end]]
             held[ENDS].append(ends)
-            if sum(len(x) for parts in held.values() for x in parts) > 2_000_000:
+            if sum(len(x) for parts in held.values() for x in parts) > 500_000:
                 yield flush()
         yield flush()
 
