@@ -1,9 +1,9 @@
 """Removal of long passages that also start in an earlier document.
 
 A byte goes if a string of ``length`` bytes that covers it also starts in a
-document with a smaller id. Work flows in hash buckets, four for each shuffle
-partition and dealt evenly; a task holds the rows of one bucket at a time, and
-whatever a map task can settle among its own documents never leaves it.
+document with a smaller id. Work flows in hash buckets, one for each shuffle
+partition, and whatever a map task can settle among its own documents never
+leaves it.
 
 1. Anchors (see ``anchors``) cut every text into overlapping units: the
    ``length - k`` bytes before an anchor, the anchor, and ``length - k`` bytes
@@ -43,8 +43,6 @@ _MARK = np.dtype([("doc", "<i8"), ("pos", "<u4"), ("check", "<u4"), ("lo", "<u2"
 _WHOLE = 65535
 #: One string of ``length`` bytes of a hot anchor's units, by its place; such a mark has ``lo`` = _WHOLE.
 _WINDOW = np.dtype([("hash", "<u8"), ("doc", "<i8"), ("pos", "<u4")])
-#: Hash buckets that a task handles, one after the other; what it holds at a time is one bucket's rows.
-BUCKETS_PER_TASK = 4
 #: Bytes of the units in one index.
 _BLOCK = 1 << 18
 #: Bytes of texts whose units a map task holds before it sends them (a unit takes more memory than its share of text).
@@ -521,7 +519,7 @@ def remove_passages(docs: DataFrame, *, length: int = 50, whole_chars: bool = Fa
     assert length >= 20
     cutter = _Cutter(length, max(8, length * 2 // 5))
     parts = even_parts(docs)
-    buckets = BUCKETS_PER_TASK * parts
+    buckets = parts
     new = ["kept", "n_bytes", "n_removed", "n_spans"]
     docs = docs.drop(*new).withColumn("doc_id", F.col("doc_id").cast("long"))
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
