@@ -1,6 +1,9 @@
+import math
+import random
+
 import numpy as np
 from strata.llm.queries import op5_toxicity
-from strata.llm.toxicity import learn, score
+from strata.llm.toxicity import fit_logistic, learn, score
 
 
 def test_held_out_accuracy(spark):
@@ -34,3 +37,32 @@ def test_defined_edges(spark):
     out = score(spark.createDataFrame([(1, None, "s"), (1, None, "s"), (2, "z " * 50_000, None)], "doc_id long, text string, score string"),
                 one).collect()
     assert len(out) == 3 and all(r.predicted == 0 and 0 < r.score < 0.5 for r in out)
+
+
+def plain_loss(w, bias, rows, labels, swaps, ridge, swap_weight):
+    loss = ridge / 2 * sum(x * x for x in w)
+    for row, y in zip(rows, labels):
+        z = bias + sum(w[f] for f in row)
+        loss += (math.log1p(math.exp(-z)) if y else math.log1p(math.exp(z))) / len(rows)
+    for gone, come in swaps:
+        loss += swap_weight * (sum(w[f] for f in come) - sum(w[f] for f in gone)) ** 2 / len(swaps)
+    return loss
+
+
+def test_fit_is_the_least_plain_loss():
+    rnd = random.Random(3)
+    rows = [np.array(sorted(rnd.sample(range(6), rnd.randrange(4))), np.int64) for _ in range(200)]
+    labels = np.array([float(rnd.random() < (0.8 if 0 in r else 0.3 if 1 in r else 0.1)) for r in rows])
+    swaps = [([0], [1]), ([2, 3], [4]), ([5], [])]
+    for swap_weight in (0.0, 0.5):
+        w, bias = fit_logistic(rows, labels, swaps, 6, ridge=1e-2, swap_weight=swap_weight, steps=3000)
+        at = [*w, bias]
+
+        def loss(x):
+            return plain_loss(x[:-1], x[-1], rows, labels, swaps, 1e-2, swap_weight)
+
+        for k in range(len(at)):  # the loss is convex: no slope means the least
+            up, down = list(at), list(at)
+            up[k] += 1e-4
+            down[k] -= 1e-4
+            assert abs(loss(up) - loss(down)) / 2e-4 < 1e-3
