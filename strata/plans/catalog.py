@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
@@ -568,14 +569,23 @@ def write_raw_json(df, path):
     df.write.mode("overwrite").json(path)
 
 
-def write_raw_json_arrays(df, path, rows_per_file=100_000):
+def write_raw_json_arrays(df, path, rows_per_file=100_000, compression="none"):
     """Land rows as files that hold one JSON array each, of at most ``rows_per_file`` rows (an array is
-    read by one task, so the number of files grows with the rows)."""
-    at = F.monotonically_increasing_id()
-    part, chunk = F.shiftright(at, 33), F.floor(at.bitwiseAND((1 << 33) - 1) / rows_per_file)
-    rows = df.select(F.struct(*df.columns).alias("r"), part.alias("part"), chunk.alias("chunk"))
-    arrays = rows.groupBy("part", "chunk").agg(F.to_json(F.collect_list("r")).alias("value")).select("value")
-    arrays.write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
+    read by one task, so the number of files grows with the rows). A task closes its arrays as it goes, so no
+    row is shuffled."""
+    def arrays(batches):
+        held = []
+        for batch in batches:
+            held += batch.column(0).to_pylist()
+            while len(held) >= rows_per_file:
+                yield pa.RecordBatch.from_pydict({"value": ["[" + ",".join(held[:rows_per_file]) + "]"]})
+                del held[:rows_per_file]
+        if held:
+            yield pa.RecordBatch.from_pydict({"value": ["[" + ",".join(held) + "]"]})
+
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows.mapInArrow(arrays, "value string").write.mode("overwrite").option("maxRecordsPerFile", 1) \
+        .option("compression", compression).text(path)
 
 
 @register
@@ -622,7 +632,7 @@ def src_json_text(spark, sf):
 @register
 def src_json_array_text(spark, sf):
     path = f"{scratch_path(spark, 'raw-pagamentos')}.json"
-    write_raw_json_arrays(dirty.dirty_payments(spark, sf), path)
+    write_raw_json_arrays(dirty.dirty_payments(spark, sf), path, compression="gzip")
     return readers.read_source(spark, path, None, PAYMENT_RAW + ["_linha"], multi_line=True)
 
 
@@ -630,7 +640,8 @@ def src_json_array_text(spark, sf):
 def src_json_typed(spark, sf):
     path = scratch_path(spark, "raw-pagamentos-json")
     p = dirty.dirty_payments(spark, sf)
-    write_raw_json_arrays(p.withColumns({k: F.col(k).cast("bigint") for k in ("pagamento_id", "pedido_id")}), path)
+    write_raw_json_arrays(p.withColumns({k: F.col(k).cast("bigint") for k in ("pagamento_id", "pedido_id")}), path,
+                          compression="gzip")
     schema = ("pagamento_id BIGINT, pedido_id BIGINT, metodo_pagamento STRING, valor_pago STRING, "
               "data_pagamento STRING, _linha BIGINT")
     return readers.read_json_typed(spark, path, schema, multi_line=True)
@@ -669,7 +680,7 @@ def landed_raw(spark, sf):
         raw = scratch_path(spark, "raw")
         write_raw_csv(dirty.dirty_customers(spark, sf), f"{raw}/clientes", null_token_col="email")
         write_raw_csv(dirty.dirty_orders(spark, sf), f"{raw}/pedidos")
-        write_raw_json_arrays(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos")
+        write_raw_json_arrays(dirty.dirty_payments(spark, sf), f"{raw}/pagamentos", compression="gzip")
         _RAW[key] = [
             jobs.SourceSpec("clientes", f"{raw}/clientes", "csv", tuple(CUSTOMER_RAW), "_linha"),
             jobs.SourceSpec("pedidos", f"{raw}/pedidos", "csv", tuple(ORDER_RAW), "_linha"),

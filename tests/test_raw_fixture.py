@@ -268,3 +268,19 @@ def test_json_array_files_grow_with_the_rows(spark, tmp_path):
             files.append([r["id"] for r in json.loads(text)])
     assert len(files) == 20 and max(map(len, files)) <= 25
     assert sorted(i for ids in files for i in ids) == list(range(500))
+
+
+def test_json_arrays_are_landed_without_a_shuffle(spark, tmp_path):
+    from strata.plans.catalog import write_raw_json_arrays
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else f'"{i}", é\n]') for i in range(200)], "id int, t string").coalesce(3)
+    path = str(tmp_path / "arrays.json")
+    sc = spark.sparkContext
+    sc.setJobGroup("arrays", "arrays")
+    try:
+        write_raw_json_arrays(rows, path, rows_per_file=9, compression="gzip")
+    finally:
+        sc._jsc.clearJobGroup()
+    tracker = sc.statusTracker()
+    assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("arrays")] == [1]
+    got = readers.read_source(spark, path, None, ["id", "t"], multi_line=True)
+    assert sorted((int(r.id), r.t) for r in got.collect()) == [tuple(r) for r in rows.orderBy("id").collect()]
