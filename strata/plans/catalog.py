@@ -7,6 +7,7 @@ them. ``QUERIES`` maps a stable key to ``fn(spark, sf_dir) -> DataFrame``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -670,6 +671,9 @@ def snapshot_as_of(spark, sf):
     return snapshots.read_snapshot(spark, root, version=1)
 
 
+#: Rows that one task sorts when rows are landed in an order.
+ROWS_PER_SORT = 1_000_000
+
 _RAW: dict[tuple, list] = {}
 
 
@@ -717,12 +721,13 @@ def dedup_first_file_order(spark, sf):
     path = scratch_path(spark, "raw-pagamentos-csv")
     order = [F.col(c).desc_nulls_last() for c in PAYMENT_RAW[::-1]]
     rows = dirty.dirty_payments(spark, sf).select(*PAYMENT_RAW)
-    write_raw_csv(rows.repartitionByRange(8, *order).sortWithinPartitions(*order), path)
+    files = max(8, math.ceil(rows.count() / ROWS_PER_SORT))
+    write_raw_csv(rows.repartitionByRange(files, *order).sortWithinPartitions(*order), path)
     spec = jobs.SourceSpec("pagamentos", path, "csv", tuple(PAYMENT_RAW))
     root = scratch_path(spark, "bronze")
     jobs.bronze_ingest(spark, [spec], root)
-    b = spark.read.parquet(f"{root}/pagamentos")
-    return dedup.first_by_key(b, "pagamento_id", readers.FILE_ORDER).select(*PAYMENT_RAW)
+    b = readers.with_block_order(spark.read.parquet(f"{root}/pagamentos"))
+    return dedup.first_by_key(b, "pagamento_id", readers.BLOCK_ORDER).select(*PAYMENT_RAW)
 
 
 @register

@@ -20,6 +20,8 @@ NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-n
 
 # The order of rows in the source files, as persisted in bronze (see with_file_order).
 FILE_ORDER = ("_arquivo", "_bloco", "_linha")
+# The same order with a block's number in place of its file's path and its start (see with_block_order).
+BLOCK_ORDER = ("_ordem_bloco", "_linha")
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -172,3 +174,15 @@ def with_file_order(df: DataFrame) -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias("_arquivo"),
                      F.col("_metadata.file_block_start").alias("_bloco"),
                      F.monotonically_increasing_id().alias("_linha"))
+
+
+def with_block_order(bronze: DataFrame) -> DataFrame:
+    """``bronze`` with the number of each row's file block in ``FILE_ORDER`` (``_ordem_bloco``) in place of the
+    file's path, which is longer than most rows: what is sorted by file order then holds a number a row.
+
+    The blocks are a small table, one row for each split of the source files."""
+    blocks = bronze.select("_arquivo", "_bloco").distinct()
+    order = F.array_sort(F.collect_list(F.struct("_arquivo", "_bloco")))
+    numbered = blocks.agg(order.alias("b")).select(F.posexplode("b").alias("_ordem_bloco", "b")) \
+        .select("_ordem_bloco", F.col("b._arquivo").alias("_arquivo"), F.col("b._bloco").alias("_bloco"))
+    return bronze.join(F.broadcast(numbered), ["_arquivo", "_bloco"]).drop("_arquivo", "_bloco")

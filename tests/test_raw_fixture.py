@@ -284,3 +284,31 @@ def test_json_arrays_are_landed_without_a_shuffle(spark, tmp_path):
     assert [len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup("arrays")] == [1]
     got = readers.read_source(spark, path, None, ["id", "t"], multi_line=True)
     assert sorted((int(r.id), r.t) for r in got.collect()) == [tuple(r) for r in rows.orderBy("id").collect()]
+
+
+def test_rows_landed_in_order_are_sorted_in_as_many_tasks_as_they_need(spark, sf_small, monkeypatch):
+    from strata.plans import catalog
+    landed = []  # paths
+    write = catalog.write_raw_csv
+    monkeypatch.setattr(catalog, "ROWS_PER_SORT", 250, raising=False)
+    monkeypatch.setattr(catalog, "write_raw_csv", lambda df, path, **more: (landed.append(path), write(df, path, **more)))
+    got = catalog.dedup_first_file_order(spark, sf_small)
+    sizes = [r["count"] for r in spark.read.option("header", True).csv(landed[0]).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) > 5000 and len(sizes) >= sum(sizes) / 500 and max(sizes) < 1000
+    assert got.count() == got.select("pagamento_id").distinct().count()
+
+
+def test_block_order_is_file_order_without_paths(spark, tmp_path):
+    from strata.operators import dedup
+    from strata.sources import sinks
+    for k in range(3):
+        spark.range(k * 40, k * 40 + 40, 1, 1).selectExpr("cast(id % 50 as string) k", "cast(id as string) v") \
+            .write.option("header", True).csv(str(tmp_path / "raw" / f"f{k}"))
+    raw = spark.read.option("recursiveFileLookup", True).option("header", True).csv(str(tmp_path / "raw"))
+    sinks.write_layer(readers.with_file_order(raw), str(tmp_path / "bronze"))
+    bronze = spark.read.parquet(str(tmp_path / "bronze"))
+    short = readers.with_block_order(bronze)
+    assert "_arquivo" not in short.columns and short.count() == 120
+    first = {r.k: r.v for r in dedup.first_by_key(short, "k", readers.BLOCK_ORDER).collect()}
+    assert first == {r.k: r.v for r in dedup.first_by_key(bronze, "k", readers.FILE_ORDER).collect()}
+    assert first == {str(i): str(i) for i in range(50)}
