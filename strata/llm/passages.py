@@ -265,11 +265,13 @@ def settle_units(cutter: _Cutter, buckets: int, block: int = _BLOCK) -> Callable
 def _marks_of(rows) -> tuple[np.ndarray, Callable[[int], np.ndarray]]:
     marks = np.concatenate([np.empty(0, _MARK), *(_load(r["blob"].as_py(), _MARK)[0] for r in rows)])
     marks = marks[np.argsort(marks["doc"], kind="stable")]
+    # the places of each document: a search in the rows' own field would copy that column at every call
+    docs, first = np.unique(marks["doc"], return_index=True)
+    places = dict(zip(docs.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(marks)])))
 
     def of(doc):
-        if doc is None:
-            return marks[:0]
-        return marks[np.searchsorted(marks["doc"], doc): np.searchsorted(marks["doc"], doc, "right")]
+        start, end = places.get(doc, (0, 0))
+        return marks[start:end]
 
     return marks, of
 

@@ -139,3 +139,20 @@ def test_hot_anchors_of_mutated_copies():
     for hot in (2, 40):
         gone, kinds = in_process(docs, hot=hot)
         assert sorted((d, sum(g)) for d, g in gone.items()) == want and passages.WINDOWS in kinds
+
+
+def test_marks_of_a_document_are_found_without_copying_those_of_others():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    marks = np.zeros(200_000, passages._MARK)
+    marks["doc"] = np.arange(200_000)[::-1] // 3
+    marks["pos"] = np.arange(200_000)
+    _, of = passages._marks_of([{"blob": pa.scalar(passages._dump(marks))}])
+    tracemalloc.start()
+    got = [of(doc)["pos"].tolist() for doc in (0, 7, 66_666, 70_000, None)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [[199_997, 199_998, 199_999], [199_976, 199_977, 199_978], [0, 1], [], []]
+    assert peak < 100_000
