@@ -10,8 +10,12 @@ buckets and the buckets' wrappers with each other, so that a host with very many
 pages is no single task. Every page also names the container that holds most of
 its slots' text; what a tenth of a host's pages name are its content regions.
 
+The alignment also tells the headings from the template: a fixed text in an
+``h2`` to ``h6`` ("Introduction") whose next text, inside the same element, is a slot
+on the aligned pages belongs to what it heads and stays.
+
 A page's text is that of the content region with the most text on it (the page's
-own heaviest container, if it has none of them), without the fixed texts there
+own heaviest container, if it has none of them), without the other fixed texts there
 and without parts that are no article by element, role or name. ``article`` and
 ``main`` count double when containers are weighed, no more.
 """
@@ -53,6 +57,7 @@ HINT_WORDS = set("ad ads adv advert advertisement advertising promo sponsor spon
                  "newsletter pagination pager masthead toolbar".split())
 WEAK_HINT_WORDS = set("banner notice notices alert modal overlay menu share sharing social subscribe login signup search widget".split())
 TEXT_ELEMENTS = set("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figure figcaption".split())
+_SECTION = re.compile(r"<h[2-6][.>]")
 LEFT_OUT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 HEADER_WORDS = {"header", "masthead"}
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -358,9 +363,44 @@ def fixed_marks(wrapper: list[Item]) -> set[int]:
     return found
 
 
+def section_headings(wrapper: list[Item]) -> set[int]:
+    """Marks of the fixed texts that head other text: wherever they stand in the wrapper, in an ``h2`` to ``h6``, the
+    next text inside the element around that one is a slot."""
+    flat: list[Item] = []
+
+    def spread(items: list[Item]):
+        for item in items:
+            if isinstance(item, tuple) and item[0] in ("?", "+"):
+                spread(item[1])
+            else:
+                flat.append(item)
+
+    def heads(at: int) -> bool:
+        if at == 0 or not isinstance(flat[at - 1], str) or not _SECTION.match(flat[at - 1]):
+            return False
+        depth, closed = 1, False  # open elements inside the one around the heading; whether the heading has ended
+        for item in flat[at + 1:]:
+            if not isinstance(item, str):
+                return closed
+            if item[0] == "=":
+                return False
+            depth += -1 if item[1] == "/" else 1
+            closed = closed or depth == 0
+            if depth < 0:
+                return False
+        return False
+
+    spread(wrapper)
+    found: dict[int, bool] = {}
+    for at, item in enumerate(flat):
+        if isinstance(item, str) and item[0] == "=":
+            found[int(item[1:])] = found.get(int(item[1:]), True) and heads(at)
+    return {mark for mark, good in found.items() if good}
+
+
 @dataclass
 class HostWrapper:
-    template: list[int] = field(default_factory=list)  # marks of fixed texts
+    template: list[int] = field(default_factory=list)  # marks of fixed texts that are no headings of a slot
     regions: list[str] = field(default_factory=list)
     expression: str = ""
 
@@ -534,7 +574,7 @@ def learn_wrappers(pages: DataFrame, *, share: float = 0.9, common: float = 0.05
                         yield restored(json.loads(value))
 
             wrapper = merged(streams())
-            found = HostWrapper(sorted(fixed_marks(wrapper)), regions, expression(wrapper))
+            found = HostWrapper(sorted(fixed_marks(wrapper) - section_headings(wrapper)), regions, expression(wrapper))
             yield pa.RecordBatch.from_pydict({"host": [host], "wrapper": [json.dumps(found.__dict__, ensure_ascii=False)]})
 
     partial = found.where("kind = 'stream'").select("host", F.pmod(F.xxhash64("value"), F.lit(64)).alias("bucket"), "n", "value") \

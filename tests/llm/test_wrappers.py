@@ -65,6 +65,25 @@ def test_template_line_inside_the_article(spark):
     assert learned(spark, pages[:2]).template == []
 
 
+def test_headings_of_slots_are_told_from_template_lines(spark):
+    """Of texts on every page, the aligned wrapper keeps a heading with text of its own behind it."""
+    def one(n, second):
+        return (f"<body><article><h2>Introduction</h2><div><p>{body_of(n)}</p></div>" + ("<h2 class='s'>Results</h2>" + second)
+                + "<h3>Read on</h3></article><section><h2>Links</h2></section>"
+                f"<p>{n}</p></body>")
+
+    texts = [f"<p>{body_of(-n)}</p>" if n % 3 else f"<ul><li>{body_of(-n)}</li><li>x {n}</li></ul>" for n in range(20)]
+    wrapper = learned(spark, [one(n, t) for n, t in enumerate(texts)])
+    assert len(wrapper.template) == 2  # "Read on" and "Links"
+    got = [read(one(n, t), wrapper) for n, t in enumerate(texts)]
+    assert got == [f"Introduction {body_of(n)} Results {body_of(-n)}" + ("" if n % 3 else f" x {n}") for n in range(20)]
+    same = learned(spark, [one(n, "<p>the same everywhere</p>") for n in range(20)])
+    assert len(same.template) == 4  # "Results" heads no slot there
+    assert w.section_headings(["<h2>", "=1", ("slot",), "</h2>", "<p>", ("slot",), "</p>"]) == set()
+    assert w.section_headings(["<div>", "<h2>", "=1", "</h2>", "</div>", ("+", ["<p>", ("slot",), "</p>"])]) == set()
+    assert w.section_headings(["<h2>", "=1", "</h2>", ("?", [("+", ["<p>", ("slot",), "</p>"])])]) == {1}
+
+
 def test_names_inside_the_article():
     kept = "<p>a b c d e f</p><div class='share-price'>12 EUR</div><p id='notice-2'>second notice</p>"
     gone = "<div class='ad-slot'>buy</div><div class='cookie-notice'>cookies</div><section id='comments'><p>I say</p></section>"
