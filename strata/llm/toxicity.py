@@ -83,7 +83,8 @@ def fit_logistic(rows: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[l
             grad -= np.bincount(gone, weights=change[gone_of], minlength=size)
         g = np.append(grad, error.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+        rate = 0.1 / max(1, step / 400)  # a constant one circles around the least loss in longer fits
+        move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
     return w, bias
 
