@@ -16,17 +16,39 @@ from .common import mix64
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first ``n`` powers of the base and of its inverse modulo 2^64."""
-    while len(_powers["up"]) < n:
-        have = len(_powers["up"])
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            p = _powers[name]
-            _powers[name] = np.concatenate([p, p * np.uint64(pow(int(base), have, 1 << 64))])
-    return _powers["up"], _powers["down"]
+class _Powers:
+    """Powers of a number modulo 2^64, each the product of one below ``STEP`` and one of the ``STEP``-th power: the
+    tables, which a Python worker keeps from task to task, stay small however far they reach."""
+
+    BITS = 16
+    STEP = 1 << BITS
+
+    def __init__(self, base: int):
+        self.low = self._grown(np.ones(1, np.uint64), base, self.STEP)
+        self.base = pow(base, self.STEP, 1 << 64)
+        self.high = np.ones(1, np.uint64)
+
+    @staticmethod
+    def _grown(powers: np.ndarray, base: int, size: int) -> np.ndarray:
+        while len(powers) < size:
+            powers = np.concatenate([powers, powers * np.uint64(pow(base, len(powers), 1 << 64))])
+        return powers
+
+    def reach(self, n: int):
+        """Make the tables hold all powers up to the ``n``-th."""
+        self.high = self._grown(self.high, self.base, (n >> self.BITS) + 1)
+
+    def at(self, n: np.ndarray) -> np.ndarray:
+        return self.high[n >> self.BITS] * self.low[n & (self.STEP - 1)]
+
+    def first(self, n: int) -> np.ndarray:
+        """The powers before the ``n``-th."""
+        return (self.high[: (n >> self.BITS) + 1, None] * self.low).ravel()[:n]
+
+
+_UP, _DOWN = _Powers(int(_BASE)), _Powers(int(_INVERSE))
 
 
 class Bytes:
@@ -34,13 +56,17 @@ class Bytes:
 
     def __init__(self, data: np.ndarray):
         self.data = data
-        self.up, down = _power(len(data) + 1)
-        self.sums = np.empty(len(data) + 1, np.uint64)
-        self.sums[0] = 0
-        np.cumsum(_TABLE[data] * down[: len(data)], out=self.sums[1:])
+        _UP.reach(len(data))
+        _DOWN.reach(len(data))
+        self.sums = np.zeros(len(data) + 1, np.uint64)
+        for k, at in enumerate(range(0, len(data), _DOWN.STEP)):
+            part = data[at:at + _DOWN.STEP]
+            sums = self.sums[at + 1:at + 1 + len(part)]
+            np.cumsum(_TABLE[part] * _DOWN.low[: len(part)] * _DOWN.high[k], out=sums)
+            sums += self.sums[at]
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix64((self.sums[end] - self.sums[start]) * self.up[start])
+        return mix64((self.sums[end] - self.sums[start]) * _UP.at(start))
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -59,7 +85,7 @@ def anchors(data: Bytes, starts: np.ndarray, ends: np.ndarray, length: int, k: i
     n = len(data.data)
     if n < length:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = mix64((data.sums[k:] - data.sums[:-k]) * data.up[: n - k + 1]) | np.uint64(1)
+    hashes = mix64((data.sums[k:] - data.sums[:-k]) * _UP.first(n - k + 1)) | np.uint64(1)
     width = length - k + 1
     least = _sliding(hashes, width, np.minimum)  # of the window of `length` bytes at each position
     inside = np.zeros(len(least) + 1, np.int64)

@@ -15,8 +15,7 @@ out in sequences whose lengths are powers of two, which need no padding.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +43,10 @@ _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa
                     ("offset", pa.int64())])
 
 
+#: Texts of about two to the power of this many bytes are encoded at a time.
+_TEXTS = 21
+
+
 def _runs(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The indexes begin[0], begin[0] + 1, ... (size[0] of them), begin[1], ..."""
     ends = np.cumsum(size)
@@ -92,6 +95,7 @@ class WordEncoder:
     """
 
     LIMIT = 300_000
+    SLICE = 2_000
     #: Latin letters (without the one whose lower case is two characters), then marks other than the apostrophe
     PLAIN = "^(?P<core>[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)(?P<marks>[!\"#$%&()*+,./:;<=>?@^_`{|}~-]*)$"
     LOWER = "^[a-z\u00df-\u00f6\u00f8-\u024f]+$"
@@ -99,12 +103,11 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        with open(path, encoding="utf-8") as f:
-            suffix = json.load(f)["model"].get("end_of_word_suffix")
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
         self.letters = None
         if suffix:
-            self.letters = Tokenizer.from_file(path)
-            self.letters.normalizer = None
+            self.letters = Tokenizer(self.whole.model)  # the same vocabulary in memory, not another
+            self.letters.pre_tokenizer = self.whole.pre_tokenizer
             self.is_end = np.array([(self.whole.id_to_token(i) or "").endswith(suffix)
                                     for i in range(self.whole.get_vocab_size())])
         self._reset()
@@ -113,6 +116,12 @@ class WordEncoder:
         self.parts = pa.array([], pa.large_string())
         self.part_ids = _Ids(np.empty(0, np.uint32), np.empty(0, np.int64))
 
+    def _sliced(self, encode: Callable, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` on ``SLICE`` words at a time: what it makes of a word beside its ids takes far more memory."""
+        found = [encode(words[k:k + self.SLICE]) for k in range(0, len(words), self.SLICE)]
+        ids, sizes = zip(*found)
+        return np.concatenate(ids), np.concatenate(sizes)
+
     def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.whole.encode_batch_fast(words, add_special_tokens=False)]
         return (np.fromiter((i for x in ids for i in x), np.uint32),
@@ -147,7 +156,7 @@ class WordEncoder:
         found = []
         for chosen, encode in ((plain, self._letters), (~plain, self._whole)):
             if chosen.any():
-                got, sizes[chosen] = encode(parts.filter(pa.array(chosen)).to_pylist())
+                got, sizes[chosen] = self._sliced(encode, parts.filter(pa.array(chosen)).to_pylist())
                 found.append((np.flatnonzero(chosen), got))
         ends = np.cumsum(sizes)
         ids = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
@@ -295,7 +304,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = 4096
         packer = Packer(capacity, max_segments, max_loss_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
             lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            group = np.cumsum(lengths) >> 22  # about 4 MB of text at a time
+            group = np.cumsum(lengths) >> _TEXTS
             for at, end in zip(*_bounds(group)):
                 part = batch.slice(at, end - at)
                 for doc, bears, ids in zip(part.column(0), part.column(2), encoder.encode(part.column(1))):

@@ -1,3 +1,6 @@
+import os
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -109,3 +112,27 @@ def test_words_whose_ends_show_in_no_token(monkeypatch):
     encoder = WordEncoder(tokenizer_path())
     encoder.is_end[:] = False
     assert [x.tolist() for x in encoder.encode(pa.array(ODD))] == whole(ODD)
+
+
+def test_memory_while_new_words_are_learned():
+    """Peak of an own process, as a Python worker is one, over many words that the encoder has not met."""
+    code = f"""
+import random
+import pyarrow as pa
+from strata.llm.packing import WordEncoder
+
+def peak():
+    return int(next(x for x in open('/proc/self/status') if x.startswith('VmHWM')).split()[1]) >> 10
+
+encoder = WordEncoder({tokenizer_path()!r})
+rnd = random.Random(1)
+words = sorted({{''.join(rnd.choices('abcdefghijklmnopqrstuvwxyz', k=8)) for _ in range(100_000)}})
+text = pa.array([' '.join(words)])
+encoder.encode(pa.array(['some words']))
+before = peak()
+encoder.encode(text)
+print(peak() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=120,
+                         env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)})
+    assert int(out.stdout) < 90  # MB

@@ -1,8 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
-from strata.llm import passages
+from strata.llm import anchors, passages
+from strata.llm.common import mix64
 from strata.llm.queries import op10_repeated_passages
 
 
@@ -156,3 +159,25 @@ def test_marks_of_a_document_are_found_without_copying_those_of_others():
     tracemalloc.stop()
     assert got == [[199_997, 199_998, 199_999], [199_976, 199_977, 199_978], [0, 1], [], []]
     assert peak < 100_000
+
+
+def test_hashes_of_substrings_by_their_formula():
+    data = np.random.default_rng(5).integers(0, 256, 200_000).astype(np.uint8)
+    source = anchors.Bytes(data)
+    table, base, inverse = ([int(x) for x in anchors._TABLE], int(anchors._BASE), int(anchors._INVERSE))
+    for start, end in [(0, 0), (0, 7), (65_530, 65_540), (65_536, 65_586), (131_000, 131_200), (199_990, 200_000)]:
+        total = sum(table[data[i]] * pow(inverse, i, 1 << 64) for i in range(start, end))
+        want = mix64(np.array([total * pow(base, start, 1 << 64) % (1 << 64)], np.uint64))
+        assert source.hashes(np.array([start]), np.array([end])) == want
+    assert np.array_equal(anchors._UP.first(70_000), anchors._UP.at(np.arange(70_000)))
+
+
+def test_long_data_leaves_no_tables_behind():
+    """Python workers are used again: what a large bucket made them keep added to the memory of all later tasks."""
+    anchors.Bytes(np.zeros(10, np.uint8))
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    anchors.Bytes(np.zeros(3_000_000, np.uint8))
+    kept = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert kept < 1 << 20
