@@ -75,6 +75,34 @@ def test_components_with_hubs(spark, monkeypatch, hub):
     assert common.components(df.limit(0)).collect() == []
 
 
+def test_steps_of_components_have_small_plans(spark, monkeypatch):
+    """The driver keeps the plans of all steps, their compiled code and broadcasts: each step has few joins, and only
+    hubs may be broadcast, whatever the session allows."""
+    joins = []
+
+    def seen(df, name):
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        joins.append([line for line in lines if "Join " in line])
+        return staged(df, name)
+
+    staged = common.staged
+    monkeypatch.setattr(common, "staged", seen)
+    df = spark.createDataFrame([(n, n + 1) for n in range(40)] + [(50, n) for n in range(51, 130)], "a long, b long")
+    got = sorted(map(tuple, common.components(df).collect()))
+    assert got == [(n, 0) for n in range(41)] + [(n, 50) for n in range(50, 130)]
+    assert max(map(len, joins)) == 3
+    assert all("strategy=merge" in line or "strategy=broadcast" in line for found in joins for line in found)
+    assert max(sum("strategy=broadcast" in line for line in found) for found in joins) == 2  # one exchange, read twice
+
+
+def test_components_that_are_stars_take_no_step(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(common, "staged", lambda df, name, staged=common.staged: written.append(name) or staged(df, name))
+    df = spark.createDataFrame([(n // 10 * 10, n) for n in range(100)], "a long, b long")
+    assert sorted(map(tuple, common.components(df, "stars").collect())) == [(n, n // 10 * 10) for n in range(100)]
+    assert written == ["stars"]
+
+
 def test_no_rows(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
